@@ -47,13 +47,39 @@ def group_medians(df: DataFrame, columns=None, keys=IMPUTE_KEYS) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.median(c).alias(f"__med_{c}") for c in cols])
 
 
+def _join_medians(df: DataFrame, medians: DataFrame, keys=IMPUTE_KEYS) -> DataFrame:
+    """Left join on the group keys with NULL-safe equality. A plain equality would make the optimizer
+    infer ``IS NOT NULL`` filters for the median side only; the two copies of the de-duplication below
+    the join would then differ and its shuffle would run twice instead of being reused."""
+    med = medians.select(*[F.col(k).alias(f"__key_{k}") for k in keys],
+                         *[c for c in medians.columns if c not in keys])
+    cond = None
+    for k in keys:
+        e = df[k].eqNullSafe(med[f"__key_{k}"])
+        cond = e if cond is None else cond & e
+    return df.join(med, cond, "left")
+
+
+def _keys_present(keys=IMPUTE_KEYS):
+    cond = None
+    for k in keys:
+        e = F.col(k).isNotNull()
+        cond = e if cond is None else cond & e
+    return cond
+
+
 def impute_with_medians(df: DataFrame, medians: DataFrame, columns=None, keys=IMPUTE_KEYS) -> DataFrame:
-    """Fill NULL weather readings with their group median; column order is preserved."""
+    """Fill NULL weather readings with their group median; column order is preserved. Rows with a
+    NULL group key are left as they are."""
     cols = [c for c in (columns or WEATHER_COLUMNS) if c in df.columns]
-    joined = df.join(medians, on=list(keys), how="left")
+    joined = _join_medians(df, medians, keys)
+    has_key = _keys_present(keys)
     out = []
     for c in df.columns:
-        out.append(F.coalesce(F.col(c), F.col(f"__med_{c}")).alias(c) if c in cols else F.col(c))
+        if c in cols:
+            out.append(F.coalesce(F.col(c), F.when(has_key, F.col(f"__med_{c}"))).alias(c))
+        else:
+            out.append(F.col(c))
     return joined.select(*out)
 
 
@@ -78,12 +104,12 @@ def imputation_audit(df: DataFrame, median_broadcast_max_rows: int = BROADCAST_M
     cols = [c for c in WEATHER_COLUMNS if c in base.columns]
     medians = group_medians(base)
     bound = df.select(*IMPUTE_KEYS).distinct().limit(median_broadcast_max_rows + 1).count()
-    joined = base.join(broadcast_if_bounded(medians, bound=bound, max_rows=median_broadcast_max_rows),
-                       on=list(IMPUTE_KEYS), how="left")
+    joined = _join_medians(base, broadcast_if_bounded(medians, bound=bound, max_rows=median_broadcast_max_rows))
+    has_key = _keys_present()
     aggs = []
     for c in cols:
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"b_{c}"))
-        aggs.append(F.count_if(F.col(c).isNull() & F.col(f"__med_{c}").isNull()).alias(f"a_{c}"))
+        aggs.append(F.count_if(F.col(c).isNull() & ~(has_key & F.col(f"__med_{c}").isNotNull())).alias(f"a_{c}"))
     one = joined.agg(*aggs)
     tb = " + ".join(f"b_{c}" for c in cols)
     ta = " + ".join(f"a_{c}" for c in cols)

@@ -1,17 +1,17 @@
 """A dense 1..N surrogate id over a large table, assigned in a defined total order.
 
-SQL's ``ROW_NUMBER() OVER ()`` on a fact table would funnel every row through one task. Instead:
+SQL's ``ROW_NUMBER() OVER ()`` on a fact table funnels every row through one task. Instead:
 
 1. Collapse identical rows into one row with a multiplicity (hash aggregate with map-side partial
-   aggregation — a hot group of copies shrinks to one row per map task). Rows are now unique, so the
-   order on all columns is total and every later step is deterministic, also when tasks are retried.
-2. Range-partition and sort the unique rows (balanced partitions: all keys distinct), then checkpoint to
-   the shared checkpoint folder so the id pass reads a fixed partitioning and lineage is cut.
-3. Collect one (partition, rows) total per partition — at most #partitions small rows — and turn them into
-   partition offsets on the driver.
-4. Inside each partition the id is offset + position. Without copies the position is the partition-local
-   row index (pure JVM expression); with copies an Arrow prefix sum over the multiplicities runs per
-   partition and multiplicities are expanded chunk-wise (see ``expand_counts``).
+   aggregation — a hot group of copies shrinks to one row per map task), then expand the multiplicity
+   back chunk-wise as (row, copy index). Every row is now unique, so the order on (all columns, copy index)
+   is total: range partitions are balanced even when one row has billions of copies, and every later step
+   is deterministic, also when tasks are retried.
+2. Range-partition and sort, then checkpoint to the shared checkpoint folder, so the id pass reads a fixed
+   partitioning and the lineage is cut.
+3. Collect one row count per partition — at most #partitions small rows — and turn them into offsets.
+4. id = partition offset + partition-local row index (``monotonically_increasing_id`` keeps the index in
+   its low 33 bits), a pure JVM expression inside whole-stage codegen.
 
 Copies of a row get consecutive ids; since they are identical, which copy gets which id is immaterial.
 """
@@ -20,68 +20,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from aerolake.operators.util import expand_counts
 from aerolake.session import checkpoint_root
 
 _N = "__n"
-_START = "__start"
+_K = "__k"
 
 
-def _prefix_sums(offsets: dict[int, int]):
-    def fn(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        from pyspark import TaskContext
-
-        carry = offsets.get(TaskContext.get().partitionId(), 0)
-        for b in batches:
-            n = b.column(_N)
-            if len(n) == 0:
-                yield b.append_column(_START, pa.array([], pa.int64()))
-                continue
-            cs = pc.cumulative_sum(n)
-            starts = pc.add(pc.subtract(cs, n), carry)
-            carry += cs[-1].as_py()
-            yield b.append_column(_START, starts.cast(pa.int64()))
-    return fn
+def _offset_ids(ordered: DataFrame, cols: list[str], id_col: str, start: int) -> DataFrame:
+    """Ids for a frame whose partitioning and row order are fixed (checkpointed or a stable file scan)."""
+    totals = ordered.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    if not totals:
+        return ordered.select(F.lit(None).cast("long").alias(id_col), *cols)
+    offsets, acc = {}, start
+    for r in sorted(totals, key=lambda r: r["pid"]):
+        offsets[r["pid"]] = acc
+        acc += r["rows"]
+    table = F.array(*[F.lit(offsets.get(i, 0)).cast("long") for i in range(max(offsets) + 1)])
+    pid = F.spark_partition_id()
+    local = F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)
+    return ordered.select((F.element_at(table, pid + 1) + local).alias(id_col), *cols)
 
 
 def assign_dense_ids(df: DataFrame, id_col: str = "id", order_cols: list[str] | None = None,
-                     start: int = 1, num_partitions: int | None = None) -> DataFrame:
-    """Return ``df`` with ``id_col`` (bigint, ``start``..``start+N-1``) first, ids following ascending order
-    of ``order_cols`` (NULLs first) and then of the remaining columns."""
+                     start: int = 1, num_partitions: int | None = None, stable_input: bool = False) -> DataFrame:
+    """Return ``df`` with ``id_col`` (bigint, ``start``..``start+N-1``) first.
+
+    With ``order_cols`` the ids follow the ascending order (NULLs first) of ``order_cols`` and then of the
+    remaining columns — reproducible on any engine (steps 1-4 above).
+
+    Without ``order_cols`` the ids follow the input's own partition order, like an unordered
+    ``ROW_NUMBER() OVER ()``, and no shuffle is needed: one counting pass, one assigning pass. Both passes
+    must see identical partitions, so the input is checkpointed first unless the caller vouches that it is
+    ``stable_input`` (a file scan plus narrow operators such as a broadcast join or filter)."""
     spark = df.sparkSession
     checkpoint_root(spark)
     cols = df.columns
-    order = list(order_cols or cols) + [c for c in cols if c not in (order_cols or cols)]
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if order_cols is None:
+        fixed = df if stable_input else df.checkpoint(eager=True)
+        return _offset_ids(fixed, cols, id_col, start)
 
+    lead = list(order_cols)
+    order = lead + [c for c in cols if c not in lead]
+    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     grouped = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_N))
-    sort_exprs = [F.col(c).asc_nulls_first() for c in order]
-    ordered = grouped.repartitionByRange(n_parts, *sort_exprs).sortWithinPartitions(*sort_exprs)
-    ordered = ordered.checkpoint(eager=True)
-
-    totals = (ordered.groupBy(F.spark_partition_id().alias("pid"))
-                     .agg(F.sum(_N).alias("rows"), F.count(F.lit(1)).alias("unique_rows"))
-                     .collect())
-    offsets, acc, copies = {}, start, False
-    for r in sorted(totals, key=lambda r: r["pid"]):
-        offsets[r["pid"]] = acc
-        acc += r["rows"]
-        copies = copies or r["rows"] != r["unique_rows"]
-
-    if not copies:
-        if not offsets:
-            return ordered.select(F.lit(None).cast("long").alias(id_col), *cols).limit(0)
-        max_pid = max(offsets)
-        table = F.array(*[F.lit(offsets.get(i, 0)).cast("long") for i in range(max_pid + 1)])
-        pid = F.spark_partition_id()
-        local = F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)
-        return ordered.select((F.element_at(table, pid + 1) + local).alias(id_col), *cols)
-
-    schema = T.StructType(ordered.schema.fields + [T.StructField(_START, T.LongType(), True)])
-    with_start = ordered.mapInArrow(_prefix_sums(offsets), schema)
-    expanded = expand_counts(with_start, _N, index_col="__k")
-    return expanded.select((F.col(_START) + F.col("__k")).alias(id_col), *cols)
+    unique = expand_counts(grouped, _N, index_col=_K, spread_partitions=n_parts)
+    sort_exprs = [F.col(c).asc_nulls_first() for c in order] + [F.col(_K).asc()]
+    ordered = unique.repartitionByRange(n_parts, *sort_exprs).sortWithinPartitions(*sort_exprs)
+    return _offset_ids(ordered.checkpoint(eager=True), cols, id_col, start)

@@ -62,12 +62,18 @@ def attach_pollutant_ids(rows: DataFrame, pollutants: DataFrame) -> DataFrame:
     return rows.join(dim, rows["pollutant"] == dim["pollutant_name"], "inner")
 
 
-def build_fact(rows: DataFrame, pollutants: DataFrame, include_vws: bool = True,
-               num_partitions: int | None = None) -> DataFrame:
+def build_fact(rows: DataFrame, pollutants: DataFrame, include_vws: bool = True, id_order: str = "columns",
+               stable_input: bool = False, num_partitions: int | None = None) -> DataFrame:
     """Fact rows (raw ``measurements`` with ``vws_m_s``; ``measurements_clean`` without) with a dense
-    ``measurement_id`` ordered by the value columns."""
+    ``measurement_id``.
+
+    ``id_order="columns"``: ids ordered by the value columns (reproducible, two shuffles).
+    ``id_order="input"``: ids in scan order, the unordered ``ROW_NUMBER() OVER ()`` of a SQL load, with no
+    shuffle at all; pass ``stable_input=True`` when ``rows`` is a file scan so no checkpoint is needed."""
     cols = FACT_VALUE_COLUMNS + (["vws_m_s"] if include_vws else [])
     body = attach_pollutant_ids(rows, pollutants).select(*cols)
+    if id_order == "input":
+        return assign_dense_ids(body, id_col="measurement_id", stable_input=stable_input)
     return assign_dense_ids(body, id_col="measurement_id", order_cols=cols, num_partitions=num_partitions)
 
 
