@@ -56,3 +56,16 @@ def minmax_unscale(c, lo: Column, hi: Column) -> Column:
 def pct(part, whole) -> Column:
     """part / whole * 100, NULL for an empty whole."""
     return _col(part).cast("double") / F.nullif(_col(whole).cast("double"), F.lit(0.0)) * 100.0
+
+
+def parse_timestamp(c, fmt: str | None = None) -> Column:
+    """text -> zone-less timestamp. ISO-8601 with a trailing ``Z`` or an offset is converted to UTC
+    wall-clock time (the session time zone must be UTC)."""
+    x = _col(c)
+    ts = F.to_timestamp(x, fmt) if fmt else F.to_timestamp(x)
+    return ts.cast("timestamp_ntz")
+
+
+def thousands(c) -> Column:
+    """integer with thousands separators (``5,831,431``)."""
+    return F.format_number(_col(c).cast("double"), 0)

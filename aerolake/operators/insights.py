@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolake.functions import (clip_lower, display_level, display_level_columns, exact_avg, hour_label,
-                                minmax_scale, round2_half_even, station_display_name, step_label)
+                                minmax_scale, round2_half_even, station_display_name, step_label, weekday_name)
 from aerolake.operators.util import non_null_keys
 from aerolake.schema import FORECAST_HORIZON
 
@@ -38,9 +38,10 @@ def pollutant_avg(clean: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def dow_pattern(clean: DataFrame, exact: bool = True) -> DataFrame:
-    """Mean PM2.5 per weekday, dow 0 = Monday."""
+    """Mean PM2.5 per weekday, dow 0 = Monday, with the day name."""
     pm = _pm25(clean).where(F.col("datetime").isNotNull())
-    return pm.groupBy(F.weekday("datetime").cast("int").alias("dow")).agg(exact_avg("value", exact).alias("pm25"))
+    g = pm.groupBy(F.weekday("datetime").cast("int").alias("dow")).agg(exact_avg("value", exact).alias("pm25"))
+    return g.select("dow", weekday_name("dow").alias("day"), "pm25")
 
 
 def station_means(profile: DataFrame) -> DataFrame:
@@ -72,6 +73,13 @@ def station_rank(profile: DataFrame, hour: int | None = None) -> DataFrame:
                          "pm25", display_level("pm25").alias("level"), badge.alias("badge"), "basis")
 
 
+def station_slice(profile: DataFrame, station_id) -> DataFrame:
+    """P10: one station's hourly profile, by hour. ``station_id`` may be a literal or a Column (e.g. a
+    scalar subquery)."""
+    sid = station_id if not isinstance(station_id, str) else F.lit(station_id)
+    return profile.where(F.col("station_id") == sid).orderBy("hour")
+
+
 def station_best_worst_hour(profile: DataFrame) -> DataFrame:
     """Per station the cleanest and the worst hour of day (the earliest hour wins ties)."""
     p = profile.where(F.col("pm25").isNotNull())
@@ -168,3 +176,22 @@ def forecast_best_worst_step(series: DataFrame, horizon: int = FORECAST_HORIZON)
                     F.col("b.predicted").alias("best_pm25"),
                     (-F.col("w.neg_step")).alias("worst_step"), step_label(-F.col("w.neg_step")).alias("worst_label"),
                     F.col("w.predicted").alias("worst_pm25"), "n_steps")
+
+
+def feature_bundle(clean: DataFrame, hour: int | None = None, exact: bool = True) -> dict[str, DataFrame]:
+    """S14 re-aimed: the dashboard's feature tables as named marts (write them with
+    ``sources.write_feature_bundle``). Every table is an aggregate bounded by stations, hours, weekdays or
+    pollutants; the hourly series feeds the scaler and the forecast error."""
+    profile = station_hourly(clean, exact)
+    series = hourly_series(clean, exact)
+    backtest = seasonal_forecast(series)
+    return {
+        "station_hourly": profile,
+        "station_profile": station_rank(profile, hour),
+        "all_pollutants": pollutant_avg(clean, exact),
+        "dow_pattern": dow_pattern(clean, exact),
+        "best_worst_hour": station_best_worst_hour(profile),
+        "scaler": scaler_params(series),
+        "mae": forecast_mae(backtest),
+        "forecast_steps": forecast_best_worst_step(series),
+    }

@@ -17,13 +17,14 @@ from aerolake.schema import WHO_PM25_LIMIT
 
 # ----------------------------------------------------------------------------------------- A1-A6, A3
 def summary_counts(df: DataFrame) -> DataFrame:
-    """A1/A2/A4: one row — records, columns, datetime range, sorted distinct years, distinct stations and
-    pollutants (exact distinct counts, NULL excluded)."""
+    """A1/A2/A4: one row — records, columns, cells, datetime range, sorted distinct years, distinct stations
+    and pollutants (exact distinct counts, NULL excluded)."""
     years = F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_set("year")).cast("array<string>"), ", "),
                      F.lit("]"))
     return df.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.lit(len(df.columns)).cast("int").alias("n_columns"),
+        (F.count(F.lit(1)) * F.lit(len(df.columns))).cast("long").alias("total_cells"),
         F.min("datetime").alias("date_min"),
         F.max("datetime").alias("date_max"),
         years.alias("years"),

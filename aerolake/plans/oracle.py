@@ -134,6 +134,7 @@ def build() -> dict[str, str]:
                         f"{R2E('min(value)')} AS min_value, count(value) AS reading_count, "
                         f"{R2E('stddev_samp(value)')} AS std_value, year, month FROM clean "
                         "WHERE year IS NOT NULL AND month IS NOT NULL AND pollutant IS NOT NULL GROUP BY year, month, pollutant")
+    q["streaming_batch_stats"] = q["batch_stats"]
     q["level_counts"] = (f"SELECT station_id AS station, {LEVEL_CASE} AS pollution_level, count(*) AS \"count\" "
                          "FROM clean WHERE pollutant = 'pm25' GROUP BY 1, 2")
     q["monthly_avg"] = (f"SELECT year, month, pollutant, {R2E(EA('value'))} AS value FROM clean "
@@ -157,7 +158,8 @@ def build() -> dict[str, str]:
                                 "WHERE pollutant = 'pm25' ORDER BY year, month LIMIT 6")
     q["monthly_pm25_clean"] = (f"SELECT year, month, {R2E(EA('value'))} AS avg_pm25 FROM clean "
                                "WHERE pollutant = 'pm25' AND year IS NOT NULL AND month IS NOT NULL GROUP BY year, month")
-    q["summary_counts"] = ("SELECT count(*) AS total_records, CAST(22 AS INTEGER) AS n_columns, min(datetime) AS date_min, "
+    q["summary_counts"] = ("SELECT count(*) AS total_records, CAST(22 AS INTEGER) AS n_columns, "
+                           "CAST(count(*) * 22 AS BIGINT) AS total_cells, min(datetime) AS date_min, "
                            "max(datetime) AS date_max, "
                            "'[' || array_to_string(list_sort(list(DISTINCT year) FILTER (WHERE year IS NOT NULL)), ', ') || ']' AS years, "
                            "count(DISTINCT station_id) AS stations, count(DISTINCT pollutant) AS pollutant_species FROM r")
@@ -218,8 +220,13 @@ def build() -> dict[str, str]:
                                 "GROUP BY year, month")
     q["station_hourly"] = "SELECT station_id, hour, pm25 FROM sh"
     q["pollutant_avg"] = f"SELECT pollutant AS pollutant_name, {EA('value')} AS avg_val FROM clean WHERE pollutant IS NOT NULL GROUP BY pollutant"
-    q["dow_pattern"] = (f"SELECT CAST(isodow(datetime) - 1 AS INTEGER) AS dow, {EA('value')} AS pm25 FROM clean "
-                        "WHERE pollutant = 'pm25' AND datetime IS NOT NULL GROUP BY 1")
+    q["dow_pattern"] = (f"SELECT dow, ['Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun'][dow + 1] AS day, pm25 FROM ("
+                        f"SELECT CAST(isodow(datetime) - 1 AS INTEGER) AS dow, {EA('value')} AS pm25 FROM clean "
+                        "WHERE pollutant = 'pm25' AND datetime IS NOT NULL GROUP BY 1)")
+    q["station_means"] = f"SELECT station_id, {R2E(EA('pm25'))} AS pm25 FROM sh GROUP BY station_id"
+    meds = ", ".join(f"median({c}) AS {c}" for c in WEATHER_COLUMNS)
+    q["station_month_medians"] = f"SELECT station_id, month, {meds} FROM c0 GROUP BY station_id, month"
+    q["station_slice"] = f"SELECT station_id, hour, pm25 FROM sh WHERE station_id = (SELECT min(station_id) FROM sh)"
     level = _display_case("pm25", 1)
     q["station_rank"] = (
         f"SELECT rank, station_id, replace(station_id, 'site_', 'Station ') AS display_name, pm25, {level} AS level, "

@@ -100,6 +100,28 @@ def _profile(spark, sf):
     return I.station_hourly(clean_rows(spark, sf))
 
 
+def _q_station_slice(spark, sf):
+    prof = _profile(spark, sf)
+    return I.station_slice(prof, prof.select(F.min("station_id")).scalar())
+
+
+def _q_medians(spark, sf):
+    base = C.remove_duplicates(C.remove_negative(C.drop_redundant(raw_rows(spark, sf))))
+    med = C.group_medians(base)
+    return med.select("station_id", "month", *[F.col(f"__med_{c}").alias(c) for c in C.WEATHER_COLUMNS])
+
+
+def _q_streaming_batch_stats(spark, sf):
+    """A10 computed incrementally: partition the clean rows by month, stream the month files one per
+    micro-batch through the stateful aggregation, read the final snapshot."""
+    from aerolake.streaming import run_incremental
+    root = scratch_path(spark, "stream-src")
+    partition_dataset(clean_rows(spark, sf), root)
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    run_incremental(spark, root, T.batch_stats, out, ckpt, files_per_trigger=4)
+    return spark.read.parquet(out)
+
+
 def _series(spark, sf):
     return I.hourly_series(clean_rows(spark, sf))
 
@@ -118,6 +140,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # marts (A10-A13, C2)
         "batch_stats": lambda s, d: T.batch_stats(clean_rows(s, d)),
         "level_counts": lambda s, d: T.level_counts(clean_rows(s, d)),
+        "streaming_batch_stats": _q_streaming_batch_stats,
         "monthly_avg": lambda s, d: T.monthly_avg(clean_rows(s, d)),
         "pm25_aqi": lambda s, d: T.pm25_aqi(clean_rows(s, d)),
         "daily_peaks": lambda s, d: T.daily_peaks(clean_rows(s, d)),
@@ -153,6 +176,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pollutant_avg": lambda s, d: I.pollutant_avg(clean_rows(s, d)),
         "dow_pattern": lambda s, d: I.dow_pattern(clean_rows(s, d)),
         "station_rank": lambda s, d: I.station_rank(_profile(s, d), hour=STATION_RANK_HOUR),
+        "station_means": lambda s, d: I.station_means(_profile(s, d)),
+        "station_slice": _q_station_slice,
+        "station_month_medians": _q_medians,
         "station_best_worst_hour": lambda s, d: I.station_best_worst_hour(_profile(s, d)),
         "display_levels": lambda s, d: I.display_levels(_profile(s, d)),
         "scaler_params": lambda s, d: I.scaler_params(_series(s, d)),

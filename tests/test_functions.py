@@ -83,3 +83,10 @@ def test_weekday_monday_zero(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5),)], "t timestamp_ntz")  # a Monday
     assert df.select(F.weekday("t")).first()[0] == 0
     assert not math.isnan(0.0)
+
+
+def test_parse_timestamp_and_thousands(spark):
+    from aerolake.functions import parse_timestamp, thousands
+    df = spark.createDataFrame([("2024-01-01T01:00:00Z", 5831431)], "s string, n long")
+    r = df.select(parse_timestamp("s").alias("t"), thousands("n").alias("n")).first()
+    assert r.t == dt.datetime(2024, 1, 1, 1, 0) and r.n == "5,831,431"

@@ -64,3 +64,16 @@ def test_scaler_params(spark):
     s = _series(spark, [("a", 0, 4.0), ("b", 1, -1.0), ("a", 2, 9.5)])
     r = I.scaler_params(s).first()
     assert (r.scaler_min, r.scaler_max) == (-1.0, 9.5)
+
+
+def test_station_slice_and_bundle(spark, mock):
+    from aerolake.operators.clean import clean_data
+    prof = _profile(spark, [("s1", 3, 5.0), ("s2", 1, 2.0), ("s1", 1, 4.0)])
+    assert [(r.hour, r.pm25) for r in I.station_slice(prof, "s1").collect()] == [(1, 4.0), (3, 5.0)]
+    bundle = I.feature_bundle(clean_data(mock), hour=0)
+    assert set(bundle) == {"station_hourly", "station_profile", "all_pollutants", "dow_pattern",
+                           "best_worst_hour", "scaler", "mae", "forecast_steps"}
+    dow = bundle["dow_pattern"].first()
+    assert (dow.dow, dow.day) == (0, "Mon")
+    ranks = [(r.station_id, r.badge) for r in bundle["station_profile"].orderBy("rank").collect()]
+    assert ranks == [("site_102", "SAFEST"), ("site_101", "AVOID")]
