@@ -63,9 +63,11 @@ def assign_dense_ids(df: DataFrame, id_col: str = "id", order_cols: list[str] |
 
     lead = list(order_cols)
     order = lead + [c for c in cols if c not in lead]
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     grouped = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_N))
-    unique = expand_counts(grouped, _N, index_col=_K, spread_partitions=n_parts)
+    unique = expand_counts(grouped, _N, index_col=_K, spread_partitions=num_partitions)
     sort_exprs = [F.col(c).asc_nulls_first() for c in order] + [F.col(_K).asc()]
-    ordered = unique.repartitionByRange(n_parts, *sort_exprs).sortWithinPartitions(*sort_exprs)
+    # Without an explicit count AQE sizes the range partitions from the shuffle statistics.
+    ranged = unique.repartitionByRange(num_partitions, *sort_exprs) if num_partitions else \
+        unique.repartitionByRange(*sort_exprs)
+    ordered = ranged.sortWithinPartitions(*sort_exprs)
     return _offset_ids(ordered.checkpoint(eager=True), cols, id_col, start)

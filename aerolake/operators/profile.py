@@ -112,17 +112,19 @@ def completeness(df: DataFrame) -> DataFrame:
 
 
 def quality_before_after(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows, columns, missing cells and quality % before and after cleaning, with the change."""
-    b = _quality(before).select(F.lit(1).alias("k"), *[F.col(c).alias(f"b_{c}") for c in
-                                                       ("rows", "columns", "total_missing", "quality_pct")])
-    a = _quality(after).select(F.lit(1).alias("k"), *[F.col(c).alias(f"a_{c}") for c in
-                                                      ("rows", "columns", "total_missing", "quality_pct")])
-    both = b.join(a, "k")  # two single-row aggregates
-    stack = ("stack(4, 'rows', CAST(b_rows AS DOUBLE), CAST(a_rows AS DOUBLE), "
-             "'columns', CAST(b_columns AS DOUBLE), CAST(a_columns AS DOUBLE), "
-             "'missing_cells', CAST(b_total_missing AS DOUBLE), CAST(a_total_missing AS DOUBLE), "
+    """Rows, columns, missing cells and quality % before and after cleaning, with the change.
+
+    The two one-row quality summaries are tagged, unioned and folded by one conditional aggregate — no
+    join (a join of two single rows on a constant would be planned as a cross join)."""
+    metrics = ("rows", "columns", "total_missing", "quality_pct")
+    both = (_quality(before).select(F.lit("b").alias("__side"), *metrics)
+            .unionByName(_quality(after).select(F.lit("a").alias("__side"), *metrics)))
+    wide = both.agg(*[F.max(F.when(F.col("__side") == side, F.col(m).cast("double"))).alias(f"{side}_{m}")
+                      for side in ("b", "a") for m in metrics])
+    stack = ("stack(4, 'rows', b_rows, a_rows, 'columns', b_columns, a_columns, "
+             "'missing_cells', b_total_missing, a_total_missing, "
              "'quality_pct', b_quality_pct, a_quality_pct) AS (metric, before_value, after_value)")
-    return both.selectExpr(stack).withColumn("delta", F.col("after_value") - F.col("before_value"))
+    return wide.selectExpr(stack).withColumn("delta", F.col("after_value") - F.col("before_value"))
 
 
 # ----------------------------------------------------------------------------------------- A23-A26

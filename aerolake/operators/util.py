@@ -53,8 +53,8 @@ def expand_counts(df: DataFrame, count_col: str, index_col: str | None = None,
     big = df.where(cnt > chunk_rows) \
             .withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"),
                                                         ((cnt - 1) / chunk_rows).cast("long"))))
-    n = spread_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    big = big.repartition(n, F.col("__chunk"), F.xxhash64(*[F.col(c) for c in keep])) \
+    spread = [F.col("__chunk"), F.xxhash64(*[F.col(c) for c in keep])]
+    big = (big.repartition(spread_partitions, *spread) if spread_partitions else big.repartition(*spread)) \
              .withColumn(k, F.explode(F.sequence(F.col("__chunk") * chunk_rows,
                                                  F.least(cnt.cast("long"), (F.col("__chunk") + 1) * chunk_rows) - 1))) \
              .drop("__chunk")
