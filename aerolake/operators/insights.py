@@ -119,9 +119,11 @@ def lookback_sequences(series: DataFrame, lookback: int, require_contiguous: boo
     params = scaler_params(series)
     lo, hi = params.select("scaler_min").scalar(), params.select("scaler_max").scalar()
     w = Window.partitionBy("station_id").orderBy("hour_ts").rowsBetween(-(lookback - 1), 0)
-    framed = series.select(
+    scaled = series.select("station_id", "hour_ts", minmax_scale("pm25", lo, hi).alias("__x"))
+    framed = scaled.select(
         "station_id", "hour_ts",
-        F.collect_list(minmax_scale("pm25", lo, hi)).over(w).alias("seq"),
+        # collect_list drops NULLs; wrapping each value in a struct keeps a missing hour in its position
+        F.transform(F.collect_list(F.struct(F.col("__x").alias("x"))).over(w), lambda e: e["x"]).alias("seq"),
         F.count(F.lit(1)).over(w).alias("__len"),
         F.first("hour_ts").over(w).alias("__first"))
     keep = F.col("__len") == lookback

@@ -258,6 +258,15 @@ def build() -> dict[str, str]:
         "SELECT station_id, hour_ts, (pm25 - (SELECT min(pm25) FROM hs)) / "
         "NULLIF((SELECT max(pm25) FROM hs) - (SELECT min(pm25) FROM hs), 0) AS x FROM hs) b "
         f"ON e.station_id = b.station_id AND b.hour_ts BETWEEN e.hour_ts - INTERVAL {L - 1} HOUR AND e.hour_ts")
+    q["lookback_observations"] = (
+        f"SELECT e.station_id, e.hour_ts, CAST(b.rn - (e.rn - {L - 1}) AS INTEGER) AS step, b.x AS value_scaled FROM ("
+        "SELECT station_id, hour_ts, (pm25 - (SELECT min(pm25) FROM hs)) / "
+        "NULLIF((SELECT max(pm25) FROM hs) - (SELECT min(pm25) FROM hs), 0) AS x, "
+        "row_number() OVER (PARTITION BY station_id ORDER BY hour_ts) AS rn FROM hs) e JOIN ("
+        "SELECT station_id, hour_ts, (pm25 - (SELECT min(pm25) FROM hs)) / "
+        "NULLIF((SELECT max(pm25) FROM hs) - (SELECT min(pm25) FROM hs), 0) AS x, "
+        "row_number() OVER (PARTITION BY station_id ORDER BY hour_ts) AS rn FROM hs) b "
+        f"ON e.station_id = b.station_id AND b.rn BETWEEN e.rn - {L - 1} AND e.rn WHERE e.rn >= {L}")
     sf = ("SELECT a.station_id, a.hour_ts, a.pm25 AS actual, "
           "CASE WHEN b.pm25 IS NULL THEN NULL ELSE greatest(b.pm25, 0.0) END AS predicted "
           "FROM hs a JOIN hs b ON a.station_id = b.station_id AND a.hour_ts = b.hour_ts + INTERVAL 24 HOUR")

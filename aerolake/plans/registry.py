@@ -96,6 +96,12 @@ def _q_lookback(spark, sf):
                .select("station_id", "hour_ts", F.col("step").cast("int").alias("step"), "value_scaled")
 
 
+def _q_lookback_obs(spark, sf):
+    seqs = I.lookback_sequences(I.hourly_series(clean_rows(spark, sf)), LOOKBACK, require_contiguous=False)
+    return seqs.select("station_id", "hour_ts", F.posexplode("seq").alias("step", "value_scaled")) \
+               .select("station_id", "hour_ts", F.col("step").cast("int").alias("step"), "value_scaled")
+
+
 def _profile(spark, sf):
     return I.station_hourly(clean_rows(spark, sf))
 
@@ -183,6 +189,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "display_levels": lambda s, d: I.display_levels(_profile(s, d)),
         "scaler_params": lambda s, d: I.scaler_params(_series(s, d)),
         "lookback_sequences": _q_lookback,
+        "lookback_observations": _q_lookback_obs,
         "seasonal_forecast": lambda s, d: I.seasonal_forecast(_series(s, d)),
         "forecast_mae": lambda s, d: I.forecast_mae(I.seasonal_forecast(_series(s, d))),
         "forecast_best_worst_step": lambda s, d: I.forecast_best_worst_step(_series(s, d)),

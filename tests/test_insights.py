@@ -77,3 +77,9 @@ def test_station_slice_and_bundle(spark, mock):
     assert (dow.dow, dow.day) == (0, "Mon")
     ranks = [(r.station_id, r.badge) for r in bundle["station_profile"].orderBy("rank").collect()]
     assert ranks == [("site_102", "SAFEST"), ("site_101", "AVOID")]
+
+
+def test_lookback_keeps_missing_positions(spark):
+    s = _series(spark, [("a", 0, 0.0), ("a", 1, None), ("a", 2, 10.0)])
+    out = I.lookback_sequences(s, 3).first()
+    assert out.seq == [0.0, None, 1.0]
