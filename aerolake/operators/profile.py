@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolake.functions import exact_avg, pct, period_label, round2_half_even
+from aerolake.operators.quantiles import exact_quantiles
 from aerolake.operators.util import expand_counts, non_null_keys
 from aerolake.schema import WHO_PM25_LIMIT
 
@@ -129,15 +130,20 @@ def quality_before_after(before: DataFrame, after: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------------------------------- A23-A26
 def value_describe(df: DataFrame, column: str = "value", exact: bool = True) -> DataFrame:
-    """Count, mean, std, min, quartiles (linear interpolation, exact) and max, 2 decimals,
-    as (stat, value) rows."""
+    """Count, mean, std, min, quartiles (linear interpolation) and max, 2 decimals, as (stat, value)
+    rows.
+
+    ``exact=True`` computes the quartiles with ``exact_quantiles`` (distributed histogram ranks, no task
+    holds all distinct values) and uses them as literals; ``exact=False`` uses ``percentile_approx``."""
     x = F.col(column)
-    q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact else \
-        F.percentile_approx(x, [0.25, 0.5, 0.75], 100000)
+    if exact:
+        p25, p50, p75 = exact_quantiles(df, column, [0.25, 0.5, 0.75])
+        q = F.array(*[F.lit(v).cast("double") for v in (p25, p50, p75)])
+    else:
+        q = F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).cast("array<double>")
     one = df.agg(F.count(x).cast("double").alias("count"), exact_avg(x, exact).alias("mean"),
-                 F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max"))
-    one = one.select("count", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
-                     F.col("q")[2].alias("p75"), "max")
+                 F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    one = one.select("count", "mean", "std", "min", q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), "max")
     stack = ("stack(8, 'count', count, 'mean', mean, 'std', std, 'min', min, '25%', p25, '50%', p50, "
              "'75%', p75, 'max', max) AS (stat, value)")
     return one.selectExpr(stack).select("stat", round2_half_even("value").alias("value"))
