@@ -11,7 +11,7 @@ SQL's ``ROW_NUMBER() OVER ()`` on a fact table funnels every row through one tas
    partitioning and the lineage is cut.
 3. Collect one row count per partition — at most #partitions small rows — and turn them into offsets.
 4. id = partition offset + partition-local row index (``monotonically_increasing_id`` keeps the index in
-   its low 33 bits), a pure JVM expression inside whole-stage codegen.
+   its low 33 bits); the offsets arrive through a broadcast join of the #partitions-row offset table.
 
 Copies of a row get consecutive ids; since they are identical, which copy gets which id is immaterial.
 """
@@ -29,18 +29,25 @@ _K = "__k"
 
 
 def _offset_ids(ordered: DataFrame, cols: list[str], id_col: str, start: int) -> DataFrame:
-    """Ids for a frame whose partitioning and row order are fixed (checkpointed or a stable file scan)."""
+    """Ids for a frame whose partitioning and row order are fixed (checkpointed or a stable file scan).
+
+    Partition id and local index are taken on the scan side; the per-partition offsets (one small row per
+    partition, a bound known up front) are attached by a broadcast hash join, which keeps the streamed
+    side's partitions and row order — so no offset table is inlined into every task."""
+    spark = ordered.sparkSession
     totals = ordered.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("rows")).collect()
     if not totals:
         return ordered.select(F.lit(None).cast("long").alias(id_col), *cols)
-    offsets, acc = {}, start
+    offsets, acc = [], start
     for r in sorted(totals, key=lambda r: r["pid"]):
-        offsets[r["pid"]] = acc
+        offsets.append((r["pid"], acc))
         acc += r["rows"]
-    table = F.array(*[F.lit(offsets.get(i, 0)).cast("long") for i in range(max(offsets) + 1)])
+    offs = spark.createDataFrame(offsets, "__pid int, __off long")
     pid = F.spark_partition_id()
-    local = F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)
-    return ordered.select((F.element_at(table, pid + 1) + local).alias(id_col), *cols)
+    tagged = ordered.select(pid.alias("__pid"),
+                            (F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)).alias("__local"),
+                            *cols)
+    return tagged.join(F.broadcast(offs), "__pid").select((F.col("__off") + F.col("__local")).alias(id_col), *cols)
 
 
 def assign_dense_ids(df: DataFrame, id_col: str = "id", order_cols: list[str] | None = None,

@@ -15,6 +15,7 @@ task for a global quantile. Here:
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import DataFrame, Window
@@ -31,17 +32,18 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int
     if not n:
         return [None for _ in probs]
     bounds = sorted(set(head["b"] or []))
-    barr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
+    # One array literal (from_json of a constant is folded at planning time), not one expression per bound.
+    barr = F.from_json(F.lit(json.dumps([float(b) for b in bounds])), "array<double>")
     hb = hist.withColumn("bk", F.size(F.filter(barr, lambda b: b < F.col("v"))))
 
     totals = sorted((r["bk"], r["t"]) for r in hb.groupBy("bk").agg(F.sum("c").alias("t")).collect())
-    starts, acc = {}, 0
+    starts, acc = [], 0
     for bk, t in totals:
-        starts[bk] = acc
+        starts.append((bk, acc))
         acc += t
-    offs = F.array(*[F.lit(starts.get(i, 0)).cast("long") for i in range(len(bounds) + 1)])
+    offs = df.sparkSession.createDataFrame(starts, "bk int, off long")  # <= buckets rows
     w = Window.partitionBy("bk").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = hb.select("v", "c", (F.element_at(offs, F.col("bk") + 1) + F.sum("c").over(w)).alias("end"))
+    ranked = hb.join(F.broadcast(offs), "bk").select("v", "c", (F.col("off") + F.sum("c").over(w)).alias("end"))
     ranked = ranked.withColumn("start", F.col("end") - F.col("c"))
 
     positions = [(n - 1) * p for p in probs]
