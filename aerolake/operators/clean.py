@@ -40,10 +40,19 @@ def remove_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def group_medians(df: DataFrame, columns=None, keys=IMPUTE_KEYS) -> DataFrame:
-    """Exact median of each weather column per (station_id, month) in a single aggregate.
-    An all-missing group yields NULL."""
+def group_medians(df: DataFrame, columns=None, keys=IMPUTE_KEYS, method: str = "exact",
+                  accuracy: int = 100_000) -> DataFrame:
+    """Median of each weather column per (station_id, month) in a single aggregate; an all-missing
+    group yields NULL.
+
+    ``method="exact"``: Spark's exact ``median`` (interpolated, like pandas). Its partial aggregation keeps a
+    value -> count map per group, so memory follows the number of distinct readings of a station-month
+    (sensor resolution), not its row count. ``method="approx"``: ``percentile_approx`` with ``accuracy``,
+    bounded memory for high-resolution readings — an explicit opt-in, results may differ from pandas."""
     cols = [c for c in (columns or WEATHER_COLUMNS) if c in df.columns]
+    if method == "approx":
+        return df.groupBy(*keys).agg(*[F.percentile_approx(c, 0.5, accuracy).cast("double").alias(f"__med_{c}")
+                                       for c in cols])
     return df.groupBy(*keys).agg(*[F.median(c).alias(f"__med_{c}") for c in cols])
 
 
@@ -83,14 +92,19 @@ def impute_with_medians(df: DataFrame, medians: DataFrame, columns=None, keys=IM
     return joined.select(*out)
 
 
-def clean_data(df: DataFrame, median_broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """The full cleaning, lazily planned (one dedup shuffle, one median aggregate, one join)."""
+def clean_data(df: DataFrame, median_broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+               median_rows_bound: int | None = None, median_method: str = "exact") -> DataFrame:
+    """The full cleaning, lazily planned (one dedup shuffle, one median aggregate, one join).
+
+    ``median_rows_bound``: a known upper bound of the (station_id, month) keys, e.g. stations x 12 from the
+    stations dimension; without it a two-column pre-pass counts the distinct keys (capped)."""
     base = remove_duplicates(remove_negative(drop_redundant(df)))
     if not all(k in base.columns for k in IMPUTE_KEYS):
         return base
-    medians = group_medians(base)
+    medians = group_medians(base, method=median_method)
     # Upper bound of the median table: distinct keys of the input (filtering and dedup only remove keys).
-    bound = df.select(*IMPUTE_KEYS).distinct().limit(median_broadcast_max_rows + 1).count()
+    bound = median_rows_bound if median_rows_bound is not None else \
+        df.select(*IMPUTE_KEYS).distinct().limit(median_broadcast_max_rows + 1).count()
     medians = broadcast_if_bounded(medians, bound=bound, max_rows=median_broadcast_max_rows)
     return impute_with_medians(base, medians)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolake.operators.star import build_fact, pollutants_dim, stations_dim, validate_keys
+from aerolake.operators.star import KeyViolation, build_fact, pollutants_dim, stations_dim, validate_keys
 from aerolake.schema import SERVING_TABLES
 from aerolake.sources.parquet import load_raw
 from aerolake.sources.sinks import read_if_exists
@@ -57,10 +57,15 @@ def load_raw_data(spark: SparkSession, database: str, parquet_file: str, counts:
     raw = load_raw(spark, parquet_file)  # FileNotFoundError / IOError on a bad path
     stations = stations_dim(raw)
     pollutants = pollutants_dim(raw, "int")
-    # V1. The pollutant keys hold by construction (DISTINCT names numbered by row_number); the station key
-    # depends on the data (one station id with two cities breaks it).
-    validate_keys(stations, ["station_id"], "stations")
     stations.select("station_id", "city", "state").write.insertInto(f"`{database}`.`stations`", overwrite=True)
+    # V1 on the stored (small) table instead of a second scan of the raw data. The pollutant keys hold by
+    # construction (DISTINCT names numbered by row_number); the station key depends on the data (one
+    # station id with two cities breaks it). On a violation the table is emptied, like a failed INSERT.
+    try:
+        validate_keys(spark.table(f"`{database}`.`stations`"), ["station_id"], "stations")
+    except KeyViolation:
+        spark.sql(f"TRUNCATE TABLE `{database}`.`stations`")
+        raise
     pollutants.select("pollutant_id", "pollutant_name").write.insertInto(f"`{database}`.`pollutants`", overwrite=True)
     stored_pollutants = spark.table(f"`{database}`.`pollutants`")
     fact = build_fact(raw, stored_pollutants, include_vws=True, id_order=id_order, stable_input=True)

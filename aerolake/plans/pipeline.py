@@ -51,7 +51,9 @@ def run_pipeline(spark: SparkSession, input_path: str, output_dir: str, raw_db:
 
         t = time.time()
         clean_path = f"{out}/clean.parquet"
-        write_parquet(clean_data(raw), clean_path)
+        # Median-table bound from the stored stations dimension: at most stations x 12 station-months.
+        bound = spark.table(f"`{raw_db}`.`stations`").count() * 12
+        write_parquet(clean_data(raw, median_rows_bound=bound), clean_path)
         clean = spark.read.parquet(clean_path)
         sizes["batch_stats"] = batch_stats(clean).count()
         sizes["level_counts"] = level_counts(clean).count()

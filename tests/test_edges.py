@@ -127,3 +127,22 @@ def test_profiles_on_mock(mock):
     assert "station_id" not in mp
     d = duplicate_audit(mock).first()
     assert (d.total_rows, d.distinct_rows, d.duplicate_rows) == (5, 4, 1)
+
+
+def test_approx_median_option(spark):
+    from aerolake.operators.clean import group_medians
+    df = make_raw(spark, [dict(at_c=v, value=float(i), hour=i) for i, v in enumerate([1.0, 2.0, 3.0])])
+    exact = group_medians(df).first()["__med_at_c"]
+    approx = group_medians(df, method="approx").first()["__med_at_c"]
+    assert exact == 2.0 and approx == 2.0
+    assert clean_data(df, median_rows_bound=12).count() == 3
+
+
+def test_raw_load_rejects_duplicate_station(spark, tmp_out):
+    from aerolake.plans.catalog import create_raw_schema, load_raw_data
+    path = os.path.join(tmp_out, "dup.parquet")
+    make_raw(spark, [dict(city="Delhi"), dict(city="Noida", hour=4)]).write.parquet(path)
+    create_raw_schema(spark, "dup_db")
+    with pytest.raises(KeyViolation):
+        load_raw_data(spark, "dup_db", path)
+    assert spark.table("dup_db.stations").count() == 0
