@@ -32,7 +32,6 @@ def PCT(part: str, whole: str) -> str:
 
 
 _COLS = ", ".join(RAW_COLUMNS)
-_CLEAN_BODY = [c for c in CLEAN_COLUMNS]
 
 LEVEL_CASE = ("CASE WHEN value <= 5 THEN 'safe' WHEN value <= 35 THEN 'moderate' WHEN value <= 55 THEN 'unhealthy' "
               "WHEN value <= 150 THEN 'very_unhealthy' ELSE 'hazardous' END")

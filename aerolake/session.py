@@ -25,6 +25,31 @@ BASE_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Settings sized for the input volume and the cluster, so partitions fit executor memory.
+
+    * Scans: 256 MB splits (100 TB -> ~400k scan tasks instead of ~800k with the 128 MB default).
+    * Shuffles: the widest shuffle is the full-row de-duplication, about the size of the input; start with
+      one partition per ~200 MB of it (at least 2 x cores) and let AQE coalesce towards 256 MB partitions,
+      so no reducer has to spill gigabytes.
+    * Skew: a partition 4x the median and above 512 MB is split by AQE's skew-join handling.
+    * Broadcast: dimensions and the median table are small; 64 MB lets AQE broadcast them at runtime.
+    """
+    partitions = max(2 * total_cores, min(200_000, input_bytes // (200 * MB) + 1))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * MB),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+    }
+
+
 def get_session(master: str | None = None, app_name: str = "aerolake",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's settings.

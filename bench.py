@@ -82,7 +82,10 @@ def run_steps(spark, raw_path: str, work: str, prefix: str) -> dict[str, float]:
     timed("q1_direct_parquet", lambda: B.q1_direct_on_path(spark, raw_path).collect())
 
     clean_path = f"{work}/clean.parquet"
-    timed("clean_write", lambda: clean_data(load_raw(spark, raw_path)).write.mode("overwrite").parquet(clean_path))
+    # like the pipeline: the median table's row bound comes from the stored stations dimension (x 12 months)
+    timed("clean_write", lambda: clean_data(load_raw(spark, raw_path),
+                                            median_rows_bound=spark.table(f"{db}.stations").count() * 12)
+          .write.mode("overwrite").parquet(clean_path))
     clean = spark.read.parquet(clean_path)
     timed("batch_stats", lambda: batch_stats(clean).collect())
     timed("level_counts", lambda: level_counts(clean).collect())

@@ -90,3 +90,11 @@ def test_parse_timestamp_and_thousands(spark):
     df = spark.createDataFrame([("2024-01-01T01:00:00Z", 5831431)], "s string, n long")
     r = df.select(parse_timestamp("s").alias("t"), thousands("n").alias("n")).first()
     assert r.t == dt.datetime(2024, 1, 1, 1, 0) and r.n == "5,831,431"
+
+
+def test_scale_conf():
+    from aerolake.session import scale_conf
+    big = scale_conf(100 * 10**12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) > 100_000
+    small = scale_conf(10**6, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
