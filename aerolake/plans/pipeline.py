@@ -23,7 +23,7 @@ from aerolake.plans.catalog import create_raw_schema, load_raw_data, setup_serve
 from aerolake.sources.parquet import load_raw
 from aerolake.sources.partitioned import partition_dataset
 from aerolake.sources.report import generate_summary
-from aerolake.sources.sinks import write_parquet
+from aerolake.sources.sinks import read_clean, write_clean
 
 log = logging.getLogger("aerolake.pipeline")
 
@@ -53,8 +53,8 @@ def run_pipeline(spark: SparkSession, input_path: str, output_dir: str, raw_db:
         clean_path = f"{out}/clean.parquet"
         # Median-table bound from the stored stations dimension: at most stations x 12 station-months.
         bound = spark.table(f"`{raw_db}`.`stations`").count() * 12
-        write_parquet(clean_data(raw, median_rows_bound=bound), clean_path)
-        clean = spark.read.parquet(clean_path)
+        write_clean(clean_data(raw, median_rows_bound=bound), clean_path)
+        clean = read_clean(spark, clean_path)
         sizes["batch_stats"] = batch_stats(clean).count()
         sizes["level_counts"] = level_counts(clean).count()
         etl = run_etl(clean, f"{out}/transformed")

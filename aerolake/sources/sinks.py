@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from aerolake.schema import CLEAN_COLUMNS
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -12,6 +15,24 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_clean(df: DataFrame, path: str) -> str:
+    """Write the clean dataset partitioned by pollutant, each file sorted by station and time.
+
+    Most marts read one pollutant (PM2.5 level counts, AQI rows, hourly profile, weekday pattern, hourly
+    series), so their scans list one directory (``PartitionFilters``); the sort lets station / time
+    filters skip row groups. No shuffle is added: each task writes its rows per pollutant."""
+    (df.sortWithinPartitions(F.col("pollutant"), F.col("station_id"), F.col("datetime"))
+       .write.mode("overwrite").partitionBy("pollutant").parquet(path))
+    return path
+
+
+def read_clean(spark: SparkSession, path: str) -> DataFrame:
+    """Read the clean dataset back with the columns in their original order (the partition column
+    ``pollutant`` would otherwise come last)."""
+    df = spark.read.parquet(path)
+    return df.select(*[c for c in CLEAN_COLUMNS if c in df.columns])
+
+
 def write_outputs(outputs: dict[str, DataFrame], output_dir: str) -> dict[str, str]:
     """Write each named output to ``<output_dir>/<name>.parquet``."""
     root = output_dir.rstrip("/")

@@ -36,6 +36,7 @@ from aerolake.plans.catalog import create_raw_schema, load_raw_data, setup_serve
 from aerolake.session import get_session, scratch_path  # noqa: E402
 from aerolake.sources.fixture import load_fixture_raw  # noqa: E402
 from aerolake.sources.parquet import load_raw  # noqa: E402
+from aerolake.sources.sinks import read_clean, write_clean  # noqa: E402
 
 
 def main() -> None:
@@ -83,10 +84,12 @@ def run_steps(spark, raw_path: str, work: str, prefix: str) -> dict[str, float]:
 
     clean_path = f"{work}/clean.parquet"
     # like the pipeline: the median table's row bound comes from the stored stations dimension (x 12 months)
-    timed("clean_write", lambda: clean_data(load_raw(spark, raw_path),
-                                            median_rows_bound=spark.table(f"{db}.stations").count() * 12)
-          .write.mode("overwrite").parquet(clean_path))
-    clean = spark.read.parquet(clean_path)
+    def clean_and_write():
+        bound = spark.table(f"{db}.stations").count() * 12
+        write_clean(clean_data(load_raw(spark, raw_path), median_rows_bound=bound), clean_path)
+
+    timed("clean_write", clean_and_write)
+    clean = read_clean(spark, clean_path)
     timed("batch_stats", lambda: batch_stats(clean).collect())
     timed("level_counts", lambda: level_counts(clean).collect())
     timed("etl", lambda: run_etl(clean, f"{work}/transformed"))
