@@ -1,7 +1,7 @@
 """The ingestion summary report.
 
-All numbers come from Spark aggregates (A1-A6) whose results are bounded by the number of months and
-pollutants; only those small results reach the driver to be formatted as text.
+All numbers come from one Spark aggregate pass (A1-A6 as grouping sets) whose result is bounded by the
+number of months, pollutants and stations; only that small result reaches the driver to be formatted.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ import os
 
 from pyspark.sql import DataFrame
 
-from aerolake.operators.profile import rows_per_month, rows_per_pollutant, summary_counts
 from aerolake.session import local_path
 
 RULE = "=" * 60
@@ -48,12 +47,48 @@ def format_summary(summary: dict, per_month: list[tuple[int, int, int]],
     return "\n".join(lines)
 
 
+# One scan for the whole report: each grouping set yields dimension-sized groups (months, pollutants,
+# stations) with their row count and datetime range; partial aggregation runs before the shuffle.
+PROFILE_SQL = """
+SELECT grouping_id(year, month, pollutant, station_id) AS gid, year, month, pollutant, station_id,
+       count(*) AS n, min(datetime) AS dmin, max(datetime) AS dmax
+FROM {df}
+GROUP BY GROUPING SETS ((year, month), (pollutant), (station_id))
+"""
+
+
+def ingestion_profile(df: DataFrame) -> dict:
+    """All numbers of the report from one pass over ``df``: totals, datetime range, sorted years, distinct
+    stations / pollutants (NULL excluded), rows per year-month (NULL keys dropped), rows per pollutant."""
+    rows = df.sparkSession.sql(PROFILE_SQL, df=df).collect()  # bounded: months + pollutants + stations
+    gid_month = 0b0011  # grouped by year, month
+    gid_pollutant = 0b1101
+    gid_station = 0b1110
+    months = sorted((r["year"], r["month"], r["n"]) for r in rows
+                    if r["gid"] == gid_month and r["year"] is not None and r["month"] is not None)
+    pollutants = [r for r in rows if r["gid"] == gid_pollutant]
+    stations = [r for r in rows if r["gid"] == gid_station]
+    per_pollutant = sorted(((r["pollutant"], r["n"]) for r in pollutants if r["pollutant"] is not None),
+                           key=lambda t: (-t[1], t[0]))
+    dmins = [r["dmin"] for r in pollutants if r["dmin"] is not None]
+    dmaxs = [r["dmax"] for r in pollutants if r["dmax"] is not None]
+    years = sorted({y for y, _, _ in months} | {r["year"] for r in rows if r["gid"] == gid_month and r["year"] is not None})
+    summary = {
+        "total_records": sum(r["n"] for r in pollutants),
+        "n_columns": len(df.columns),
+        "date_min": min(dmins) if dmins else None,
+        "date_max": max(dmaxs) if dmaxs else None,
+        "years": "[" + ", ".join(str(y) for y in years) + "]",
+        "stations": sum(1 for r in stations if r["station_id"] is not None),
+        "pollutant_species": sum(1 for r in pollutants if r["pollutant"] is not None),
+    }
+    return {"summary": summary, "per_month": months, "per_pollutant": per_pollutant}
+
+
 def generate_summary(df: DataFrame, output_path: str) -> str:
-    """Compute the summary with Spark, write it as UTF-8 text to ``output_path`` and return it."""
-    s = summary_counts(df).first().asDict()
-    per_month = [(r["year"], r["month"], r["n_records"]) for r in rows_per_month(df).collect()]
-    per_pollutant = [(r["pollutant"], r["n_records"]) for r in rows_per_pollutant(df).collect()]
-    text = format_summary(s, per_month, per_pollutant)
+    """Compute the summary with Spark (one scan), write it as UTF-8 text to ``output_path``, return it."""
+    prof = ingestion_profile(df)
+    text = format_summary(prof["summary"], prof["per_month"], prof["per_pollutant"])
     path = local_path(output_path)
     try:
         os.makedirs(os.path.dirname(path) or ".", exist_ok=True)

@@ -124,3 +124,16 @@ def test_served_without_preaggregates(spark, mock, tmp_out):
     served = list_tables(spark, "t_served2")
     assert "monthly_aggregates" not in served and "daily_peaks" not in served
     assert "measurements_clean" in served
+
+
+def test_ingestion_profile_matches_separate_aggregates(spark):
+    from aerolake.operators.profile import rows_per_month, rows_per_pollutant, summary_counts
+    from aerolake.sources.fixture import load_fixture_raw
+    from aerolake.sources.report import ingestion_profile
+    raw = load_fixture_raw(spark, "/root/testdata/sf0.001")
+    prof = ingestion_profile(raw)
+    s = summary_counts(raw).first().asDict()
+    for k in ("total_records", "n_columns", "date_min", "date_max", "years", "stations", "pollutant_species"):
+        assert prof["summary"][k] == s[k], k
+    assert prof["per_month"] == [(r.year, r.month, r.n_records) for r in rows_per_month(raw).collect()]
+    assert prof["per_pollutant"] == [(r.pollutant, r.n_records) for r in rows_per_pollutant(raw).collect()]
