@@ -1,7 +1,7 @@
 """Benchmark: the reference's published measurements, re-run as Spark jobs.
 
 Input: ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) — its ``events`` table mapped to raw sensor rows and
-written once as the raw Parquet file (untimed, like the source's ``team_4.parquet``). Then, timed:
+written once as the raw Parquet input (untimed; the source also starts from one raw Parquet file). Then, timed:
 
   raw_star_load      DDL + dimensions + validated keys + dense-id fact load        (baseline 11.70 s)
   q1..q4             benchmark queries over the raw star                        (37.8 / 82.5 / 126.9 / 56.7 ms)
