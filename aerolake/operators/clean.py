@@ -5,8 +5,8 @@ ones), remove exact duplicate rows, then fill missing weather readings with the
 (station_id, month) group computed on the already filtered and de-duplicated rows.
 
 Plan shape: narrow projection/filter (pushed into the scan) -> one dedup hash aggregate (partial aggregation
-collapses copies map-side, so a hot group of copies costs one row per map task) -> one aggregate computing
-all eight medians at once -> a join back on (station_id, month). The median table has at most
+collapses copies map-side, so a hot group of copies costs one row per map task) -> the eight medians from
+one value histogram (see ``histogram_medians``) -> a join back on (station_id, month). The median table has at most
 (#station-month keys) rows, an upper bound obtained from a two-column pre-pass; it is broadcast only
 under that proven bound, otherwise AQE plans a shuffle join with skew splitting.
 
@@ -16,7 +16,7 @@ Deviation from pandas, on purpose: a row whose station_id or month is NULL keeps
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolake.operators.util import BROADCAST_MAX_ROWS, broadcast_if_bounded
@@ -40,16 +40,48 @@ def remove_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def group_medians(df: DataFrame, columns=None, keys=IMPUTE_KEYS, method: str = "exact",
+def histogram_medians(df: DataFrame, columns, keys=IMPUTE_KEYS) -> DataFrame:
+    """Exact interpolated medians per group from a value histogram (A27 for hot groups).
+
+    The weather columns are unpivoted, a (group, column, value) -> count histogram is built (partial
+    aggregation collapses repeats map-side; the shuffle spreads a hot group's values over reducers by value),
+    each histogram row gets its rank interval through a running count over its (group, column) — rows
+    bounded by the number of distinct values, not by the group's row count — and the one or two rows
+    covering the middle ranks give the median with Spark's interpolation 0.5 * lo + 0.5 * hi."""
+    keys = list(keys)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v"))
+                                for c in columns])).alias("cell")
+    long = df.select(*keys, cells).select(*keys, "cell.col", "cell.v").where(F.col("v").isNotNull())
+    hist = long.groupBy(*keys, "col", "v").agg(F.count(F.lit(1)).alias("c"))
+    grp = Window.partitionBy(*keys, "col")
+    run = grp.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = hist.select(*keys, "col", "v", "c", F.sum("c").over(run).alias("end"), F.sum("c").over(grp).alias("n"))
+    lo = F.floor((F.col("n") - 1) / 2)
+    hi = F.ceil((F.col("n") - 1) / 2)
+    start = F.col("end") - F.col("c")
+    covering = ranked.where(((start <= lo) & (F.col("end") > lo)) | ((start <= hi) & (F.col("end") > hi)))
+    mids = covering.groupBy(*keys, "col").agg(F.min("v").alias("lo_v"), F.max("v").alias("hi_v"))
+    med = F.when(F.col("lo_v") == F.col("hi_v"), F.col("lo_v")) \
+        .otherwise(F.lit(0.5) * F.col("lo_v") + F.lit(0.5) * F.col("hi_v"))
+    wide = mids.groupBy(*keys).agg(*[F.max(F.when(F.col("col") == c, med)).alias(f"__med_{c}") for c in columns])
+    # groups whose readings are all missing have no histogram rows; they simply find no median later
+    return wide
+
+
+def group_medians(df: DataFrame, columns=None, keys=IMPUTE_KEYS, method: str = "histogram",
                   accuracy: int = 100_000) -> DataFrame:
     """Median of each weather column per (station_id, month) in a single aggregate; an all-missing
     group yields NULL.
 
-    ``method="exact"``: Spark's exact ``median`` (interpolated, like pandas). Its partial aggregation keeps a
-    value -> count map per group, so memory follows the number of distinct readings of a station-month
-    (sensor resolution), not its row count. ``method="approx"``: ``percentile_approx`` with ``accuracy``,
-    bounded memory for high-resolution readings — an explicit opt-in, results may differ from pandas."""
+    ``method="histogram"`` (default): exact, via ``histogram_medians`` — a hot station-month's values are
+    merged across many reducers, and the only per-group task ranks the group's distinct values.
+    ``method="exact"``: Spark's exact ``median`` (interpolated, like pandas); same result, but the final merge
+    of a group's partial value -> count maps (one per map task) happens in one reducer, fine for small data
+    or coarse readings. ``method="approx"``: ``percentile_approx`` with ``accuracy``, bounded memory — an
+    explicit opt-in, results may differ from pandas."""
     cols = [c for c in (columns or WEATHER_COLUMNS) if c in df.columns]
+    if method == "histogram":
+        return histogram_medians(df, cols, keys)
     if method == "approx":
         return df.groupBy(*keys).agg(*[F.percentile_approx(c, 0.5, accuracy).cast("double").alias(f"__med_{c}")
                                        for c in cols])
@@ -93,7 +125,7 @@ def impute_with_medians(df: DataFrame, medians: DataFrame, columns=None, keys=IM
 
 
 def clean_data(df: DataFrame, median_broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-               median_rows_bound: int | None = None, median_method: str = "exact") -> DataFrame:
+               median_rows_bound: int | None = None, median_method: str = "histogram") -> DataFrame:
     """The full cleaning, lazily planned (one dedup shuffle, one median aggregate, one join).
 
     ``median_rows_bound``: a known upper bound of the (station_id, month) keys, e.g. stations x 12 from the

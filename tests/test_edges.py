@@ -132,9 +132,10 @@ def test_profiles_on_mock(mock):
 def test_approx_median_option(spark):
     from aerolake.operators.clean import group_medians
     df = make_raw(spark, [dict(at_c=v, value=float(i), hour=i) for i, v in enumerate([1.0, 2.0, 3.0])])
-    exact = group_medians(df).first()["__med_at_c"]
+    hist = group_medians(df).first()["__med_at_c"]
+    exact = group_medians(df, method="exact").first()["__med_at_c"]
     approx = group_medians(df, method="approx").first()["__med_at_c"]
-    assert exact == 2.0 and approx == 2.0
+    assert hist == exact == approx == 2.0
     assert clean_data(df, median_rows_bound=12).count() == 3
 
 
@@ -146,3 +147,14 @@ def test_raw_load_rejects_duplicate_station(spark, tmp_out):
     with pytest.raises(KeyViolation):
         load_raw_data(spark, "dup_db", path)
     assert spark.table("dup_db.stations").count() == 0
+
+
+def test_histogram_medians_match_builtin(spark):
+    from aerolake.operators.clean import group_medians
+    rows = [dict(station_id=f"site_{i % 3}", month=1 + i % 2, at_c=float(i % 7) if i % 5 else None,
+                 rh_percent=float(i % 4) + 0.25, value=float(i), hour=i % 24) for i in range(300)]
+    df = make_raw(spark, rows)
+    a = {(r.station_id, r.month): (r["__med_at_c"], r["__med_rh_percent"]) for r in group_medians(df).collect()}
+    b = {(r.station_id, r.month): (r["__med_at_c"], r["__med_rh_percent"])
+         for r in group_medians(df, method="exact").collect()}
+    assert a == b and len(a) == 6
