@@ -53,6 +53,9 @@ def histogram_medians(df: DataFrame, columns, keys=IMPUTE_KEYS) -> DataFrame:
                                 for c in columns])).alias("cell")
     long = df.select(*keys, cells).select(*keys, "cell.col", "cell.v").where(F.col("v").isNotNull())
     hist = long.groupBy(*keys, "col", "v").agg(F.count(F.lit(1)).alias("c"))
+    # One exchange of the (small) histogram by group: the per-column window and both aggregates below are
+    # then satisfied by this partitioning and add no further shuffle.
+    hist = hist.repartition(*[F.col(k) for k in keys])
     grp = Window.partitionBy(*keys, "col")
     run = grp.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = hist.select(*keys, "col", "v", "c", F.sum("c").over(run).alias("end"), F.sum("c").over(grp).alias("n"))
