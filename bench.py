@@ -58,7 +58,15 @@ def main() -> None:
     times = run_steps(spark, raw_path, work, "bench")
     print(json.dumps({"metric": "pipeline_total_sec", "value": round(sum(times.values()), 4), "unit": "sec",
                       "queries": times, "sf": sf, "rows": spark.read.parquet(raw_path).count(),
-                      "cold_value": round(sum(cold.values()), 4), "cold_queries": cold}))
+                      "cold_value": round(sum(cold.values()), 4), "cold_queries": cold,
+                      "reference_sec": REFERENCE_SEC, "reference_rows": REFERENCE_ROWS}))
+
+
+# Published single-run numbers of the reference for the comparable steps (5,831,431 input rows).
+REFERENCE_ROWS = 5_831_431
+REFERENCE_SEC = {"raw_star_load": 11.70, "q1": 0.0378, "q2": 0.0825, "q3": 0.1269, "q4": 0.0567,
+                 "q1_direct_parquet": 0.0634, "batch_stats": 2.28, "etl": 4.13, "q1_clean": 0.163,
+                 "serving_load": 8.86}
 
 
 def run_steps(spark, raw_path: str, work: str, prefix: str) -> dict[str, float]:
