@@ -50,7 +50,9 @@ def load_raw(spark: SparkSession, path: str, nanos_as_long: bool = False) -> Dat
         raise IOError(f"Failed to read parquet file: {err}") from err
     if nanos_as_long and "datetime" in df.columns and \
             isinstance(df.schema["datetime"].dataType, T.LongType):
-        df = df.withColumn("datetime", F.timestamp_micros(F.col("datetime").cast("long") / 1000).cast("timestamp_ntz"))
+        # integer division: nanoseconds since the epoch exceed a double's exact range
+        micros = F.expr("CAST(`datetime` AS BIGINT) div 1000")
+        df = df.withColumn("datetime", F.timestamp_micros(micros).cast("timestamp_ntz"))
     return nan_to_null(df)
 
 

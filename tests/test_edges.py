@@ -158,3 +158,27 @@ def test_histogram_medians_match_builtin(spark):
     b = {(r.station_id, r.month): (r["__med_at_c"], r["__med_rh_percent"])
          for r in group_medians(df, method="exact").collect()}
     assert a == b and len(a) == 6
+
+
+def test_serving_warns_on_duplicate_station(spark, caplog):
+    import logging
+    from aerolake.plans.catalog import setup_served_database
+    df = clean_data(make_raw(spark, [dict(city="Delhi"), dict(city="Noida", hour=4)]))
+    with caplog.at_level(logging.WARNING, logger="aerolake.catalog"):
+        setup_served_database(spark, "warn_db", df)
+    assert any("fan out" in r.getMessage() for r in caplog.records)
+    assert spark.table("warn_db.stations").count() == 2
+
+
+def test_nanosecond_timestamps(spark, tmp_out):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    ts = pa.array([1_704_067_200_000_000_000, 1_704_070_800_123_456_000], type=pa.timestamp("ns"))
+    table = pa.table({"datetime": ts, "station_id": ["a", "b"], "value": [1.0, float("nan")]})
+    path = os.path.join(tmp_out, "ns.parquet")
+    pq.write_table(table, path, version="2.6")
+    df = load_raw(spark, path, nanos_as_long=True)
+    rows = sorted(df.collect(), key=lambda r: r.station_id)
+    assert str(rows[0].datetime) == "2024-01-01 00:00:00"
+    assert str(rows[1].datetime) == "2024-01-01 01:00:00.123456"
+    assert rows[1].value is None
