@@ -21,7 +21,9 @@ def _fmt_int(n: int) -> str:
 
 def format_summary(summary: dict, per_month: list[tuple[int, int, int]],
                    per_pollutant: list[tuple[str, int]]) -> str:
-    """Render the report text from already-aggregated results."""
+    """Render the report text from already-aggregated results. The two tables follow the usual layout of a
+    printed count series: key columns padded to the wider of name and values, the year shown once per
+    block, counts right-aligned after four spaces."""
     lines = [RULE, "INGESTION SUMMARY", RULE,
              f"Total records      : {_fmt_int(summary['total_records'])}",
              f"Columns            : {summary['n_columns']}",
@@ -38,12 +40,12 @@ def format_summary(summary: dict, per_month: list[tuple[int, int, int]],
     for y, m, c in per_month:
         ylab = str(y) if y != prev else ""
         prev = y
-        lines.append(f"{ylab:<{yw}}  {str(m):<{mw}}  {c:>{cw}}")
+        lines.append(f"{ylab:<{yw}}  {str(m):<{mw}}    {c:>{cw}}")
     lines += ["", "Records per pollutant:", "pollutant"]
     nw = max([len("pollutant")] + [len(str(p)) for p, _ in per_pollutant])
     pw = max([1] + [len(str(c)) for _, c in per_pollutant])
     for p, c in per_pollutant:
-        lines.append(f"{str(p):<{nw}}  {c:>{pw}}")
+        lines.append(f"{str(p):<{nw}}    {c:>{pw}}")
     return "\n".join(lines)
 
 

@@ -137,3 +137,19 @@ def test_ingestion_profile_matches_separate_aggregates(spark):
         assert prof["summary"][k] == s[k], k
     assert prof["per_month"] == [(r.year, r.month, r.n_records) for r in rows_per_month(raw).collect()]
     assert prof["per_pollutant"] == [(r.pollutant, r.n_records) for r in rows_per_pollutant(raw).collect()]
+
+
+def test_summary_layout():
+    from aerolake.sources.report import format_summary
+    text = format_summary({"total_records": 1234567, "n_columns": 22, "date_min": "a", "date_max": "b",
+                           "years": "[2024, 2025]", "stations": 10, "pollutant_species": 2},
+                          [(2024, 1, 226196), (2024, 12, 256766), (2025, 1, 253498)],
+                          [("pm10", 642383), ("eth_benzene", 124814), ("xylene", 92703)])
+    lines = text.splitlines()
+    assert "Total records      : 1,234,567" in lines
+    i = lines.index("Records per year-month:")
+    assert lines[i + 1:i + 5] == ["year  month", "2024  1        226196", "      12       256766",
+                                  "2025  1        253498"]
+    j = lines.index("Records per pollutant:")
+    assert lines[j + 1:j + 5] == ["pollutant", "pm10           642383", "eth_benzene    124814",
+                                  "xylene          92703"]
