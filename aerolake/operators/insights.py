@@ -50,14 +50,17 @@ def station_means(profile: DataFrame) -> DataFrame:
     return profile.groupBy("station_id").agg(round2_half_even(exact_avg("pm25")).alias("pm25"))
 
 
-def station_rank(profile: DataFrame, hour: int | None = None) -> DataFrame:
-    """W4 (+P9): stations ranked cleanest -> worst. With ``hour`` the ranking uses that hour's profile
-    snapshot; when the snapshot is empty (or no hour is given) it falls back to the station means (A21).
-    The first station is badged SAFEST, the last AVOID. Input is bounded by stations x 24."""
+def station_rank(profile: DataFrame, hour=None) -> DataFrame:
+    """W4 (+P9): stations ranked cleanest -> worst. With ``hour`` (an int, a Column, or ``"now"`` for the
+    current hour of the session clock) the ranking uses that hour's profile snapshot; when the snapshot is
+    empty (or no hour is given) it falls back to the station means (A21). The first station is badged
+    SAFEST, the last AVOID. Input is bounded by stations x 24."""
     fallback = station_means(profile).select("station_id", "pm25", F.lit(1).alias("__src"))
     cand = fallback
     if hour is not None:
-        snap = profile.where(F.col("hour") == hour).select("station_id", "pm25", F.lit(0).alias("__src"))
+        h = F.hour(F.current_timestamp()) if isinstance(hour, str) and hour == "now" else \
+            (hour if not isinstance(hour, int) else F.lit(hour))
+        snap = profile.where(F.col("hour") == h).select("station_id", "pm25", F.lit(0).alias("__src"))
         cand = snap.unionByName(fallback)
     chosen = cand.withColumn("__best", F.min("__src").over(Window.partitionBy())) \
         .where(F.col("__src") == F.col("__best"))

@@ -71,3 +71,34 @@ def run_pipeline(spark: SparkSession, input_path: str, output_dir: str, raw_db:
         raise
     timings["total"] = time.time() - t_all
     return {"timings": timings, "sizes": sizes}
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Command line: ``python -m aerolake.plans.pipeline <raw parquet> <output dir> [raw_db] [served_db]``.
+    Exit code 0 on success, 1 when the input is missing or a step fails (the error is logged)."""
+    import argparse
+    import json
+
+    from aerolake.session import get_session
+
+    ap = argparse.ArgumentParser(prog="aerolake.plans.pipeline")
+    ap.add_argument("input_path")
+    ap.add_argument("output_dir")
+    ap.add_argument("raw_db", nargs="?", default="air_quality")
+    ap.add_argument("served_db", nargs="?", default="air_quality_served")
+    args = ap.parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(name)s: %(message)s")
+    spark = get_session()
+    try:
+        result = run_pipeline(spark, args.input_path, args.output_dir, args.raw_db, args.served_db)
+    except FileNotFoundError as err:
+        log.error("Source file not found: %s", err)
+        return 1
+    except Exception:  # already logged with traceback by run_pipeline
+        return 1
+    print(json.dumps(result, default=str))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -83,3 +83,12 @@ def test_lookback_keeps_missing_positions(spark):
     s = _series(spark, [("a", 0, 0.0), ("a", 1, None), ("a", 2, 10.0)])
     out = I.lookback_sequences(s, 3).first()
     assert out.seq == [0.0, None, 1.0]
+
+
+def test_station_rank_now_and_column(spark):
+    from pyspark.sql import functions as F
+    prof = _profile(spark, [(f"s{i}", h, float(i + h)) for i in range(3) for h in range(24)])
+    now = I.station_rank(prof, hour="now").collect()
+    assert [r.basis for r in now] == ["hour_snapshot"] * 3
+    col = I.station_rank(prof, hour=F.lit(5)).orderBy("rank").collect()
+    assert [r.pm25 for r in col] == [5.0, 6.0, 7.0]

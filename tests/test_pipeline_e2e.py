@@ -25,3 +25,8 @@ def test_run_pipeline(spark, tmp_out):
     text = open(os.path.join(tmp_out, "out", "ingestion_summary.txt"), encoding="utf-8").read()
     assert "Total records      : 1,012" in text and "Stations           : 10" in text
     assert res["timings"]["total"] > 0
+
+
+def test_cli_missing_input_exits_1(spark, tmp_out):
+    from aerolake.plans.pipeline import main
+    assert main([os.path.join(tmp_out, "missing.parquet"), os.path.join(tmp_out, "o")]) == 1
