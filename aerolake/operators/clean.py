@@ -6,9 +6,10 @@ ones), remove exact duplicate rows, then fill missing weather readings with the
 
 Plan shape: narrow projection/filter (pushed into the scan) -> one dedup hash aggregate (partial aggregation
 collapses copies map-side, so a hot group of copies costs one row per map task) -> the eight medians from
-one value histogram (see ``histogram_medians``) -> a join back on (station_id, month). The median table has at most
-(#station-month keys) rows, an upper bound obtained from a two-column pre-pass; it is broadcast only
-under that proven bound, otherwise AQE plans a shuffle join with skew splitting.
+one value histogram (see ``histogram_medians``) -> a join back on (station_id, month). The median table
+has at most (#station-month keys) rows, an upper bound given by the caller or obtained from a two-column
+pre-pass; it is broadcast only under that proven bound, otherwise AQE plans a shuffle join with skew
+splitting.
 
 Deviation from pandas, on purpose: a row whose station_id or month is NULL keeps its weather values
 (pandas' grouped transform would blank them); such rows simply find no median.
@@ -73,8 +74,8 @@ def histogram_medians(df: DataFrame, columns, keys=IMPUTE_KEYS) -> DataFrame:
 
 def group_medians(df: DataFrame, columns=None, keys=IMPUTE_KEYS, method: str = "histogram",
                   accuracy: int = 100_000) -> DataFrame:
-    """Median of each weather column per (station_id, month) in a single aggregate; an all-missing
-    group yields NULL.
+    """Median of each weather column per (station_id, month), all eight columns in one pass; an
+    all-missing group yields NULL.
 
     ``method="histogram"`` (default): exact, via ``histogram_medians`` — a hot station-month's values are
     merged across many reducers, and the only per-group task ranks the group's distinct values.
@@ -129,7 +130,7 @@ def impute_with_medians(df: DataFrame, medians: DataFrame, columns=None, keys=IM
 
 def clean_data(df: DataFrame, median_broadcast_max_rows: int = BROADCAST_MAX_ROWS,
                median_rows_bound: int | None = None, median_method: str = "histogram") -> DataFrame:
-    """The full cleaning, lazily planned (one dedup shuffle, one median aggregate, one join).
+    """The full cleaning, lazily planned (one dedup shuffle, the median histogram, one join).
 
     ``median_rows_bound``: a known upper bound of the (station_id, month) keys, e.g. stations x 12 from the
     stations dimension; without it a two-column pre-pass counts the distinct keys (capped)."""
