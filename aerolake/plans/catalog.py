@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aerolake.operators.star import KeyViolation, build_fact, pollutants_dim, stations_dim, validate_keys
 from aerolake.schema import SERVING_TABLES
+from aerolake.session import run_concurrently
 from aerolake.sources.parquet import load_raw
 from aerolake.sources.sinks import read_if_exists
 
@@ -61,16 +62,24 @@ def load_raw_data(spark: SparkSession, database: str, parquet_file: str, counts:
     raw = load_raw(spark, parquet_file)  # FileNotFoundError / IOError on a bad path
     stations = stations_dim(raw)
     pollutants = pollutants_dim(raw, "int")
-    stations.select("station_id", "city", "state").write.insertInto(f"`{database}`.`stations`", overwrite=True)
-    # V1 on the stored (small) table instead of a second scan of the raw data. The pollutant keys hold by
-    # construction (DISTINCT names numbered by row_number); the station key depends on the data (one
-    # station id with two cities breaks it). On a violation the table is emptied, like a failed INSERT.
-    try:
-        validate_keys(spark.table(f"`{database}`.`stations`"), ["station_id"], "stations")
-    except KeyViolation:
-        spark.sql(f"TRUNCATE TABLE `{database}`.`stations`")
-        raise
-    pollutants.select("pollutant_id", "pollutant_name").write.insertInto(f"`{database}`.`pollutants`", overwrite=True)
+
+    def load_stations():
+        stations.select("station_id", "city", "state").write.insertInto(f"`{database}`.`stations`", overwrite=True)
+        # V1 on the stored (small) table instead of a second scan of the raw data. The pollutant keys hold
+        # by construction (DISTINCT names numbered by row_number); the station key depends on the data
+        # (one station id with two cities breaks it). On a violation the table is emptied, like a failed
+        # INSERT, and the fact is not loaded.
+        try:
+            validate_keys(spark.table(f"`{database}`.`stations`"), ["station_id"], "stations")
+        except KeyViolation:
+            spark.sql(f"TRUNCATE TABLE `{database}`.`stations`")
+            raise
+
+    def load_pollutants():
+        pollutants.select("pollutant_id", "pollutant_name").write.insertInto(f"`{database}`.`pollutants`",
+                                                                             overwrite=True)
+
+    run_concurrently(spark, load_stations, load_pollutants)
     stored_pollutants = spark.table(f"`{database}`.`pollutants`")
     fact = build_fact(raw, stored_pollutants, include_vws=True, id_order=id_order, stable_input=True)
     table_cols = spark.table(f"`{database}`.`measurements`").columns  # insertInto is positional
@@ -90,23 +99,36 @@ def setup_served_database(spark: SparkSession, database: str, df_clean: DataFram
     create_database(spark, database, location)
     for t in SERVING_TABLES:
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{t}`")
-    stations_dim(df_clean).orderBy("station_id").write.mode("overwrite").saveAsTable(f"`{database}`.`stations`")
-    # Serving tables carry no constraints; a station id with two cities would fan out the station join,
-    # so it is reported (checked on the small stored table) rather than rejected.
-    try:
-        validate_keys(spark.table(f"`{database}`.`stations`"), ["station_id"], "stations")
-    except KeyViolation as err:
-        log.warning("serving stations table: %s; joins on station_id will fan out", err)
+    # The fact needs the stored pollutant ids; everything else is independent of it and of each other.
     pollutants_dim(df_clean, "long").write.mode("overwrite").saveAsTable(f"`{database}`.`pollutants`")
     stored_pollutants = spark.table(f"`{database}`.`pollutants`")
-    (build_fact(df_clean, stored_pollutants, include_vws=False, id_order=id_order, stable_input=stable_input)
-        .sortWithinPartitions(*FACT_SORT)
-        .write.mode("overwrite").partitionBy(FACT_PARTITION).saveAsTable(f"`{database}`.`measurements_clean`"))
-    for name, path in (("monthly_aggregates", monthly_avg_path), ("daily_peaks", daily_peaks_path)):
-        if path:
+
+    def load_fact():
+        (build_fact(df_clean, stored_pollutants, include_vws=False, id_order=id_order, stable_input=stable_input)
+            .sortWithinPartitions(*FACT_SORT)
+            .write.mode("overwrite").partitionBy(FACT_PARTITION).saveAsTable(f"`{database}`.`measurements_clean`"))
+
+    def load_stations():
+        stations_dim(df_clean).orderBy("station_id").write.mode("overwrite").saveAsTable(f"`{database}`.`stations`")
+        # Serving tables carry no constraints; a station id with two cities would fan out the station join,
+        # so it is reported (checked on the small stored table) rather than rejected.
+        try:
+            validate_keys(spark.table(f"`{database}`.`stations`"), ["station_id"], "stations")
+        except KeyViolation as err:
+            log.warning("serving stations table: %s; joins on station_id will fan out", err)
+
+    def load_preaggregate(name, path):
+        def step():
             df = read_if_exists(spark, path)
             if df is not None:
                 df.write.mode("overwrite").saveAsTable(f"`{database}`.`{name}`")
+        return step
+
+    steps = [load_fact, load_stations]
+    for name, path in (("monthly_aggregates", monthly_avg_path), ("daily_peaks", daily_peaks_path)):
+        if path:
+            steps.append(load_preaggregate(name, path))
+    run_concurrently(spark, *steps)
 
 
 def list_tables(spark: SparkSession, database: str) -> list[str]:

@@ -99,3 +99,19 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def run_concurrently(spark: SparkSession, *steps):
+    """Run independent Spark actions from separate driver threads so the scheduler overlaps their jobs
+    (Spark accepts jobs from several threads of one application). Local properties such as the job
+    description are inherited; the first error is re-raised after all steps finished."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
+    with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    errors = [f.exception() for f in futures if f.exception() is not None]
+    if errors:
+        raise errors[0]
+    return [f.result() for f in futures]

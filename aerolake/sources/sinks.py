@@ -34,9 +34,16 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_outputs(outputs: dict[str, DataFrame], output_dir: str) -> dict[str, str]:
-    """Write each named output to ``<output_dir>/<name>.parquet``."""
+    """Write each named output to ``<output_dir>/<name>.parquet``. The writes are independent jobs and
+    are submitted together so the scheduler overlaps them."""
+    from aerolake.session import run_concurrently
+
     root = output_dir.rstrip("/")
-    return {name: write_parquet(df, f"{root}/{name}.parquet") for name, df in outputs.items()}
+    paths = {name: f"{root}/{name}.parquet" for name in outputs}
+    if outputs:
+        spark = next(iter(outputs.values())).sparkSession
+        run_concurrently(spark, *[(lambda d=df, p=paths[n]: write_parquet(d, p)) for n, df in outputs.items()])
+    return paths
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
