@@ -98,3 +98,18 @@ def test_scale_conf():
     assert int(big["spark.sql.shuffle.partitions"]) > 100_000
     small = scale_conf(10**6, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_run_concurrently(spark):
+    import pytest
+    from aerolake.session import run_concurrently
+    out = run_concurrently(spark, lambda: spark.range(10).count(), lambda: spark.range(5).count())
+    assert out == [10, 5]
+    seen = []
+
+    def bad():
+        raise ValueError("boom")
+
+    with pytest.raises(ValueError):
+        run_concurrently(spark, bad, lambda: seen.append(spark.range(3).count()))
+    assert seen == [3]  # the other step still ran to completion
