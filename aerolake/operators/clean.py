@@ -57,9 +57,10 @@ def histogram_medians(df: DataFrame, columns, keys=IMPUTE_KEYS) -> DataFrame:
     # One exchange of the (small) histogram by group: the per-column window and both aggregates below are
     # then satisfied by this partitioning and add no further shuffle.
     hist = hist.repartition(*[F.col(k) for k in keys])
-    grp = Window.partitionBy(*keys, "col")
-    run = grp.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = hist.select(*keys, "col", "v", "c", F.sum("c").over(run).alias("end"), F.sum("c").over(grp).alias("n"))
+    ordered = Window.partitionBy(*keys, "col").orderBy("v")
+    run = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # same sort, one operator
+    ranked = hist.select(*keys, "col", "v", "c", F.sum("c").over(run).alias("end"), F.sum("c").over(whole).alias("n"))
     lo = F.floor((F.col("n") - 1) / 2)
     hi = F.ceil((F.col("n") - 1) / 2)
     start = F.col("end") - F.col("c")
