@@ -91,11 +91,17 @@ def generate_summary(df: DataFrame, output_path: str) -> str:
     """Compute the summary with Spark (one scan), write it as UTF-8 text to ``output_path``, return it."""
     prof = ingestion_profile(df)
     text = format_summary(prof["summary"], prof["per_month"], prof["per_pollutant"])
-    path = local_path(output_path)
+    scheme = output_path.split("://", 1)[0] if "://" in output_path else "file"
     try:
-        os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-        with open(path, "w", encoding="utf-8") as fh:
-            fh.write(text)
-    except OSError as err:
+        if scheme == "file":
+            path = local_path(output_path)
+            os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+            with open(path, "w", encoding="utf-8") as fh:
+                fh.write(text)
+        else:
+            # shared storage (hdfs://, s3a://, ...): a one-row text dataset, never the driver's local disk
+            (df.sparkSession.createDataFrame([(text,)], "value string").coalesce(1)
+               .write.mode("overwrite").text(output_path))
+    except Exception as err:
         raise IOError(f"Failed to write summary report: {err}") from err
     return text
