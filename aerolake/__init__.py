@@ -13,6 +13,6 @@ Subpackages:
 * ``streaming`` — month-at-a-time incremental batch statistics over the partitioned layout
 """
 
-from aerolake.session import get_session, checkpoint_root, scratch_path
+from aerolake.session import checkpoint_root, get_session, run_concurrently, scale_conf, scratch_path
 
-__all__ = ["get_session", "checkpoint_root", "scratch_path"]
+__all__ = ["get_session", "checkpoint_root", "scratch_path", "scale_conf", "run_concurrently"]
