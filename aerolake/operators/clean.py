@@ -73,6 +73,47 @@ def histogram_medians(df: DataFrame, columns, keys=IMPUTE_KEYS) -> DataFrame:
     return wide
 
 
+def bucketed_medians(df: DataFrame, columns, keys=IMPUTE_KEYS, buckets: int = 64) -> DataFrame:
+    """Exact medians like ``histogram_medians`` with no task ranking all distinct values of one group.
+
+    Per weather column, approximate-quantile boundaries of its values (one small aggregate, collected as a
+    constant-folded literal map) cut the value axis into ``buckets`` ranges; a hot group dominates those
+    quantiles, so its values spread over many buckets. Bucket totals per (group, column, bucket) give each
+    bucket its starting rank through a window over at most ``buckets`` rows per (group, column); a running
+    count inside each (group, column, bucket) gives every histogram row its rank interval."""
+    import json
+
+    keys = list(keys)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v"))
+                                for c in columns])).alias("cell")
+    long = df.select(*keys, cells).select(*keys, "cell.col", "cell.v").where(F.col("v").isNotNull())
+    cuts = [i / buckets for i in range(1, buckets)]
+    bounds = {r["col"]: sorted(set(r["b"] or [])) for r in
+              long.groupBy("col").agg(F.percentile_approx("v", cuts, 10 * buckets).alias("b")).collect()}
+    bmap = F.from_json(F.lit(json.dumps({c: [float(x) for x in bounds.get(c, [])] for c in columns})),
+                       "map<string,array<double>>")
+    hist = long.groupBy(*keys, "col", "v").agg(F.count(F.lit(1)).alias("c")) \
+        .withColumn("bk", F.size(F.filter(F.coalesce(F.element_at(bmap, F.col("col")), F.array().cast("array<double>")),
+                                          lambda b: b < F.col("v"))))
+    totals = hist.groupBy(*keys, "col", "bk").agg(F.sum("c").alias("t"))
+    by_group = Window.partitionBy(*keys, "col").orderBy("bk")
+    offsets = totals.select(*keys, "col", "bk",
+                            (F.sum("t").over(by_group.rowsBetween(Window.unboundedPreceding, 0)) - F.col("t")).alias("off"),
+                            F.sum("t").over(by_group.rowsBetween(Window.unboundedPreceding,
+                                                                 Window.unboundedFollowing)).alias("n"))
+    within = Window.partitionBy(*keys, "col", "bk").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = hist.join(offsets, [*keys, "col", "bk"]) \
+        .select(*keys, "col", "v", "c", "n", (F.col("off") + F.sum("c").over(within)).alias("end"))
+    lo = F.floor((F.col("n") - 1) / 2)
+    hi = F.ceil((F.col("n") - 1) / 2)
+    start = F.col("end") - F.col("c")
+    covering = ranked.where(((start <= lo) & (F.col("end") > lo)) | ((start <= hi) & (F.col("end") > hi)))
+    mids = covering.groupBy(*keys, "col").agg(F.min("v").alias("lo_v"), F.max("v").alias("hi_v"))
+    med = F.when(F.col("lo_v") == F.col("hi_v"), F.col("lo_v")) \
+        .otherwise(F.lit(0.5) * F.col("lo_v") + F.lit(0.5) * F.col("hi_v"))
+    return mids.groupBy(*keys).agg(*[F.max(F.when(F.col("col") == c, med)).alias(f"__med_{c}") for c in columns])
+
+
 def group_medians(df: DataFrame, columns=None, keys=IMPUTE_KEYS, method: str = "histogram",
                   accuracy: int = 100_000) -> DataFrame:
     """Median of each weather column per (station_id, month), all eight columns in one pass; an
@@ -80,6 +121,8 @@ def group_medians(df: DataFrame, columns=None, keys=IMPUTE_KEYS, method: str = "
 
     ``method="histogram"`` (default): exact, via ``histogram_medians`` — a hot station-month's values are
     merged across many reducers, and the only per-group task ranks the group's distinct values.
+    ``method="bucketed"``: exact as well, via ``bucketed_medians`` — additionally splits one group's
+    distinct values over value buckets, for continuous (unquantised) readings.
     ``method="exact"``: Spark's exact ``median`` (interpolated, like pandas); same result, but the final merge
     of a group's partial value -> count maps (one per map task) happens in one reducer, fine for small data
     or coarse readings. ``method="approx"``: ``percentile_approx`` with ``accuracy``, bounded memory — an
@@ -87,6 +130,8 @@ def group_medians(df: DataFrame, columns=None, keys=IMPUTE_KEYS, method: str = "
     cols = [c for c in (columns or WEATHER_COLUMNS) if c in df.columns]
     if method == "histogram":
         return histogram_medians(df, cols, keys)
+    if method == "bucketed":
+        return bucketed_medians(df, cols, keys)
     if method == "approx":
         return df.groupBy(*keys).agg(*[F.percentile_approx(c, 0.5, accuracy).cast("double").alias(f"__med_{c}")
                                        for c in cols])

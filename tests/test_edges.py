@@ -182,3 +182,18 @@ def test_nanosecond_timestamps(spark, tmp_out):
     assert str(rows[0].datetime) == "2024-01-01 00:00:00"
     assert str(rows[1].datetime) == "2024-01-01 01:00:00.123456"
     assert rows[1].value is None
+
+
+def test_bucketed_medians_hot_continuous_group(spark):
+    """One hot station-month with continuous readings next to small groups: exact on every group."""
+    import numpy as np
+    from aerolake.operators.clean import group_medians
+    rng = np.random.RandomState(11)
+    rows = [dict(station_id="site_hot", month=1, at_c=float(v), value=1.0, hour=i % 24)
+            for i, v in enumerate(rng.normal(20, 5, 2001))]
+    rows += [dict(station_id=f"site_{i % 4}", month=2, at_c=float(i % 9) * 1.5 if i % 3 else None,
+                  value=2.0, hour=i % 24) for i in range(200)]
+    df = make_raw(spark, rows)
+    got = {(r.station_id, r.month): r["__med_at_c"] for r in group_medians(df, method="bucketed").collect()}
+    ref = {(r.station_id, r.month): r["__med_at_c"] for r in group_medians(df, method="exact").collect()}
+    assert got == ref and len(got) == 5
