@@ -57,8 +57,9 @@ DISTINCT_VALUE_COLUMNS = ["year", "month", "state", "city", "station_id", "pollu
 def distinct_values(df: DataFrame, columns=None) -> DataFrame:
     """A3: sorted distinct non-NULL values of low-cardinality columns, as (column_name, value, position).
 
-    Each column is de-duplicated by its own aggregate first; the ranking window then only sees the
-    distinct values of one column."""
+    Each column is de-duplicated by its own aggregate over a one-column scan (column pruning makes the six
+    scans read the same bytes as one six-column scan); the ranking window then only sees the distinct
+    values of one column, in its native type (so months sort numerically)."""
     parts = []
     for c in (columns or DISTINCT_VALUE_COLUMNS):
         if c not in df.columns:
@@ -151,16 +152,22 @@ def value_describe(df: DataFrame, column: str = "value", exact: bool = True) ->
 
 def negative_audit(df: DataFrame) -> DataFrame:
     """Negative readings overall and per pollutant, with their share of all rows (2 decimals).
-    Rows: scope 'all' (pollutant NULL) and scope 'pollutant'."""
-    total = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("value") < 0).alias("neg"))
-    overall = total.select(F.lit("all").alias("scope"), F.lit(None).cast("string").alias("pollutant"),
-                           F.col("neg").cast("long").alias("n_negative"),
-                           round2_half_even(pct("neg", "rows")).alias("pct_of_rows"))
-    all_rows = df.select(F.count(F.lit(1))).scalar()  # scalar subquery, no join
-    per = (df.where(F.col("value") < 0).groupBy("pollutant").agg(F.count(F.lit(1)).alias("n_negative"))
-             .select(F.lit("pollutant").alias("scope"), "pollutant", "n_negative",
-                     round2_half_even(pct("n_negative", all_rows)).alias("pct_of_rows")))
-    return overall.unionByName(per)
+    Rows: scope 'all' (pollutant NULL) and scope 'pollutant' (pollutants with at least one negative).
+
+    One scan and one branch: ``GROUPING SETS ((), (pollutant))`` yields the grand total and the
+    per-pollutant counts together; the grand total reaches the pollutant rows through a window over this
+    tiny result, and a single projection labels the rows."""
+    g = df.sparkSession.sql(
+        "SELECT grouping_id(pollutant) AS gid, pollutant, count(*) AS n, "
+        "CAST(sum(CASE WHEN value < 0 THEN 1 ELSE 0 END) AS BIGINT) AS neg "
+        "FROM {df} GROUP BY GROUPING SETS ((), (pollutant))", df=df)
+    g = g.withColumn("__rows", F.max(F.when(F.col("gid") == 1, F.col("n"))).over(Window.partitionBy()))
+    total = F.col("gid") == 1
+    return g.where(total | (F.col("neg") > 0)).select(
+        F.when(total, F.lit("all")).otherwise(F.lit("pollutant")).alias("scope"),
+        F.when(total, F.lit(None).cast("string")).otherwise(F.col("pollutant")).alias("pollutant"),
+        F.coalesce(F.col("neg"), F.lit(0)).cast("long").alias("n_negative"),
+        round2_half_even(pct(F.coalesce(F.col("neg"), F.lit(0)), "__rows")).alias("pct_of_rows"))
 
 
 def duplicate_audit(df: DataFrame) -> DataFrame:
