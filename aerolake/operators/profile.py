@@ -198,14 +198,16 @@ def dirty_sample(df: DataFrame, n: int = 10) -> DataFrame:
 # ----------------------------------------------------------------------------------------- A29, A30
 def _extremes(per_period: DataFrame, measure: str, ascending_label: str, descending_label: str) -> DataFrame:
     """Smallest and largest ``measure`` over a per-period table (earliest period breaks ties). The input is
-    bounded by the number of months, so a global window is fine here."""
+    bounded by the number of months, so global windows are fine here. A single branch: each row carries the
+    labels it earns (a one-period table earns both) and is exploded once per label."""
     lo = Window.orderBy(F.col(measure).asc_nulls_last(), F.col("period"))
     hi = Window.orderBy(F.col(measure).desc_nulls_last(), F.col("period"))
     ranked = per_period.where(F.col(measure).isNotNull()) \
         .withColumn("__lo", F.row_number().over(lo)).withColumn("__hi", F.row_number().over(hi))
-    return (ranked.where(F.col("__lo") == 1).withColumn("kind", F.lit(ascending_label))
-            .unionByName(ranked.where(F.col("__hi") == 1).withColumn("kind", F.lit(descending_label)))
-            .drop("__lo", "__hi"))
+    labels = F.filter(F.array(F.when(F.col("__lo") == 1, F.lit(ascending_label)),
+                              F.when(F.col("__hi") == 1, F.lit(descending_label))), lambda x: x.isNotNull())
+    return (ranked.where((F.col("__lo") == 1) | (F.col("__hi") == 1))
+                  .withColumn("kind", F.explode(labels)).drop("__lo", "__hi"))
 
 
 def month_extremes_who(df: DataFrame, exact: bool = True) -> DataFrame:
