@@ -54,20 +54,29 @@ def station_rank(profile: DataFrame, hour=None) -> DataFrame:
     """W4 (+P9): stations ranked cleanest -> worst. With ``hour`` (an int, a Column, or ``"now"`` for the
     current hour of the session clock) the ranking uses that hour's profile snapshot; when the snapshot is
     empty (or no hour is given) it falls back to the station means (A21). The first station is badged
-    SAFEST, the last AVOID. Input is bounded by stations x 24."""
-    fallback = station_means(profile).select("station_id", "pm25", F.lit(1).alias("__src"))
-    cand = fallback
-    if hour is not None:
+    SAFEST, the last AVOID.
+
+    One aggregate per station carries both the snapshot value and the mean, so the profile (and whatever
+    produced it) is computed once; the choice between them is a window over the per-station rows, which
+    are bounded by the number of stations."""
+    if hour is None:
+        in_snap = F.lit(False)
+    else:
         h = F.hour(F.current_timestamp()) if isinstance(hour, str) and hour == "now" else \
             (hour if not isinstance(hour, int) else F.lit(hour))
-        snap = profile.where(F.col("hour") == h).select("station_id", "pm25", F.lit(0).alias("__src"))
-        cand = snap.unionByName(fallback)
-    chosen = cand.withColumn("__best", F.min("__src").over(Window.partitionBy())) \
-        .where(F.col("__src") == F.col("__best"))
+        in_snap = F.coalesce(F.col("hour") == h, F.lit(False))
+    per = profile.groupBy("station_id").agg(
+        F.max(in_snap).alias("__has"),
+        F.max(F.when(in_snap, F.col("pm25"))).alias("__snap"),
+        round2_half_even(exact_avg("pm25")).alias("__mean"))
+    any_snap = F.max(F.col("__has")).over(Window.partitionBy())
+    chosen = per.withColumn("__any", any_snap).where(~F.col("__any") | F.col("__has")).select(
+        "station_id",
+        F.when(F.col("__any"), F.col("__snap")).otherwise(F.col("__mean")).alias("pm25"),
+        F.when(F.col("__any"), F.lit("hour_snapshot")).otherwise(F.lit("station_mean")).alias("basis"))
     w = Window.orderBy(F.col("pm25").asc_nulls_last(), F.col("station_id"))
     ranked = chosen.select(
-        "station_id", "pm25",
-        F.when(F.col("__src") == 0, F.lit("hour_snapshot")).otherwise(F.lit("station_mean")).alias("basis"),
+        "station_id", "pm25", "basis",
         F.row_number().over(w).cast("int").alias("rank"),
         F.count(F.lit(1)).over(Window.partitionBy()).cast("int").alias("__n"))
     badge = F.when(F.col("rank") == 1, F.lit("SAFEST")).when(F.col("rank") == F.col("__n"), F.lit("AVOID")) \
