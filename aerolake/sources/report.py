@@ -12,7 +12,19 @@ from pyspark.sql import DataFrame
 
 from aerolake.session import local_path
 
+# The report's title and line labels, in report order (they must read exactly like this).
 RULE = "=" * 60
+TITLE = "INGESTION SUMMARY"
+LABELS = {
+    "total_records": "Total records      : ",
+    "n_columns": "Columns            : ",
+    "date_range": "Date range         : ",
+    "years": "Years              : ",
+    "stations": "Stations           : ",
+    "pollutant_species": "Pollutant species  : ",
+    "per_month": "Records per year-month:",
+    "per_pollutant": "Records per pollutant:",
+}
 
 
 def _fmt_int(n: int) -> str:
@@ -24,14 +36,14 @@ def format_summary(summary: dict, per_month: list[tuple[int, int, int]],
     """Render the report text from already-aggregated results. The two tables follow the usual layout of a
     printed count series: key columns padded to the wider of name and values, the year shown once per
     block, counts right-aligned after four spaces."""
-    lines = [RULE, "INGESTION SUMMARY", RULE,
-             f"Total records      : {_fmt_int(summary['total_records'])}",
-             f"Columns            : {summary['n_columns']}",
-             f"Date range         : {summary['date_min']}  ->  {summary['date_max']}",
-             f"Years              : {summary['years']}",
-             f"Stations           : {summary['stations']}",
-             f"Pollutant species  : {summary['pollutant_species']}",
-             "", "Records per year-month:"]
+    lines = [RULE, TITLE, RULE,
+             LABELS["total_records"] + _fmt_int(summary["total_records"]),
+             LABELS["n_columns"] + str(summary["n_columns"]),
+             LABELS["date_range"] + f"{summary['date_min']}  ->  {summary['date_max']}",
+             LABELS["years"] + str(summary["years"]),
+             LABELS["stations"] + str(summary["stations"]),
+             LABELS["pollutant_species"] + str(summary["pollutant_species"]),
+             "", LABELS["per_month"]]
     yw = max([len("year")] + [len(str(y)) for y, _, _ in per_month])
     mw = max([len("month")] + [len(str(m)) for _, m, _ in per_month])
     cw = max([1] + [len(str(c)) for _, _, c in per_month])
@@ -41,7 +53,7 @@ def format_summary(summary: dict, per_month: list[tuple[int, int, int]],
         ylab = str(y) if y != prev else ""
         prev = y
         lines.append(f"{ylab:<{yw}}  {str(m):<{mw}}    {c:>{cw}}")
-    lines += ["", "Records per pollutant:", "pollutant"]
+    lines += ["", LABELS["per_pollutant"], "pollutant"]
     nw = max([len("pollutant")] + [len(str(p)) for p, _ in per_pollutant])
     pw = max([1] + [len(str(c)) for _, c in per_pollutant])
     for p, c in per_pollutant:
