@@ -44,3 +44,16 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "a int")
     assert assign_dense_ids(df, "id", order_cols=["a"]).count() == 0
     assert assign_dense_ids(df, "id").count() == 0
+
+
+def test_scan_order_ids_are_deterministic_on_recompute(spark, tmp_out):
+    import os
+    path = os.path.join(tmp_out, "ids.parquet")
+    spark.range(0, 5000, 1, 6).select((F.col("id") % 97).alias("a"), (F.col("id") * 7).alias("b")) \
+        .write.parquet(path)
+    df = spark.read.parquet(path)
+    ids = assign_dense_ids(df, "id", stable_input=True)
+    first = sorted((r.id, r.a, r.b) for r in ids.collect())
+    second = sorted((r.id, r.a, r.b) for r in ids.collect())  # a recompute, as after a lost executor
+    assert first == second
+    assert [i for i, _, _ in first] == list(range(1, 5001))
