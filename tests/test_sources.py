@@ -46,3 +46,27 @@ def test_sinks_and_bundle(spark, mock, tmp_out):
     out = write_feature_bundle(feature_bundle(clean, hour=0), os.path.join(tmp_out, "bundle"), also_json=True)
     assert spark.read.parquet(out["station_hourly"]).count() == 2  # PM2.5 rows: one per station, hour 0
     assert os.path.isdir(os.path.join(tmp_out, "bundle", "dow_pattern.json"))
+
+
+def test_hot_month_is_split_into_several_files(spark, tmp_out):
+    from pyspark.sql import functions as F
+    # 19,000 rows in January (the hot month), 1,000 in February
+    rows = spark.range(20000).select(
+        F.lit("site_1").alias("station_id"), F.lit("s").alias("state"), F.lit("c").alias("city"),
+        F.lit("n").alias("station_name"), F.lit("t").alias("timestamp"),
+        F.lit(None).cast("timestamp_ntz").alias("datetime"),
+        *[F.lit(None).cast("double").alias(c) for c in ("at_c", "rh_percent", "ws_m_s", "wd_deg", "rf_mm",
+                                                        "tot_rf_mm", "sr_w_mt2", "bp_mmhg", "vws_m_s")],
+        F.lit("pm25").alias("pollutant"), F.col("id").cast("double").alias("value"), F.lit("n").alias("station"),
+        F.lit(2024).alias("year"), F.when(F.col("id") < 19000, F.lit(1)).otherwise(F.lit(2)).alias("month"),
+        F.lit(1).alias("day"), F.lit(0).alias("hour")).repartition(8)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        root = os.path.join(tmp_out, "hot")
+        assert partition_dataset(rows, root) == 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot_files = [f for f in os.listdir(os.path.join(root, "year=2024", "month=01")) if f.endswith(".parquet")]
+    assert len(hot_files) > 1
+    assert spark.read.parquet(root).count() == 20000
