@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import quality_rules, sharding
-from aerolake.llm import sql
+from aerolake.llm import byte_bpe, language_id, quality_rules, sharding, sql, token_counts
 from aerolake.llm.common import read_table
 
 
@@ -26,8 +25,32 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=16)
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return byte_bpe.round_trip_digest(read_table(spark, sf_dir, "documents"),
+                                      vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents") \
+        .withColumn("held_out", language_id.remainder(F.col("doc_id"), 3) == 1)
+    model = language_id.fit(docs.where(~F.col("held_out")))
+    return language_id.identify(docs, model, keep=("doc_id", "held_out"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality_rules, quality_rule_ablation, op7_sharding)}
+    return {f.__name__: f for f in (
+        op3_quality_rules, quality_rule_ablation, op7_sharding, op8_token_counts, op9_byte_bpe, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

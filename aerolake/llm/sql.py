@@ -73,12 +73,12 @@ s{shards} AS (SELECT doc_id, max(b)::INTEGER AS shard FROM j{shards} GROUP BY do
 
 # CRC-32 of the UTF-8 bytes, byte by byte over a table made from the polynomial.
 _CRC = """
-steps AS (SELECT list_transform(range(256), n -> list_reduce(list_prepend(n::UBIGINT, range(8)::UBIGINT[]),
-  (c, _) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS tab),
+steps AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::UBIGINT, range(8)::UBIGINT[]),
+  lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS tab),
 crc AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
   xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(octet_length(encode(coalesce(text, '')))),
-        i -> ('0x' || substr(hex(encode(coalesce(text, ''))), 2 * i + 1, 2))::UBIGINT)),
-      (c, x) -> xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32
+        lambda i: ('0x' || substr(hex(encode(coalesce(text, ''))), 2 * i + 1, 2))::UBIGINT)),
+      lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32
   FROM documents, steps)"""
 
 
