@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import byte_bpe, language_id, quality_rules, sharding, sql, token_counts
+from aerolake.llm import byte_bpe, language_id, license_scan, quality_rules, sharding, sql, token_counts, url_filter
 from aerolake.llm.common import read_table
 
 
@@ -21,6 +21,14 @@ def quality_rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.ablation(quality_rules.ledger(read_table(spark, sf_dir, "documents")))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=16)
 
@@ -50,7 +58,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_quality_rules, quality_rule_ablation, op7_sharding, op8_token_counts, op9_byte_bpe, op10_language_id)}
+        op3_quality_rules, quality_rule_ablation, op4_license_scan, op6_url_filter, op7_sharding, op8_token_counts, op9_byte_bpe, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

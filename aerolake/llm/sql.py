@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from aerolake.llm.license_scan import THRESHOLD, template_cells
 from aerolake.llm.quality_rules import BASE, CURRENT, POLICIES, RULES
 from aerolake.llm.sharding import LCG_MULTIPLIER
+from aerolake.llm.url_filter import HOST_RULES, MIN_CONFIDENCE, MIN_COUNT, MIN_SUPPORT
 
 _BIT = {r.name: i for i, r in enumerate(RULES)}
 
@@ -78,7 +80,7 @@ steps AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n
 crc AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
   xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(octet_length(encode(coalesce(text, '')))),
         lambda i: ('0x' || substr(hex(encode(coalesce(text, ''))), 2 * i + 1, 2))::UBIGINT)),
-      lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32
+      lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32
   FROM documents, steps)"""
 
 
@@ -89,5 +91,68 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, s16.shard AS shar
 FROM crc JOIN s16 USING (doc_id) JOIN s17 USING (doc_id)"""
 
 
+def _op4() -> str:
+    rows = ", ".join("({}, '{}', '{}', {})".format(i, lic, g.replace("'", "''"), c)
+                     for i, lic, grams in template_cells() for g, c in grams)
+    return f"""WITH cell(template, licence, g, c) AS (VALUES {rows}),
+size AS (SELECT template, sum(c) AS n FROM cell GROUP BY template),
+u AS (SELECT doc_id, 0 AS line, text AS t FROM documents WHERE contains(text, chr(10))
+      UNION ALL
+      SELECT doc_id, i, string_split(text, chr(10))[i]
+      FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
+w AS (SELECT doc_id, line, regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}]+') AS ws FROM u),
+n AS (SELECT doc_id, line, ws, len(ws) - 1 AS n FROM w WHERE len(ws) BETWEEN 2 AND 1000),
+b AS (SELECT doc_id, line, n, ws[i] || ' ' || ws[i + 1] AS g
+      FROM (SELECT *, unnest(range(1, len(ws))) AS i FROM n)),
+k AS (SELECT doc_id, line, n, g, count(*) AS k FROM b GROUP BY ALL),
+s AS (SELECT doc_id, line, template, licence, k.n AS n, sum(least(k, c)) AS common
+      FROM k JOIN cell USING (g) GROUP BY ALL)
+SELECT doc_id, line::INTEGER AS line, template, licence, 2.0::DOUBLE * common / (s.n + size.n) AS dice
+FROM s JOIN size USING (template) WHERE 2.0::DOUBLE * common / (s.n + size.n) >= {THRESHOLD}"""
+
+
+def _op6() -> str:
+    names = sorted(HOST_RULES, key=lambda r: (-len(r.name), r.name))
+    fits = lambda r: (f"((host = '{r.host}' OR ends_with(host, '.{r.host}')) AND "
+                      f"starts_with(path, '{r.path}'))")
+    pick = lambda of: "CASE " + " ".join(f"WHEN {fits(r)} THEN '{of(r)}'" for r in names) + " END"
+    low = lambda x: f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""WITH
+h AS (SELECT page_id, coalesce(url, '') AS url, {low("regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1)")} AS host,
+             regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+p AS (SELECT page_id, host, path, list_sort(list_distinct(
+        list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''), lambda x: 'h=' || x)
+        || list_transform(list_filter(string_split_regex({low('path')}, '[^a-z0-9-]+'), lambda x: x <> ''),
+                          lambda x: 'p=' || CASE WHEN regexp_full_match(x, '[0-9]+') THEN '#' ELSE x END)
+        || list_transform(list_filter(list_transform(string_split(
+             {low("regexp_extract(url, '[?]([^#]*)', 1)")}, '&'), lambda x: regexp_extract(x, '^[^=]*')),
+             lambda x: x <> ''), lambda x: 'q=' || x))) AS items,
+      {pick(lambda r: r.name)} AS rule, {pick(lambda r: r.verdict)} AS given FROM h),
+known AS (SELECT items, given = 'block' AS bad FROM p WHERE given IS NOT NULL
+          UNION ALL
+          SELECT items, mark = 1 FROM p JOIN (SELECT doc_id, max(toxic) AS mark FROM labels GROUP BY doc_id) l
+            ON p.page_id = l.doc_id WHERE given IS NULL AND mark IS NOT NULL),
+least_n AS (SELECT ceil(greatest({MIN_SUPPORT}, {MIN_COUNT}::DOUBLE / count(*)) * count(*)) AS m,
+                   count(*) AS n FROM known),
+-- every combination of a URL's tokens, by the bits of a number
+combos AS (SELECT bad, list_filter(items, lambda x, i: (bits >> (i - 1)) & 1 = 1) AS c
+           FROM (SELECT items, bad, unnest(range(1, (1 << len(items))::BIGINT)) AS bits FROM known)),
+freq AS (SELECT c, count(*) AS n, count(*) FILTER (WHERE bad) AS nb FROM combos GROUP BY c),
+rules AS (SELECT c, nb::DOUBLE / freq.n AS confidence, nb::DOUBLE / least_n.n AS support
+          FROM freq, least_n WHERE nb >= m AND nb::DOUBLE / freq.n >= {MIN_CONFIDENCE}),
+kept AS (SELECT * FROM rules r WHERE NOT EXISTS (
+           SELECT 1 FROM rules q WHERE len(q.c) < len(r.c) AND q.confidence >= r.confidence
+                                   AND list_has_all(r.c, q.c))),
+best AS (SELECT s.items, kept.c, kept.confidence FROM (SELECT DISTINCT items FROM p) s
+         JOIN kept ON list_has_all(s.items, kept.c)
+         QUALIFY row_number() OVER (PARTITION BY s.items ORDER BY kept.confidence DESC, kept.support DESC,
+                                    len(kept.c), array_to_string(kept.c, ' & ')) = 1)
+SELECT page_id, host, path, rule, array_to_string(best.c, ' & ') AS mined_rule,
+       best.confidence AS mined_confidence,
+       coalesce(given, CASE WHEN best.c IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM p LEFT JOIN best USING (items)"""
+
+
 def statements() -> dict[str, str]:
-    return {"op3_quality_rules": _op3(), "quality_rule_ablation": _ablation(), "op7_sharding": _op7()}
+    return {"op3_quality_rules": _op3(), "quality_rule_ablation": _ablation(), "op4_license_scan": _op4(),
+            "op6_url_filter": _op6(), "op7_sharding": _op7()}
