@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import byte_bpe, language_id, license_scan, quality_rules, sharding, sql, token_counts, url_filter
+from aerolake.llm import bloom_lm, byte_bpe, language_id, license_scan, quality_rules, sharding, sql, token_counts, url_filter
 from aerolake.llm.common import read_table
 
 
@@ -25,6 +25,11 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_documents(read_table(spark, sf_dir, "documents"),
+                                    language_id.remainder(F.col("doc_id"), 7) != 2)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
 
@@ -58,7 +63,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_quality_rules, quality_rule_ablation, op4_license_scan, op6_url_filter, op7_sharding, op8_token_counts, op9_byte_bpe, op10_language_id)}
+        op3_quality_rules, quality_rule_ablation, op4_license_scan, op5_lm_scoring, op6_url_filter, op7_sharding, op8_token_counts, op9_byte_bpe, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
