@@ -37,6 +37,27 @@ def _failed(names) -> str:
     return "(" + " OR ".join(f"({r.fails})" for r in RULES if r.name in names) + ")"
 
 
+def _op2() -> str:
+    """The exact definition: aligned windows by weighted shingle similarity, without fingerprints."""
+    return r"""WITH
+d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM documents),
+b AS (SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM benchmark),
+ds AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS s
+       FROM (SELECT *, unnest(range(1, len(ws) - 3)) AS i FROM d WHERE len(ws) >= 5)),
+bs AS (SELECT item_id, j, n, array_to_string(ws[j:j + 4], ' ') AS s
+       FROM (SELECT *, len(ws) AS n, unnest(range(1, len(ws) - 3)) AS j FROM b WHERE len(ws) >= 5)),
+bw AS (SELECT item_id, sum(length(s)) AS w FROM (SELECT DISTINCT item_id, s FROM bs) GROUP BY item_id),
+win AS (SELECT DISTINCT doc_id, n, i - j AS first FROM ds JOIN bs USING (s)),
+ws AS (SELECT DISTINCT doc_id, n, first, s FROM win JOIN ds USING (doc_id)
+       WHERE i > first AND i + 4 <= first + n),
+ww AS (SELECT doc_id, n, first, sum(length(s)) AS w FROM ws GROUP BY ALL),
+common AS (SELECT doc_id, n, first, item_id, sum(length(s)) AS c
+           FROM ws JOIN (SELECT DISTINCT item_id, n, s FROM bs) USING (n, s) GROUP BY ALL)
+SELECT doc_id, item_id, max(c::DOUBLE / (ww.w + bw.w - c)) AS similarity
+FROM common JOIN ww USING (doc_id, n, first) JOIN bw USING (item_id)
+WHERE c::DOUBLE / (ww.w + bw.w - c) >= 0.8 GROUP BY ALL"""
+
+
 def _op3() -> str:
     bits = " + ".join(f"CASE WHEN {r.fails} THEN {1 << i} ELSE 0 END" for i, r in enumerate(RULES))
     return f"""WITH {_MEASURED}
@@ -154,5 +175,5 @@ FROM p LEFT JOIN best USING (items)"""
 
 
 def statements() -> dict[str, str]:
-    return {"op3_quality_rules": _op3(), "quality_rule_ablation": _ablation(), "op4_license_scan": _op4(),
+    return {"op2_decontamination": _op2(), "op3_quality_rules": _op3(), "quality_rule_ablation": _ablation(), "op4_license_scan": _op4(),
             "op6_url_filter": _op6(), "op7_sharding": _op7()}
