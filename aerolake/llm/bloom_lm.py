@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.llm.arrow import slices
+from aerolake.llm.hashing import BASE, MIX1, U, WordHasher, mix
 from aerolake.llm.common import ascii_lower, words_of, written
 
 FILTER_BYTES = 256 << 20
@@ -42,51 +43,21 @@ HEAD_WORDS = 100_000  # words whose counts are broadcast (some megabytes)
 HELD_ENTRIES = 3_000_000  # n-grams a task holds before it merges or sends them
 END = "\n"  # the end token; no word holds a line feed
 
-U = np.uint64
-_BASE, _MIX1, _MIX2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
 _END_HASH = U(0x2545F4914F6CDD1D)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> U(30))) * _MIX1
-    x = (x ^ (x >> U(27))) * _MIX2
-    return x ^ (x >> U(31))
-
-
-class _Hasher:
-    """Hashes all words of a slice at once: prefix sums of a polynomial over the bytes, modulo 2^64."""
-
-    def __init__(self):
-        self.power = self.inverse = np.ones(0, U)
-
-    def _grow(self, n: int) -> None:
-        if len(self.power) < n:
-            back = U(pow(int(_BASE), -1, 1 << 64))
-            self.power = np.concatenate([np.ones(1, U), np.cumprod(np.full(n, _BASE))])
-            self.inverse = np.concatenate([np.ones(1, U), np.cumprod(np.full(n, back))])
-
-    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Token hashes of all texts, each text closed by the end token, and tokens per text."""
-        bodies = [t.encode().lower() + b"\n" for t in texts]
-        raw = np.frombuffer(b"".join(bodies), np.uint8)
-        self._grow(len(raw))
-        blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
-        before = np.concatenate([[True], blank[:-1]])
-        start, stop = np.flatnonzero(~blank & before), np.flatnonzero(blank & ~before)
-        sums = np.concatenate([np.zeros(1, U), np.cumsum((raw.astype(U) + U(1)) * self.power[:len(raw)])])
-        words = _mix((sums[stop] - sums[start]) * self.inverse[start] + (stop - start).astype(U) * _MIX2)
-        bounds = np.cumsum([len(b) for b in bodies])
-        owner = np.searchsorted(bounds, start, side="right")
-        n = np.bincount(owner, minlength=len(texts)) + 1
-        out = np.full(len(words) + len(texts), _END_HASH)
-        out[np.arange(len(words)) + owner] = words
-        return out, n
+def _closed(hasher: WordHasher, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of all texts, each text closed by the end token, and tokens per text."""
+    words, n = hasher.words(texts)
+    out = np.full(len(words) + len(texts), _END_HASH)
+    out[np.arange(len(words)) + np.repeat(np.arange(len(texts)), n)] = words
+    return out, n + 1
 
 
 def ngram_keys(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the unigrams, and of the bigrams that end at each token."""
     before = np.concatenate([[_END_HASH], tokens[:-1]]).astype(U)
-    return _mix(tokens * _MIX1 + U(1)), _mix(before * _BASE + _mix(tokens + U(2)))
+    return mix(tokens * MIX1 + U(1)), mix(before * BASE + mix(tokens + U(2)))
 
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +73,7 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 def _bits_of(keys: np.ndarray, level: int, size: np.ndarray) -> list[np.ndarray]:
     """Bit positions of the event (key, level) in segments of ``size`` bits."""
-    h = _mix(keys + U(level * int(_BASE) & 0xFFFFFFFFFFFFFFFF))
+    h = mix(keys + U(level * int(BASE) & 0xFFFFFFFFFFFFFFFF))
     a, b = h & U(0xFFFFFFFF), (h >> U(32)) | U(1)
     return [(((a + U(i) * b) & U(0xFFFFFFFF)) * size) >> U(32) for i in range(PROBES)]
 
@@ -151,7 +122,7 @@ class LogFrequencyFilter:
 def count_ngrams(texts: DataFrame, bucket_bits: int) -> DataFrame:
     """Packed runs of (bucket, keys, counts) of the column ``text``: low 48 bits of the sorted keys, then counts."""
     def run(batches):
-        hasher, keys, counts, held = _Hasher(), [], [], 0
+        hasher, keys, counts, held = WordHasher(), [], [], 0
 
         def send():
             key, n = _merged(keys, counts)
@@ -166,7 +137,7 @@ def count_ngrams(texts: DataFrame, bucket_bits: int) -> DataFrame:
                     names=["bucket", "keys", "counts"])
 
         for _, texts_ in slices(batches, "text"):
-            one, two = ngram_keys(hasher.tokens(texts_)[0])
+            one, two = ngram_keys(_closed(hasher, texts_)[0])
             key, n = _merged([one, two], [np.ones(len(one) + len(two), np.int64)])
             keys.append(key)
             counts.append(n)
@@ -234,7 +205,7 @@ def build_filter(train: DataFrame, n_tokens: int, text: str = "text") -> tuple[L
     return LogFrequencyFilter(bucket_bits, sizes, starts, np.frombuffer(b"".join(data), np.uint8)), least
 
 
-_LOADED: dict[str, tuple[LogFrequencyFilter, _Hasher]] = {}
+_LOADED: dict[str, tuple[LogFrequencyFilter, WordHasher]] = {}
 
 
 def score_texts(df: DataFrame, model: LogFrequencyFilter, n_tokens: int, n_distinct: int,
@@ -249,10 +220,10 @@ def score_texts(df: DataFrame, model: LogFrequencyFilter, n_tokens: int, n_disti
     def run(batches):
         if token not in _LOADED:
             _LOADED.clear()
-            _LOADED[token] = (LogFrequencyFilter(*shared.value), _Hasher())
+            _LOADED[token] = (LogFrequencyFilter(*shared.value), WordHasher())
         filt, hasher = _LOADED[token]
         for part, texts in slices(batches, "__text", max_bytes=2 << 20):
-            tokens, n = hasher.tokens(texts)
+            tokens, n = _closed(hasher, texts)
             one, two = ngram_keys(tokens)
             single = filt.counts(one)
             history = np.concatenate([filt.counts(ngram_keys(np.array([_END_HASH]))[0]), single[:-1]])
