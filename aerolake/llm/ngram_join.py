@@ -4,12 +4,13 @@ Texts (A-Z lower-cased) become sets of 64-bit hashes of their five-word shingles
 nodes link when ``|A n B| / |A u B| >= 0.8``. For any global order of tokens, two sets that link share at least
 ``l`` of the first ``n - ceil(0.8 n) + l`` tokens of each, so filters under several orders can be intersected:
 
-1. *Hash order.* Every node sends its ``l``-prefix (about a quarter of its tokens, ``l = n / 20``). Tokens are counted
-   with pre-aggregation; a token that two nodes hold goes into a bounded bitmap. A second pass sends only tokens in
-   the bitmap, and only for nodes that hold enough of them to have any partner. Most texts end here.
-2. *Rarest first*, ties by ``ORDERS`` different salted hashes. Of the shared tokens ``s`` that a node has left, a
-   partner must share ``r`` of them, so under each order a partner shares one of the first ``s - r + 1``. Pairs come
-   from the first order's prefixes and must overlap in the prefixes of every other order, and in size.
+1. *Hash order.* Every node sends its ``l``-prefix (about 0.4 of its tokens, ``l = n / 5``). Tokens are counted with
+   pre-aggregation; those of two nodes or more go into a bounded bitmap. A second pass keeps only nodes with enough
+   prefix tokens in the bitmap to have any partner. Most texts end here.
+2. *Rarest first*, ties by ``ORDERS`` different salted hashes, over the whole sets of the nodes left. A partner shares
+   at least ``ceil(0.8 n)`` of the ``s`` tokens that a node shares with any other, so under each order one of the first
+   ``s - ceil(0.8 n) + 1``. Pairs come from the first order's prefixes and must overlap in the prefixes of every other
+   order, in size, and in the number of shared tokens on either side.
 3. *Verification* of what is left by the whole sets, exactly.
 
 Groups of copies are never expanded into all their pairs. Each token names one pivot among its nodes; a node is
@@ -41,6 +42,8 @@ from aerolake.llm.hashing import BASE, U, WordHasher, mix
 SHINGLE = 5
 ORDERS = 3  # rarest-first orders whose filters are intersected
 PIVOT_ROUNDS = 3
+PIVOT_GRADES = 20  # how finely nodes are graded as pivots
+PIVOTS = 8  # pivots that a node may meet in one later round, on average tokens
 CHUNK_BITS = 1 << 19  # bits of one chunk of a bitmap
 MOST_BITS = 1 << 28  # a bitmap has 32 MB at most; beyond it lets more tokens pass, never fewer
 BITS_PER_KEY = 32
@@ -80,7 +83,7 @@ def _least(n):
 
 def _slack(n):
     """``l`` of the l-prefix."""
-    return max(1, n // 20)
+    return max(1, n // 5)
 
 
 def _prefix_size(n: int) -> int:
@@ -200,49 +203,91 @@ def _lazy(shared):
     return get
 
 
-def survivors(docs: DataFrame, text: str) -> DataFrame:
-    """(node, n, need, shared) of the nodes that may have a partner: ``shared`` are the (count, token) of the prefix
-    tokens that other nodes hold, ``need`` how many of them a partner shares."""
+def hopeful_sets(docs: DataFrame, text: str) -> DataFrame:
+    """(node, n, tokens) with the whole sets of the nodes that pass the hash order's filter: enough tokens of their
+    l-prefix are in the prefix of another node."""
     sc = docs.sparkSession.sparkContext
     prefix = _sets(docs, text, lambda node, s: s[:_prefix_size(len(s))])
-    held = prefix.select("node", F.explode("tokens").alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("df"), F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y") \
-        .select("token", "df")
-    held = written(held, "join-tokens")
-    there = _lazy(sc.broadcast(bitmap(held, "token")))
-
-    def hopeful(node, s):
-        p = s[:_prefix_size(len(s))]
-        p = p[there().holds(p)]
-        return p if len(p) >= _required(len(s)) else None
-
-    least = F.floor((F.col("n") * 4 + 4) / 5)
-    need = F.greatest(F.lit(1), F.floor(least / 20)).cast("int")
-    # One row per (node, token): copies in several tasks send the same tokens.
-    return _sets(docs, text, hopeful).select("node", "n", F.explode("tokens").alias("token")) \
-        .join(held, "token").groupBy("node", "token").agg(F.first("n").alias("n"), F.first("df").alias("df")) \
+    there = _lazy(sc.broadcast(bitmap(_held_by_two(prefix), "token")))
+
+    def choose(node, s):
+        return s if there().holds(s[:_prefix_size(len(s))]).sum() >= _required(len(s)) else None
+
+    return written(_sets(docs, text, choose).dropDuplicates(["node"]), "join-sets")
+
+
+def _held_by_two(sets: DataFrame) -> DataFrame:
+    """(token, df) of the tokens of more than one node."""
+    held = sets.select("node", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("df"), F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y")
+    return written(held.select("token", "df"), "join-tokens")
+
+
+def prefixes(sets: DataFrame) -> DataFrame:
+    """(node, n, s, order0, order1, ...): ``s`` of the node's tokens are shared among the nodes left; a partner shares
+    at least ceil(0.8 n) of them, so under each order one of the first ``s - ceil(0.8 n) + 1``. Nodes with fewer
+    shared tokens have no partner."""
+    held = _held_by_two(sets)
+    there = _lazy(sets.sparkSession.sparkContext.broadcast(bitmap(held, "token")))
+
+    def shared(batches):
+        for batch in batches:
+            nodes, sizes, tokens = [], [], []
+            for node, n, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                s = s.values.to_numpy(zero_copy_only=False).view(U)
+                s = s[there().holds(s)]
+                if len(s) >= _least(n):
+                    nodes.append(node)
+                    sizes.append(n)
+                    tokens.append(s)
+            if nodes:
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
+                                                  _lists(tokens)], names=["node", "n", "tokens"])
+
+    some = sets.select("node", "n", "tokens").mapInArrow(shared, "node bigint, n bigint, tokens array<bigint>")
+    ranked = some.select("node", "n", F.explode("tokens").alias("token")).join(held, "token") \
         .groupBy("node").agg(F.first("n").alias("n"), F.collect_list(F.struct("df", "token")).alias("shared")) \
-        .withColumn("need", need).where(F.size("shared") >= F.col("need"))
+        .withColumn("s", F.size("shared").cast("bigint")).where("5 * s >= 4 * n")
+    for k in range(ORDERS):
+        ranked = ranked.withColumn(f"order{k}", _prefix_under(k))
+    return written(ranked.drop("shared"), "join-nodes")
 
 
-def prefix_under(order: int) -> Column:
-    """The first ``s - r + 1`` shared tokens under one rarest-first order."""
+def _prefix_under(order: int) -> Column:
+    """The first tokens under one rarest-first order."""
     ranked = F.sort_array(F.transform("shared", lambda t: F.struct(
         t["df"].alias("df"), F.xxhash64(F.lit(order), t["token"]).alias("salt"), t["token"].alias("token"))))
-    return F.transform(F.slice(ranked, F.lit(1), F.size("shared") - F.col("need") + 1), lambda t: t["token"])
+    size = (F.col("s") - F.floor((F.col("n") * 4 + 4) / 5) + 1).cast("int")
+    return F.transform(F.slice(ranked, F.lit(1), size), lambda t: t["token"])
+
+
+# Sizes and shared tokens of both sides that a link needs: the overlap is 8/18 of both sizes or more.
+_MAY_LINK = ("100 * least(n_a, n_b) >= 80 * greatest(n_a, n_b) AND 18 * least(s_a, s_b) >= 8 * (n_a + n_b)")
 
 
 def _filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) that pass the size filter and overlap in the prefixes of every further order."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), *[
-        F.col(f"order{k}").alias(f"{x}{k}") for k in range(1, ORDERS)])
-    joined = pairs.join(side("a"), "a").join(side("b"), "b") \
-        .where("100 * least(n_a, n_b) >= 80 * greatest(n_a, n_b)")
+    """Pairs (a, b) that pass the size filter and share enough of the prefixes of every further order."""
+    side = lambda x: nodes.select(
+        F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("s").alias(f"s_{x}"), *[F.col(f"order{k}").alias(f"{x}{k}") for k in range(1, ORDERS)])
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").where(_MAY_LINK)
+    # Under any order two nodes share what their prefixes share and at most the rest of one of them.
+    rest = "greatest(floor((4 * n_a + 4) / 5), floor((4 * n_b + 4) / 5)) - 1"
     for k in range(1, ORDERS):
-        joined = joined.where(F.arrays_overlap(f"a{k}", f"b{k}"))
+        joined = joined.where(F.size(F.array_intersect(f"a{k}", f"b{k}")) * 18 >= F.expr(
+            f"greatest(18, 8 * (n_a + n_b) - 18 * ({rest}))"))
     return joined.select("a", "b")
 
 
+def _crossing(postings: DataFrame, component: Column) -> DataFrame:
+    """Pairs (a, b) of different components that meet in a token of the first order's prefixes. The first token that
+    a pair shares leaves it at most the tokens after its ranks; rows where these are too few for a link are not made,
+    so for sets of like size only the first ninth of the tokens meets."""
+    side = lambda x: postings.select("token", component.alias(f"c{x}"), F.col("node").alias(x),
+                                     F.col("n").alias(f"n_{x}"), F.col("s").alias(f"s_{x}"), F.col("rank").alias(f"r_{x}"))
+    return side("a").join(side("b"), "token").where("ca < cb").where(_MAY_LINK) \
+        .where("18 * least(s_a - r_a, s_b - r_b) >= 8 * (n_a + n_b)").select("a", "b").distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose whole sets reach the similarity. Every pair carries one set to the other one's place."""
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("of_a")), "a") \
@@ -253,36 +298,32 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
     """(node, component) of every node with a link."""
-    sc = docs.sparkSession.sparkContext
-    found = survivors(docs, text)
-    for k in range(ORDERS):
-        found = found.withColumn(f"order{k}", prefix_under(k))
-    found = written(found.drop("shared", "need"), "join-nodes")
-    postings = found.select("node", F.explode("order0").alias("token"))
-    chosen = _lazy(sc.broadcast(bitmap(found, "node")))
-    sets = _sets(docs, text, lambda node, s: s if node in chosen() else None)
-    sets = written(sets.select("node", "tokens").join(found.select("node"), "node", "left_semi")
-                   .dropDuplicates(["node"]), "join-sets")
+    whole = hopeful_sets(docs, text)
+    found = prefixes(whole)
+    postings = found.select("node", "n", "s", F.posexplode("order0").alias("rank", "token"))
+    sets = whole.join(found.select("node"), "node", "left_semi")
     links, labels = None, None
     for turn in range(PIVOT_ROUNDS + 1):
         open_ = postings if labels is None else postings.join(labels, "node", "left") \
             .withColumn("component", F.coalesce("component", "node"))
         who = F.col("node") if labels is None else F.col("component")
-        # Tokens that still meet different components.
+        # Tokens that still meet different components. The pivot of a token is a node with few tokens of its own,
+        # so close to what its copies have in common; later turns vary it from token to token.
+        rank = [-F.round(PIVOT_GRADES * F.col("s") / F.col("n")),
+                F.xxhash64(F.lit(turn), F.col("token") % (1 if turn == 0 else PIVOTS), F.col("node"))]
         met = open_.groupBy("token").agg(
             F.min(who).alias("x"), F.max(who).alias("y"),
-            F.min(F.struct(F.xxhash64(F.lit(turn), F.col("node")), F.col("node")))["node"].alias("pivot"),
-            F.min_by(who, F.struct(F.xxhash64(F.lit(turn), F.col("node")), F.col("node"))).alias("of_pivot")) \
+            F.min(F.struct(*rank, F.col("node")))["node"].alias("pivot"),
+            F.min_by(who, F.struct(*rank, F.col("node"))).alias("of_pivot")) \
             .where("x <> y").select("token", "pivot", "of_pivot")
         here = open_.join(met, "token")
         if turn < PIVOT_ROUNDS:
             pairs = here.where(who != F.col("of_pivot")).groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")) \
                 .agg(F.count(F.lit(1)).alias("n"))
-            pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+            if turn == 0:
+                pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
         else:
-            left = here.select("token", F.col("node").alias("a"), who.alias("ca"))
-            right = here.select("token", F.col("node").alias("b"), who.alias("cb"))
-            pairs = left.join(right, "token").where("ca < cb").select("a", "b").distinct()
+            pairs = _crossing(here, who)
         new = written(_verified(written(_filtered(pairs, found), "join-pairs"), sets), "join-links")
         links = new if links is None else links.unionByName(new)
         labels = written(connected(links), "join-labels")
