@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 # Text bytes that one step of a Python operator holds at a time, unless one text alone is longer.
 SLICE_BYTES = 4 << 20
@@ -25,3 +27,8 @@ def slices(batches, text: str, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[p
             held += n
         if start < len(texts):
             yield batch.slice(start), [x or "" for x in texts[start:]]
+
+
+def extended(source: DataFrame, more: str, dropped: int = 1) -> StructType:
+    """Schema of ``source`` without its last columns, followed by the DDL ``more``."""
+    return StructType(source.schema.fields[:-dropped] + StructType.fromDDL(more).fields)

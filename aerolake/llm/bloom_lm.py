@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.arrow import slices
+from aerolake.llm.arrow import extended, slices
 from aerolake.llm.hashing import BASE, MIX1, U, WordHasher, mix
 from aerolake.llm.common import ascii_lower, words_of, written
 
@@ -235,8 +235,7 @@ def score_texts(df: DataFrame, model: LogFrequencyFilter, n_tokens: int, n_disti
                 [*part.columns[:-1], pa.array(np.add.reduceat(p, first), pa.float64())],
                 names=[*part.schema.names[:-1], "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1])
-    return source.mapInArrow(run, schema + ", score double")
+    return source.mapInArrow(run, extended(source, "score double"))
 
 
 def _tokens(text: Column) -> Column:

@@ -22,9 +22,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
-from aerolake.llm.arrow import slices
+from aerolake.llm.arrow import extended, slices
 
 # Matches that a task remembers; the table starts anew beyond it, which costs time, never results.
 REMEMBERED = 200_000
@@ -137,8 +136,8 @@ def _tasks(df: DataFrame, rank_path: str, pattern: str, row, fields: str, keep:
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(read_ranks(spark, rank_path))
     source = df.select(*keep, F.col(text).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1]) + ", " + fields
-    target = to_arrow_schema(StructType.fromDDL(schema))
+    schema = extended(source, fields)
+    target = to_arrow_schema(schema)
 
     def run(batches):
         bpe = _loaded((rank_path, pattern), shared.value, pattern)
@@ -174,8 +173,7 @@ def decode(df: DataFrame, rank_path: str, pattern: str, ids: str = "ids",
                 names=[*keep, "bytes", "text"])
 
     source = df.select(*keep, ids)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1])
-    return source.mapInArrow(run, schema + ", bytes binary, text string")
+    return source.mapInArrow(run, extended(source, "bytes binary, text string"))
 
 
 def round_trip_digest(df: DataFrame, rank_path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",),

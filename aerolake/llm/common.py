@@ -32,3 +32,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only, whatever the locale."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def bounded(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """Hint a broadcast where a count proves the side small; beyond it Spark joins by shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerolake.llm.common import bounded, written
+
 SHINGLE = 5
 THRESHOLD = 0.8
 BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 8, 8, 2
@@ -140,4 +142,5 @@ def remove_leaks(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: s
                  threshold: float = THRESHOLD) -> DataFrame:
     """The documents in which no benchmark item was found, with all their columns."""
     bad = contaminated(docs, bench, threshold, key, text).select(F.col("row").alias("__row")).distinct()
+    bad = bounded(written(bad, "leaks"))
     return docs.withColumn("__row", F.xxhash64(key, text)).join(bad, "__row", "left_anti").drop("__row")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.arrow import slices
+from aerolake.llm.arrow import extended, slices
 
 UNDETERMINED = "und"
 SAMPLE_SYMBOLS = 16_384  # most symbols of labelled text in one language's automaton
@@ -209,8 +209,7 @@ def identify(df: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",), te
                 [*part.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=[*part.schema.names[:-1], "lang_pred", "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1])
-    return source.mapInArrow(run, schema + ", lang_pred string, score double")
+    return source.mapInArrow(run, extended(source, "lang_pred string, score double"))
 
 
 def remainder(key, parts: int):

@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.arrow import slices
-from aerolake.llm.common import written
+from aerolake.llm.arrow import extended, slices
+from aerolake.llm.common import bounded, written
 from aerolake.llm.components import connected
 from aerolake.llm.hashing import BASE, U, WordHasher, mix
 
@@ -104,20 +104,20 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(np.cumsum([0] + [len(p) for p in parts]).astype(np.int32), _long(flat))
 
 
-def nodes_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, n, node) of every row; the node is null for empty sets."""
-    source = docs.select(key, F.col(text).alias("__text"))
-    kind = source.schema[0].dataType.simpleString()
+def nodes_of(docs: DataFrame, keep: list[Column], text: str) -> DataFrame:
+    """``keep`` columns, n and node of every row; the node is null for empty sets."""
+    source = docs.select(*keep, F.col(text).alias("__text"))
 
     def run(batches):
         hasher = WordHasher()
         for part, texts in slices(batches, "__text"):
             sets = shingle_sets(hasher, texts)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([_node(s) if len(s) else None for s in sets], pa.int64())], names=["key", "n", "node"])
+                [*part.columns[:-1], pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([_node(s) if len(s) else None for s in sets], pa.int64())],
+                names=[*part.schema.names[:-1], "n", "node"])
 
-    return source.mapInArrow(run, f"key {kind}, n bigint, node bigint")
+    return source.mapInArrow(run, extended(source, "n bigint, node bigint"))
 
 
 def _sets(docs: DataFrame, text: str, choose) -> DataFrame:
@@ -330,19 +330,32 @@ def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
     return labels
 
 
+def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, id, n, component) of every row; ``id`` tells apart texts of one key, the component is null for empty
+    sets."""
+    rows = written(nodes_of(docs, [F.col(key).alias("key"), F.xxhash64(key, text).alias("id")], text), "join-rows")
+    return rows.join(linked_components(docs, text), "node", "left") \
+        .select("key", "id", "n", F.coalesce("component", "node").alias("component"))
+
+
 def component_ids(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, n_shingles, component_id (the smallest key reachable by links)."""
-    rows = written(nodes_of(docs, key, text), "join-rows")
-    named = rows.join(linked_components(docs, text), "node", "left") \
-        .withColumn("component", F.coalesce("component", "node"))
+    named = _named(docs, key, text)
     smallest = named.where("component is not null").groupBy("component").agg(F.min("key").alias("smallest"))
     return named.join(smallest, "component", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("smallest", "key").alias("component_id"))
 
 
 def one_per_component(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose key is their component's smallest, with all their columns; of repeated rows of one key
-    and component one stays."""
-    heads = component_ids(docs, key, text).where(F.col(key).eqNullSafe(F.col("component_id"))).select(key).distinct()
-    return docs.join(heads.withColumnRenamed(key, "__head"), F.col(key).eqNullSafe(F.col("__head")), "left_semi") \
-        .dropDuplicates([key])
+    """The documents with the smallest key of their component, with all their columns. Of rows that repeat key and
+    text one stays; documents without words link with nothing and stay."""
+    named = written(_named(docs, key, text), "join-named")
+    first = named.where("component is not null").groupBy("component").agg(F.min(F.struct("key", "id"))["id"].alias("head"))
+    rest = named.join(first, "component", "left").where("head is null or head <> id")
+    extra = named.join(first, "component", "left").where("head is null or head = id").groupBy("id").count().where("count > 1")
+    gone = rest.where("head is not null").select("id").unionByName(extra.select("id")).distinct()
+    marked = docs.withColumn("__id", F.xxhash64(key, text))
+    once = marked.join(bounded(written(gone, "join-gone").withColumnRenamed("id", "__id")), "__id", "left_anti")
+    again = marked.join(bounded(written(extra.select(F.col("id").alias("__id")), "join-again")), "__id", "left_semi") \
+        .dropDuplicates(["__id"])
+    return once.unionByName(again).drop("__id")

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bloom_lm, byte_bpe, decontaminate, language_id, license_scan, quality_rules, sharding, sql, token_counts, url_filter
+from aerolake.llm import bloom_lm, byte_bpe, decontaminate, language_id, license_scan, ngram_join, quality_rules, sharding, sql, token_counts, url_filter
 from aerolake.llm.common import read_table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.component_ids(read_table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -67,7 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_decontamination, op3_quality_rules, quality_rule_ablation, op4_license_scan, op5_lm_scoring, op6_url_filter, op7_sharding, op8_token_counts, op9_byte_bpe, op10_language_id)}
+        op1_ngram_join, op2_decontamination, op3_quality_rules, quality_rule_ablation, op4_license_scan, op5_lm_scoring, op6_url_filter, op7_sharding, op8_token_counts, op9_byte_bpe, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.arrow import slices
+from aerolake.llm.arrow import extended, slices
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
@@ -97,5 +97,4 @@ def count_tokens(df: DataFrame, model_path: str, limit: int = 4096, keep: tuple[
             n = pa.array(_LOADED[key].counts(texts), pa.int64())
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], n], names=[*part.schema.names[:-1], "n_tokens"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1])
-    return source.mapInArrow(run, schema + ", n_tokens bigint").withColumn("over_limit", F.col("n_tokens") > limit)
+    return source.mapInArrow(run, extended(source, "n_tokens bigint")).withColumn("over_limit", F.col("n_tokens") > limit)
