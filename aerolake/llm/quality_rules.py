@@ -99,7 +99,9 @@ def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
 def ledger(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Measurements plus ``fail_bits``: bit i is set when ``RULES[i]`` fails."""
     measured = measure(docs, text, keep)
-    bits = F.lit(0).cast("bigint")
+    # A zero that Spark takes for non-deterministic: a filter on the bits stays above the measurements instead of
+    # being rewritten into them, which would copy every measurement into every rule.
+    bits = F.monotonically_increasing_id().bitwiseAND(F.lit(0).cast("bigint"))
     for i, rule in enumerate(RULES):
         bits = bits.bitwiseOR(F.when(F.expr(rule.fails), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint"))
     return measured.withColumn("fail_bits", bits)
