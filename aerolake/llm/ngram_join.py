@@ -325,6 +325,8 @@ def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
         else:
             pairs = _crossing(here, who)
         new = written(_verified(written(_filtered(pairs, found), "join-pairs"), sets), "join-links")
+        if labels is not None and new.isEmpty():
+            continue
         links = new if links is None else links.unionByName(new)
         labels = written(connected(links), "join-labels")
     return labels
