@@ -47,7 +47,9 @@ def _offset_ids(ordered: DataFrame, cols: list[str], id_col: str, start: int) ->
     tagged = ordered.select(pid.alias("__pid"),
                             (F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)).alias("__local"),
                             *cols)
-    return tagged.join(F.broadcast(offs), "__pid").select((F.col("__off") + F.col("__local")).alias(id_col), *cols)
+    # A partition that was not counted means that the two passes saw different partitions: fail, never lose rows.
+    offset = F.coalesce("__off", F.raise_error(F.lit("dense ids: input partitions changed between passes")).cast("long"))
+    return tagged.join(F.broadcast(offs), "__pid", "left").select((offset + F.col("__local")).alias(id_col), *cols)
 
 
 def assign_dense_ids(df: DataFrame, id_col: str = "id", order_cols: list[str] | None = None,

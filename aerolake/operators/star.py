@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolake.operators.dense_id import assign_dense_ids
-from aerolake.operators.util import broadcast_if_bounded
+from aerolake.operators.util import BROADCAST_MAX_ROWS, broadcast_if_bounded, row_bound
 from aerolake.schema import FACT_VALUE_COLUMNS
 
 
@@ -55,10 +55,10 @@ def validate_raw_dimensions(stations: DataFrame, pollutants: DataFrame) -> None:
     validate_keys(pollutants, ["pollutant_name"], "pollutants", allow_null=True)
 
 
-def attach_pollutant_ids(rows: DataFrame, pollutants: DataFrame) -> DataFrame:
+def attach_pollutant_ids(rows: DataFrame, pollutants: DataFrame, bound: int | None = None) -> DataFrame:
     """Surrogate-key lookup by name (inner join: rows without a known pollutant drop out). The
-    dimension is broadcast after a capped size check."""
-    dim = broadcast_if_bounded(pollutants.select("pollutant_id", "pollutant_name"))
+    dimension is broadcast after a capped size check (``bound``: its rows, where already counted)."""
+    dim = broadcast_if_bounded(pollutants.select("pollutant_id", "pollutant_name"), bound)
     return rows.join(dim, rows["pollutant"] == dim["pollutant_name"], "inner")
 
 
@@ -69,11 +69,14 @@ def build_fact(rows: DataFrame, pollutants: DataFrame, include_vws: bool = True,
 
     ``id_order="columns"``: ids ordered by the value columns (reproducible, two shuffles).
     ``id_order="input"``: ids in scan order, the unordered ``ROW_NUMBER() OVER ()`` of a SQL load, with no
-    shuffle at all; pass ``stable_input=True`` when ``rows`` is a file scan so no checkpoint is needed."""
+    shuffle at all; pass ``stable_input=True`` when ``rows`` is a file scan so no checkpoint is needed. That holds
+    only while J1 broadcasts its dimension; where it must shuffle, the joined rows are checkpointed first."""
     cols = FACT_VALUE_COLUMNS + (["vws_m_s"] if include_vws else [])
-    body = attach_pollutant_ids(rows, pollutants).select(*cols)
+    names = row_bound(pollutants, BROADCAST_MAX_ROWS)
+    body = attach_pollutant_ids(rows, pollutants, names).select(*cols)
     if id_order == "input":
-        return assign_dense_ids(body, id_col="measurement_id", stable_input=stable_input)
+        return assign_dense_ids(body, id_col="measurement_id",
+                                stable_input=stable_input and names <= BROADCAST_MAX_ROWS)
     return assign_dense_ids(body, id_col="measurement_id", order_cols=cols, num_partitions=num_partitions)
 
 

@@ -7,6 +7,7 @@ in ``spark.checkpoint.dir``. A local fallback is only created when that setting
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,7 +39,7 @@ def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
     * Skew: a partition 4x the median and above 512 MB is split by AQE's skew-join handling.
     * Broadcast: dimensions and the median table are small; 64 MB lets AQE broadcast them at runtime.
     """
-    partitions = max(2 * total_cores, min(200_000, input_bytes // (200 * MB) + 1))
+    partitions = max(2 * total_cores, input_bytes // (200 * MB) + 1)
     return {
         "spark.sql.files.maxPartitionBytes": str(256 * MB),
         "spark.sql.shuffle.partitions": str(partitions),
@@ -81,6 +82,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="aerolake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

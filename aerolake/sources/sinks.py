@@ -47,13 +47,13 @@ def write_outputs(outputs: dict[str, DataFrame], output_dir: str) -> dict[str, s
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """Read a pre-aggregate only when it exists (None otherwise)."""
+    """Read a pre-aggregate only when its path exists (None otherwise); unreadable data raises."""
     try:
-        df = spark.read.parquet(path)
-        df.schema
-        return df
-    except AnalysisException:
-        return None
+        return spark.read.parquet(path)
+    except AnalysisException as err:
+        if err.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def write_feature_bundle(tables: dict[str, DataFrame], output_dir: str, also_json: bool = False) -> dict[str, str]:
