@@ -112,7 +112,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOLD
     near = [v for v in range(1 << BLOCK_BITS) if bin(v).count("1") <= BLOCK_RADIUS]
     flips = F.array(*[F.lit(v) for v in near])
     blocks = lambda p: F.posexplode(F.array(*[_block(F.col(p), b) for b in range(BLOCKS)]))
-    index = items.select("item", "length", "item_grams", "item_weight", "item_print",
+    index = items.select("item", "length", "item_print",
                          blocks("item_print").alias("block", "own")) \
         .withColumn("flip", F.explode(flips)) \
         .withColumn("value", F.col("own").bitwiseXOR(F.col("flip").cast("bigint"))).drop("own", "flip")
@@ -123,7 +123,8 @@ def contaminated(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOLD
     for b in range(BLOCKS):
         earlier = earlier | ((F.col("block") > b) & (F.bit_count(_block(apart, b)) <= BLOCK_RADIUS))
     pairs = probes.join(_bounded(index, n_items * BLOCKS * len(near)), ["length", "block", "value"]) \
-        .where(~earlier & (F.bit_count(apart) <= RADIUS))
+        .where(~earlier & (F.bit_count(apart) <= RADIUS)) \
+        .join(_bounded(items.select("item", "item_print", "item_grams", "item_weight"), n_items), ["item", "item_print"])
     common = weight(F.array_intersect("grams", "item_grams"))
     return pairs.select("row", "key", "item", (common / (weight(F.col("grams")) + F.col("item_weight") - common))
                         .alias("similarity")).where(F.col("similarity") >= threshold) \
