@@ -7,9 +7,8 @@ ones), remove exact duplicate rows, then fill missing weather readings with the
 Plan shape: narrow projection/filter (pushed into the scan) -> one dedup hash aggregate (partial aggregation
 collapses copies map-side, so a hot group of copies costs one row per map task) -> the eight medians from
 one value histogram (see ``histogram_medians``) -> a join back on (station_id, month). The median table
-has at most (#station-month keys) rows, an upper bound given by the caller or obtained from a two-column
-pre-pass; it is broadcast only under that proven bound, otherwise AQE plans a shuffle join with skew
-splitting.
+has at most (#station-month keys) rows; a caller that knows a bound gets a broadcast hint under it, otherwise the
+adaptive planner decides from the size it turns out to have (a shuffle join splits skew).
 
 Deviation from pandas, on purpose: a row whose station_id or month is NULL keeps its weather values
 (pandas' grouped transform would blank them); such rows simply find no median.
@@ -174,33 +173,37 @@ def impute_with_medians(df: DataFrame, medians: DataFrame, columns=None, keys=IM
     return joined.select(*out)
 
 
+def deduplicated_readings(df: DataFrame) -> DataFrame:
+    """C1 up to D3: what cleaning keeps, before weather readings are filled. Imputation changes weather columns only,
+    so a mart that reads none of them takes this frame: one dedup shuffle, no medians, and its own filters on the
+    grouping columns go below the dedup."""
+    return remove_duplicates(remove_negative(drop_redundant(df)))
+
+
 def clean_data(df: DataFrame, median_broadcast_max_rows: int = BROADCAST_MAX_ROWS,
                median_rows_bound: int | None = None, median_method: str = "histogram") -> DataFrame:
     """The full cleaning, lazily planned (one dedup shuffle, the median histogram, one join).
 
     ``median_rows_bound``: a known upper bound of the (station_id, month) keys, e.g. stations x 12 from the
-    stations dimension; without it a two-column pre-pass counts the distinct keys (capped)."""
-    base = remove_duplicates(remove_negative(drop_redundant(df)))
+    stations dimension; under ``median_broadcast_max_rows`` the medians are hinted as broadcast. Without it the
+    adaptive planner decides from the size the medians turn out to have."""
+    base = deduplicated_readings(df)
     if not all(k in base.columns for k in IMPUTE_KEYS):
         return base
     medians = group_medians(base, method=median_method)
-    # Upper bound of the median table: distinct keys of the input (filtering and dedup only remove keys).
-    bound = median_rows_bound if median_rows_bound is not None else \
-        df.select(*IMPUTE_KEYS).distinct().limit(median_broadcast_max_rows + 1).count()
-    medians = broadcast_if_bounded(medians, bound=bound, max_rows=median_broadcast_max_rows)
+    if median_rows_bound is not None:
+        medians = broadcast_if_bounded(medians, bound=median_rows_bound, max_rows=median_broadcast_max_rows)
     return impute_with_medians(base, medians)
 
 
-def imputation_audit(df: DataFrame, median_broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def imputation_audit(df: DataFrame) -> DataFrame:
     """Per weather column, missing before / after imputation and values filled, plus a total row.
 
     One aggregate pass over the de-duplicated rows joined with their medians: a reading is filled exactly
     when it is missing and its group median is not."""
-    base = remove_duplicates(remove_negative(drop_redundant(df)))
+    base = deduplicated_readings(df)
     cols = [c for c in WEATHER_COLUMNS if c in base.columns]
-    medians = group_medians(base)
-    bound = df.select(*IMPUTE_KEYS).distinct().limit(median_broadcast_max_rows + 1).count()
-    joined = _join_medians(base, broadcast_if_bounded(medians, bound=bound, max_rows=median_broadcast_max_rows))
+    joined = _join_medians(base, group_medians(base))
     has_key = _keys_present()
     aggs = []
     for c in cols:

@@ -38,6 +38,11 @@ def clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.clean_data(raw_rows(spark, sf_dir))
 
 
+def reading_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned rows without filled weather, for marts that read no weather column."""
+    return C.deduplicated_readings(raw_rows(spark, sf_dir))
+
+
 def _raw_star(spark, sf):
     raw = raw_rows(spark, sf)
     return S.build_raw_star(raw)
@@ -91,19 +96,19 @@ def _q_quality(spark, sf):
 
 
 def _q_lookback(spark, sf):
-    seqs = I.lookback_sequences(I.hourly_series(clean_rows(spark, sf)), LOOKBACK, require_contiguous=True)
+    seqs = I.lookback_sequences(I.hourly_series(reading_rows(spark, sf)), LOOKBACK, require_contiguous=True)
     return seqs.select("station_id", "hour_ts", F.posexplode("seq").alias("step", "value_scaled")) \
                .select("station_id", "hour_ts", F.col("step").cast("int").alias("step"), "value_scaled")
 
 
 def _q_lookback_obs(spark, sf):
-    seqs = I.lookback_sequences(I.hourly_series(clean_rows(spark, sf)), LOOKBACK, require_contiguous=False)
+    seqs = I.lookback_sequences(I.hourly_series(reading_rows(spark, sf)), LOOKBACK, require_contiguous=False)
     return seqs.select("station_id", "hour_ts", F.posexplode("seq").alias("step", "value_scaled")) \
                .select("station_id", "hour_ts", F.col("step").cast("int").alias("step"), "value_scaled")
 
 
 def _profile(spark, sf):
-    return I.station_hourly(clean_rows(spark, sf))
+    return I.station_hourly(reading_rows(spark, sf))
 
 
 def _q_station_slice(spark, sf):
@@ -122,14 +127,14 @@ def _q_streaming_batch_stats(spark, sf):
     micro-batch through the stateful aggregation, read the final snapshot."""
     from aerolake.streaming import run_incremental
     root = scratch_path(spark, "stream-src")
-    partition_dataset(clean_rows(spark, sf), root)
+    partition_dataset(reading_rows(spark, sf), root)
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     run_incremental(spark, root, T.batch_stats, out, ckpt, files_per_trigger=4)
     return spark.read.parquet(out)
 
 
 def _series(spark, sf):
-    return I.hourly_series(clean_rows(spark, sf))
+    return I.hourly_series(reading_rows(spark, sf))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -144,12 +149,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean": clean_rows,
         "clean_imputation_audit": lambda s, d: C.imputation_audit(raw_rows(s, d)),
         # marts (A10-A13, C2)
-        "batch_stats": lambda s, d: T.batch_stats(clean_rows(s, d)),
-        "level_counts": lambda s, d: T.level_counts(clean_rows(s, d)),
+        "batch_stats": lambda s, d: T.batch_stats(reading_rows(s, d)),
+        "level_counts": lambda s, d: T.level_counts(reading_rows(s, d)),
         "streaming_batch_stats": _q_streaming_batch_stats,
-        "monthly_avg": lambda s, d: T.monthly_avg(clean_rows(s, d)),
-        "pm25_aqi": lambda s, d: T.pm25_aqi(clean_rows(s, d)),
-        "daily_peaks": lambda s, d: T.daily_peaks(clean_rows(s, d)),
+        "monthly_avg": lambda s, d: T.monthly_avg(reading_rows(s, d)),
+        "pm25_aqi": lambda s, d: T.pm25_aqi(reading_rows(s, d)),
+        "daily_peaks": lambda s, d: T.daily_peaks(reading_rows(s, d)),
         # star schema (D1, D2, W1, W2, J1) and serving
         "dim_stations": lambda s, d: S.stations_dim(raw_rows(s, d)),
         "dim_pollutants": lambda s, d: S.pollutants_dim(raw_rows(s, d)),
@@ -157,8 +162,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_clean": lambda s, d: _serving(s, d)["measurements_clean"],
         "served_monthly_pm25": _q_served_monthly,
         "served_top3_pm25": _q_served_top3,
-        "served_preagg_slice": lambda s, d: B.served_preagg_slice(s, T.monthly_avg(clean_rows(s, d))),
-        "monthly_pm25_clean": lambda s, d: B.monthly_pm25_clean(s, clean_rows(s, d)),
+        "served_preagg_slice": lambda s, d: B.served_preagg_slice(s, T.monthly_avg(reading_rows(s, d))),
+        "monthly_pm25_clean": lambda s, d: B.monthly_pm25_clean(s, reading_rows(s, d)),
         # profiling
         "summary_counts": lambda s, d: P.summary_counts(raw_rows(s, d)),
         "rows_per_year": lambda s, d: P.rows_per_year(raw_rows(s, d)),
@@ -174,13 +179,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dirty_sample": lambda s, d: P.dirty_sample(raw_rows(s, d)),
         "distinct_values": lambda s, d: P.distinct_values(raw_rows(s, d)),
         "month_extremes_who": lambda s, d: P.month_extremes_who(raw_rows(s, d)),
-        "batch_size_extremes": lambda s, d: P.batch_size_extremes(clean_rows(s, d)),
+        "batch_size_extremes": lambda s, d: P.batch_size_extremes(reading_rows(s, d)),
         # sources (S2, S3)
         "partition_roundtrip": _q_partition_roundtrip,
         # dashboard marts and forecasting
         "station_hourly": _profile,
-        "pollutant_avg": lambda s, d: I.pollutant_avg(clean_rows(s, d)),
-        "dow_pattern": lambda s, d: I.dow_pattern(clean_rows(s, d)),
+        "pollutant_avg": lambda s, d: I.pollutant_avg(reading_rows(s, d)),
+        "dow_pattern": lambda s, d: I.dow_pattern(reading_rows(s, d)),
         "station_rank": lambda s, d: I.station_rank(_profile(s, d), hour=STATION_RANK_HOUR),
         "station_means": lambda s, d: I.station_means(_profile(s, d)),
         "station_slice": _q_station_slice,
