@@ -2,8 +2,8 @@
 
 Floating-point sums depend on the order rows arrive in, which differs between engines and between runs
 with different partitioning. Rounding to 2 decimals then turns last-digit noise into visibly different
-results on ties such as 33.425. ``exact_avg`` removes the order dependence: readings are summed as
-DECIMAL(18,6) (exact, associative), and only the final quotient is a double.
+results on ties such as 33.425. ``exact_avg`` removes the order dependence wherever a decimal sum holds every
+reading as it is, and is a plain average elsewhere; no reading is rounded on the way.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_DECIMAL = "decimal(18,6)"
+_DECIMAL = "decimal(38,18)"
 
 
 def _col(c) -> Column:
@@ -21,14 +21,16 @@ def _col(c) -> Column:
 def exact_avg(c, exact: bool = True) -> Column:
     """Mean of the non-null values; NULL for an all-null group.
 
-    ``exact=True``: sum of DECIMAL(18,6) cast to double, divided by the count — independent of row order
-    and partitioning (values beyond 6 decimals are rounded to 6 before summing). ``exact=False`` falls back
-    to the plain double ``avg``.
-    """
+    ``exact=True``: a group whose readings all fit DECIMAL(38,18) without loss (decimal text and back gives the same
+    double) and whose sum stays in range is summed as decimals, independent of row order and partitioning. Any other
+    group (more than 18 decimals, beyond 1e20, NaN, infinity) gets the plain double average of the same rows.
+    ``exact=False``: always the plain average."""
     x = _col(c)
     if not exact:
         return F.avg(x)
-    return F.sum(x.cast(_DECIMAL)).cast("double") / F.nullif(F.count(x), F.lit(0))
+    d = x.try_cast(_DECIMAL)
+    held = F.count_if(F.coalesce(d.cast("double") == x, F.lit(False)))
+    return F.coalesce(F.when(held == F.count(x), F.try_sum(d).cast("double") / F.nullif(F.count(x), F.lit(0))), F.avg(x))
 
 
 def round2_half_even(c) -> Column:

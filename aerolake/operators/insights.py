@@ -45,8 +45,7 @@ def dow_pattern(clean: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def station_means(profile: DataFrame) -> DataFrame:
-    """Unweighted mean of a station's hourly means (2 decimals; exact average of the means taken to
-    6 decimals, so the result does not depend on summation order)."""
+    """Unweighted mean of a station's hourly means (2 decimals)."""
     return profile.groupBy("station_id").agg(round2_half_even(exact_avg("pm25")).alias("pm25"))
 
 
@@ -156,8 +155,7 @@ def seasonal_forecast(series: DataFrame, season_hours: int = FORECAST_HORIZON) -
 
 
 def forecast_mae(backtest: DataFrame) -> DataFrame:
-    """Mean absolute error of the forecast per station (2 decimals, exact average of the errors taken
-    to 6 decimals) and the hours it covers."""
+    """Mean absolute error of the forecast per station (2 decimals) and the hours it covers."""
     return backtest.groupBy("station_id").agg(
         round2_half_even(exact_avg(F.abs(F.col("actual") - F.col("predicted")))).alias("mae"),
         F.count(F.lit(1)).alias("n_hours"))

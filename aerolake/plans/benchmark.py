@@ -6,7 +6,7 @@ plan for the star queries: the fact scan reads only the referenced columns, the
 is pushed into the dimension, the dimension joins are broadcast hash joins, partial aggregation runs before
 the only shuffle, and the top-k is a ``TakeOrderedAndProject``.
 
-Averages use the exact average (DECIMAL sum / count) so results do not depend on partitioning; SQL
+Averages are ``functions.exact_avg``, so results do not depend on partitioning; SQL
 ``ROUND(x, 2)`` is written out as half-away-from-zero on the scaled value.
 """
 
@@ -14,9 +14,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aerolake.sources.parquet import load_raw
+
 
 def exact_avg_sql(c: str) -> str:
-    return f"CAST(SUM(CAST({c} AS DECIMAL(18,6))) AS DOUBLE) / NULLIF(COUNT({c}), 0)"
+    """``functions.exact_avg`` as SQL text."""
+    d = f"TRY_CAST({c} AS DECIMAL(38,18))"
+    return (f"COALESCE(CASE WHEN COUNT_IF(COALESCE(CAST({d} AS DOUBLE) = {c}, FALSE)) = COUNT({c}) "
+            f"THEN CAST(TRY_SUM({d}) AS DOUBLE) / NULLIF(COUNT({c}), 0) END, AVG({c}))")
 
 
 def round2_away_sql(x: str) -> str:
@@ -133,8 +138,9 @@ def q1_direct(spark: SparkSession, raw: DataFrame) -> DataFrame:
 
 
 def q1_direct_on_path(spark: SparkSession, parquet_path: str) -> DataFrame:
-    """The same query with the file as the table, ``FROM parquet.`path```."""
-    return spark.sql(Q1_DIRECT.replace("{raw}", f"parquet.`{parquet_path}`"))
+    """The same query with the file as the table. The path is resolved by ``load_raw``, so NaN counts as missing
+    and nanosecond files are read; the scan still reads the query's columns only."""
+    return q1_direct(spark, load_raw(spark, parquet_path))
 
 
 def served_monthly_pm25(spark, fact, pollutants) -> DataFrame:

@@ -83,7 +83,7 @@ def load_raw_data(spark: SparkSession, database: str, parquet_file: str, counts:
     stored_pollutants = spark.table(f"`{database}`.`pollutants`")
     fact = build_fact(raw, stored_pollutants, include_vws=True, id_order=id_order, stable_input=True)
     table_cols = spark.table(f"`{database}`.`measurements`").columns  # insertInto is positional
-    fact.select(*table_cols).sortWithinPartitions(*FACT_SORT) \
+    fact.select(*table_cols).hint("rebalance", FACT_PARTITION).sortWithinPartitions(*FACT_SORT) \
         .write.insertInto(f"`{database}`.`measurements`", overwrite=True)
     return table_counts(spark, database) if counts else {}
 
@@ -105,7 +105,7 @@ def setup_served_database(spark: SparkSession, database: str, df_clean: DataFram
 
     def load_fact():
         (build_fact(df_clean, stored_pollutants, include_vws=False, id_order=id_order, stable_input=stable_input)
-            .sortWithinPartitions(*FACT_SORT)
+            .hint("rebalance", FACT_PARTITION).sortWithinPartitions(*FACT_SORT)
             .write.mode("overwrite").partitionBy(FACT_PARTITION).saveAsTable(f"`{database}`.`measurements_clean`"))
 
     def load_stations():

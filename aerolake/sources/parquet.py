@@ -30,12 +30,17 @@ def _is_missing_path(err: AnalysisException) -> bool:
     return name == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err)
 
 
+def _is_nanos(err: Exception) -> bool:
+    return "PARQUET_TYPE_ILLEGAL" in str(err) and "NANOS" in str(err)
+
+
 def load_raw(spark: SparkSession, path: str, nanos_as_long: bool = False) -> DataFrame:
     """Scan raw Parquet; NaN -> NULL on doubles.
 
     Raises ``FileNotFoundError`` for a missing path and ``IOError`` for an unreadable one.
-    ``nanos_as_long``: for files written with nanosecond timestamps (which Spark refuses), read them as
-    int64 and convert ``datetime`` to microseconds.
+    Files with nanosecond timestamps (pandas' default), which Spark refuses, are read as int64 and ``datetime`` is
+    converted to microseconds; ``nanos_as_long`` says so without the first try. Spark looks the setting up when a
+    query runs, not when it is planned, so it stays on in the session; it concerns nanosecond columns only.
     """
     if nanos_as_long:
         spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
@@ -45,8 +50,12 @@ def load_raw(spark: SparkSession, path: str, nanos_as_long: bool = False) -> Dat
     except AnalysisException as err:
         if _is_missing_path(err):
             raise FileNotFoundError(f"Source file {path} not found.") from err
+        if not nanos_as_long and _is_nanos(err):
+            return load_raw(spark, path, nanos_as_long=True)
         raise IOError(f"Failed to read parquet file: {err}") from err
     except Exception as err:  # corrupt footer, permission, ...
+        if not nanos_as_long and _is_nanos(err):
+            return load_raw(spark, path, nanos_as_long=True)
         raise IOError(f"Failed to read parquet file: {err}") from err
     if nanos_as_long and "datetime" in df.columns and \
             isinstance(df.schema["datetime"].dataType, T.LongType):

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from aerolake.schema import CLEAN_COLUMNS
 
+CLEAN_PARTITION = "pollutant_key"
+_PREFIX = "p_"
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write a frame as Parquet (replacing the target)."""
@@ -16,21 +19,26 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_clean(df: DataFrame, path: str) -> str:
-    """Write the clean dataset partitioned by pollutant, each file sorted by station and time.
+    """Write the clean dataset in one directory per pollutant, each file sorted by station and time.
 
     Most marts read one pollutant (PM2.5 level counts, AQI rows, hourly profile, weekday pattern, hourly
     series), so their scans list one directory (``PartitionFilters``); the sort lets station / time
-    filters skip row groups. No shuffle is added: each task writes its rows per pollutant."""
-    (df.sortWithinPartitions(F.col("pollutant"), F.col("station_id"), F.col("datetime"))
-       .write.mode("overwrite").partitionBy("pollutant").parquet(path))
+    filters skip row groups. The directory key is the name behind a fixed prefix: names that are empty or look like
+    numbers come back as they were, and the name stays in the files too. The rows are rebalanced by pollutant first,
+    which splits a frequent one, so the number of files follows the data and not tasks x pollutants."""
+    (df.withColumn(CLEAN_PARTITION, F.concat(F.lit(_PREFIX), F.col("pollutant")))
+       .hint("rebalance", CLEAN_PARTITION)
+       .sortWithinPartitions(F.col(CLEAN_PARTITION), F.col("station_id"), F.col("datetime"))
+       .write.mode("overwrite").partitionBy(CLEAN_PARTITION).parquet(path))
     return path
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
-    """Read the clean dataset back with the columns in their original order (the partition column
-    ``pollutant`` would otherwise come last)."""
+    """Read the clean dataset back with its columns in their original order. The pollutant comes from the directory
+    key, so a filter on it prunes directories."""
     df = spark.read.parquet(path)
-    return df.select(*[c for c in CLEAN_COLUMNS if c in df.columns])
+    name = F.substring(CLEAN_PARTITION, len(_PREFIX) + 1, 1 << 30).alias("pollutant")
+    return df.select(*[name if c == "pollutant" else F.col(c) for c in CLEAN_COLUMNS if c in df.columns])
 
 
 def write_outputs(outputs: dict[str, DataFrame], output_dir: str) -> dict[str, str]:
