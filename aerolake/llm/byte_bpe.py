@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 from itertools import chain
 
 import pyarrow as pa
@@ -26,7 +27,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from aerolake.llm.arrow import extended, slices
 
 # Matches that a task remembers; the table starts anew beyond it, which costs time, never results.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
+# Matches that the library encodes in one call: its result objects are far larger than the ids kept of them.
+CALL = 1_000
+# Text bytes whose matches are held at a time, unless one text alone is longer.
+HELD_BYTES = 1 << 19
 
 
 def byte_characters() -> list[str]:
@@ -53,6 +58,8 @@ class ByteBPE:
     """Encoder and decoder over one vocabulary of ranks. Built once per task from the plain rank table."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        # A task has one core: the library's thread pool would only add memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, models
 
         self.chars = byte_characters()
@@ -92,9 +99,11 @@ class ByteBPE:
             if len(known) + len(new) > REMEMBERED:
                 known.clear()
                 new = list({m for row in matches for m in row})
-            spelled = [self._spelled(m.encode()) for m in new]
-            for m, e in zip(new, self.model.encode_batch(spelled, add_special_tokens=False)):
-                known[m] = tuple(e.ids)
+            for k in range(0, len(new), CALL):
+                some = new[k:k + CALL]
+                spelled = [self._spelled(m.encode()) for m in some]
+                for m, e in zip(some, self.model.encode_batch(spelled, add_special_tokens=False)):
+                    known[m] = tuple(e.ids)
         return [list(chain.from_iterable([known[m] for m in row])) for row in matches]
 
     def offsets(self, text: str, ids: list[int]) -> list[tuple[int, int]]:
@@ -141,7 +150,7 @@ def _tasks(df: DataFrame, rank_path: str, pattern: str, row, fields: str, keep:
 
     def run(batches):
         bpe = _loaded((rank_path, pattern), shared.value, pattern)
-        for part, texts in slices(batches, "__text"):
+        for part, texts in slices(batches, "__text", HELD_BYTES):
             made = list(zip(*(row(bpe, t, ids) for t, ids in zip(texts, bpe.encode(texts)))))
             columns = [part.column(i) for i in range(len(keep))]
             columns += [pa.array(c, type=target.field(len(keep) + i).type) for i, c in enumerate(made)]
