@@ -31,4 +31,4 @@ def slices(batches, text: str, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[p
 
 def extended(source: DataFrame, more: str, dropped: int = 1) -> StructType:
     """Schema of ``source`` without its last columns, followed by the DDL ``more``."""
-    return StructType(source.schema.fields[:-dropped] + StructType.fromDDL(more).fields)
+    return StructType(source.schema.fields[:len(source.columns) - dropped] + StructType.fromDDL(more).fields)

@@ -2,16 +2,15 @@
 
 Every training n-gram (unigrams and bigrams) is counted over the whole corpus. The filter stores an n-gram of
 count ``c`` as the events (n-gram, 1) ... (n-gram, 1 + floor(log2 c)); probing level after level until one is absent
-gives back the quantised count, too high only by false positives, never too low. The filter is broadcast and each
-task scores whole texts with it: ``P(w | v) = (min(c(v w), c(v)) + MU * P(w)) / (c(v) + MU)`` over
+gives back the quantised count, too high only by false positives, never too low. Texts are scored whole: ``P(w | v) = (min(c(v w), c(v)) + MU * P(w)) / (c(v) + MU)`` over
 ``P(w) = (c(w) + 1) / (N + V + 1)`` (Dirichlet smoothing), summed as log10, where ``v`` is the token before ``w``
 and a text begins after an end token.
 
 Counting is distributed: tasks count their own n-grams, send packed (n-gram, count) runs to the n-gram's bucket,
-and each bucket becomes one segment of the filter, so nothing is merged on the driver. The filter is bounded by
-``FILTER_BYTES``: at ``BITS_PER_EVENT`` bits an event, N tokens give at most ``2 N (1 + log2 m) / m`` events of
-n-grams seen ``m`` times or more, so ``m`` (1 up to about a hundred million tokens) is the least count for which
-that bound fits; rarer n-grams then score by the smoothing. Counts themselves always cover the whole corpus.
+and each bucket becomes one segment of the filter, ``BITS_PER_EVENT`` bits for each of its events, so nothing is merged
+on the driver. Every n-gram is held at every size. Segments of ``FILTER_BYTES`` in all or less are broadcast and each
+task scores with the whole filter. Larger filters stay distributed: each slice of texts sends its distinct n-grams to
+their buckets, gets their levels back, and is scored with them, with the same result.
 
 The base score is exact: word counts come from one aggregation by word; the ``HEAD_WORDS`` most frequent words
 are broadcast, all others are joined by word, so no frequent word reaches a join.
@@ -29,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from aerolake.llm.arrow import extended, slices
 from aerolake.llm.hashing import BASE, MIX1, U, WordHasher, mix
@@ -93,6 +93,17 @@ def segment(keys: np.ndarray, counts: np.ndarray) -> tuple[int, np.ndarray]:
     return size, np.packbits(bits, bitorder="little")
 
 
+def _middle(level: np.ndarray) -> np.ndarray:
+    """The middle of the counts of a level, 0 for level 0."""
+    low = np.exp2(level - 1.0)
+    return np.where(level > 0, (low + 2 * low - 1) / 2, 0.0)
+
+
+def _carried(keys: np.ndarray, shift: np.uint64) -> np.ndarray:
+    """Keys as runs carry them: the bucket and the low 48 bits."""
+    return ((keys >> shift) << shift) | (keys & U((1 << 48) - 1))
+
+
 class LogFrequencyFilter:
     """The whole filter: segments side by side, found by the top bits of the key."""
 
@@ -101,8 +112,12 @@ class LogFrequencyFilter:
         self.sizes, self.starts, self.data = sizes, starts, data
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Quantised count of each key: the middle of its level's counts, 0 where level 1 is absent."""
-        keys = ((keys >> self.shift) << self.shift) | (keys & U((1 << 48) - 1))  # as runs carry them
+        """Quantised count of each key."""
+        return _middle(self.levels(keys))
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Levels found of each key, 0 where level 1 is absent."""
+        keys = _carried(keys, self.shift)
         level = np.zeros(len(keys), np.int64)
         alive = np.arange(len(keys))
         for j in range(1, LEVELS + 1):
@@ -115,8 +130,13 @@ class LogFrequencyFilter:
             if not len(alive):
                 break
             level[alive] = j
-        low = np.exp2(level - 1)
-        return np.where(level > 0, (low + 2 * low - 1) / 2, 0.0)
+        return level
+
+
+def _by_bucket(key: np.ndarray, bucket_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets that the sorted keys fall into, where each bucket's keys begin, and the low 48 bits of all keys."""
+    edges = np.searchsorted(key >> U(64 - bucket_bits), np.arange((1 << bucket_bits) + 1).astype(U))
+    return np.flatnonzero(edges[1:] > edges[:-1]), edges, key.view(np.uint8).reshape(-1, 8)[:, :6]
 
 
 def count_ngrams(texts: DataFrame, bucket_bits: int) -> DataFrame:
@@ -126,9 +146,7 @@ def count_ngrams(texts: DataFrame, bucket_bits: int) -> DataFrame:
 
         def send():
             key, n = _merged(keys, counts)
-            edges = np.searchsorted(key >> U(64 - bucket_bits), np.arange((1 << bucket_bits) + 1).astype(U))
-            some = np.flatnonzero(edges[1:] > edges[:-1])
-            low = key.view(np.uint8).reshape(-1, 8)[:, :6]
+            some, edges, low = _by_bucket(key, bucket_bits)
             for part in np.array_split(some, max(1, len(some) // 64)):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(part, pa.int32()),
@@ -163,14 +181,12 @@ def unpack(bucket: int, keys: bytes, bucket_bits: int) -> np.ndarray:
     return low.view(U).ravel() | (U(bucket) << U(64 - bucket_bits))
 
 
-def build_filter(train: DataFrame, n_tokens: int, text: str = "text") -> tuple[LogFrequencyFilter, int]:
-    """The filter over all n-grams of the training texts, and the least count it holds."""
+def build_segments(train: DataFrame, text: str = "text") -> tuple[DataFrame, int]:
+    """The segments (bucket, size, bits) of the filter over all n-grams of the training texts, written, and the bits
+    of a bucket."""
     spark = train.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bucket_bits = min(16, max(8, (4 * parts - 1).bit_length()))
-    least = 1
-    while 2 * n_tokens * (1 + math.log2(least)) / least * BITS_PER_EVENT > 8 * FILTER_BYTES:
-        least += 1
     runs = count_ngrams(train.select(F.col(text).alias("text")), bucket_bits)
 
     def build(batches):
@@ -190,32 +206,51 @@ def build_filter(train: DataFrame, n_tokens: int, text: str = "text") -> tuple[L
                     pending = 0
         for bucket, (keys, counts) in sorted(held.items()):
             key, n = _merged(keys, counts)
-            size, bits = segment(key[n >= least], n[n >= least])
+            size, bits = segment(key, n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([bucket], pa.int32()), pa.array([size], pa.int64()), pa.array([bits.tobytes()], pa.binary())],
                 names=["bucket", "size", "bits"])
 
     segments = runs.repartition(parts, "bucket").mapInArrow(build, "bucket int, size bigint, bits binary")
+    return written(segments, "lm-segments"), bucket_bits
+
+
+def load_filter(segments: DataFrame, bucket_bits: int) -> LogFrequencyFilter:
+    """The whole filter in one place, for segments of ``FILTER_BYTES`` or less."""
     sizes, starts = np.full(1 << bucket_bits, 64, U), np.zeros(1 << bucket_bits, np.int64)
     data, at = [b"\0" * 8], 8  # buckets without n-grams share an empty segment
-    for row in segments.toLocalIterator():  # at most FILTER_BYTES in all
+    for row in segments.toLocalIterator():
         sizes[row["bucket"]], starts[row["bucket"]] = row["size"], at
         data.append(bytes(row["bits"]))
         at += len(row["bits"])
-    return LogFrequencyFilter(bucket_bits, sizes, starts, np.frombuffer(b"".join(data), np.uint8)), least
+    return LogFrequencyFilter(bucket_bits, sizes, starts, np.frombuffer(b"".join(data), np.uint8))
+
+
+def _scores(counts, tokens: np.ndarray, n: np.ndarray, total: float) -> np.ndarray:
+    """log10 probability of each text; ``counts`` gives the quantised counts of keys."""
+    one, two = ngram_keys(tokens)
+    single = counts(one)
+    history = np.concatenate([counts(ngram_keys(np.array([_END_HASH]))[0]), single[:-1]])
+    first = np.cumsum(n) - n
+    history[first] = history[0]
+    pair = np.minimum(counts(two), history)
+    return np.add.reduceat(np.log10((pair + MU * (single + 1) / total) / (history + MU)), first)
 
 
 _LOADED: dict[str, tuple[LogFrequencyFilter, WordHasher]] = {}
 
 
-def score_texts(df: DataFrame, model: LogFrequencyFilter, n_tokens: int, n_distinct: int,
+def score_texts(df: DataFrame, segments: DataFrame, bucket_bits: int, n_tokens: int, n_distinct: int,
                 text: str = "text") -> DataFrame:
     """All other columns of ``df`` and the log10 probability ``score`` of the text."""
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast((int(64 - int(model.shift)), model.sizes, model.starts, model.data))
-    token, keep = uuid.uuid4().hex, [c for c in df.columns if c != text]
-    source = df.select(*keep, F.col(text).alias("__text"))
+    source = df.select(*[c for c in df.columns if c != text], F.col(text).alias("__text"))
     total = float(n_tokens + n_distinct + 1)
+    bits = segments.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    if bits > 8 * FILTER_BYTES:
+        return _score_by_bucket(source, segments, bucket_bits, total)
+    model = load_filter(segments, bucket_bits)
+    shared = df.sparkSession.sparkContext.broadcast((bucket_bits, model.sizes, model.starts, model.data))
+    token = uuid.uuid4().hex
 
     def run(batches):
         if token not in _LOADED:
@@ -223,21 +258,72 @@ def score_texts(df: DataFrame, model: LogFrequencyFilter, n_tokens: int, n_disti
             _LOADED[token] = (LogFrequencyFilter(*shared.value), WordHasher())
         filt, hasher = _LOADED[token]
         for part, texts in slices(batches, "__text", max_bytes=2 << 20):
-            tokens, n = _closed(hasher, texts)
-            one, two = ngram_keys(tokens)
-            single = filt.counts(one)
-            history = np.concatenate([filt.counts(ngram_keys(np.array([_END_HASH]))[0]), single[:-1]])
-            first = np.cumsum(n) - n
-            history[first] = history[0]
-            pair = np.minimum(filt.counts(two), history)
-            p = np.log10((pair + MU * (single + 1) / total) / (history + MU))
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:-1], pa.array(np.add.reduceat(p, first), pa.float64())],
+                [*part.columns[:-1], pa.array(_scores(filt.counts, *_closed(hasher, texts), total), pa.float64())],
                 names=[*part.schema.names[:-1], "score"])
 
     return source.mapInArrow(run, extended(source, "score double"))
 
 
+def _score_by_bucket(source: DataFrame, segments: DataFrame, bucket_bits: int, total: float) -> DataFrame:
+    """``score_texts`` by a filter of any size. A slice of texts asks each bucket once for its distinct n-grams, so a
+    frequent n-gram costs a bucket one key a slice; a task holds one segment or one slice at a time."""
+    parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shift, keep = U(64 - bucket_bits), source.columns[:-1]
+
+    def asked(tokens):
+        return np.unique(_carried(np.concatenate(ngram_keys(tokens)), shift))
+
+    def ask(batches):
+        hasher = WordHasher()
+        for part, texts in slices(batches, "__text"):
+            own = uuid.uuid4().int >> 65
+            names = [*part.schema.names, "__slice", "__bucket", "__keys"]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array([own] * len(texts), pa.int64()), pa.nulls(len(texts), pa.int32()),
+                 pa.nulls(len(texts), pa.binary())], names=names)
+            some, edges, low = _by_bucket(asked(_closed(hasher, texts)[0]), bucket_bits)
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.nulls(len(some), f.type) for f in part.schema], pa.array([own] * len(some), pa.int64()),
+                 pa.array(some, pa.int32()), pa.array([low[edges[b]:edges[b + 1]].tobytes() for b in some], pa.binary())],
+                names=names)
+
+    def answer(batches):
+        at, held = None, None
+        for batch in batches:
+            out = []
+            for bucket, own, size, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if own is None:  # a bucket's segment comes before its questions
+                    at, held = bucket, LogFrequencyFilter(bucket_bits, np.full(1 << bucket_bits, size, U), np.zeros(
+                        1 << bucket_bits, np.int64), np.frombuffer(data, np.uint8))
+                    continue
+                keys = unpack(bucket, data, bucket_bits)
+                level = held.levels(keys) if at == bucket else np.zeros(len(keys))
+                out.append((own, bucket, level.astype(np.uint8).tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
+                    pa.int64(), pa.int32(), pa.binary()))], names=["slice", "bucket", "levels"])
+
+    def score(texts, answers):
+        tokens, n = _closed(WordHasher(), [t or "" for t in texts.column("__text").to_pylist()])
+        keys, found = asked(tokens), sorted(zip(*(answers.column(c).to_pylist() for c in ("bucket", "levels"))))
+        middle = _middle(np.frombuffer(b"".join(x for _, x in found), np.uint8))
+        scores = _scores(lambda k: middle[np.searchsorted(keys, _carried(k, shift))], tokens, n, total)
+        return pa.table([*[texts.column(c) for c in keep], pa.array(scores, pa.float64())], names=[*keep, "score"])
+
+    nullable = StructType([StructField(f.name, f.dataType) for f in extended(
+        source, "__slice bigint, __bucket int, __keys binary", dropped=0).fields])
+    table = written(source.mapInArrow(ask, nullable), "lm-slices")
+    questions = table.where("__bucket is not null").select(
+        F.col("__bucket").alias("bucket"), F.col("__slice").alias("slice"), F.lit(None).cast("bigint").alias("size"),
+        F.col("__keys").alias("bits"))
+    answers = segments.select("bucket", F.lit(None).cast("bigint").alias("slice"), "size", "bits") \
+        .unionByName(questions).repartition(parts, "bucket").sortWithinPartitions("bucket", F.asc_nulls_first("slice")) \
+        .mapInArrow(answer, "slice bigint, bucket int, levels binary")
+    return table.where("__bucket is null").groupBy("__slice").cogroup(answers.groupBy("slice")) \
+        .applyInArrow(score, extended(source, "score double"))
+
+
 def _tokens(text: Column) -> Column:
     return F.concat(words_of(ascii_lower(text)), F.array(F.lit(END)))
 
@@ -267,8 +353,8 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
     rows = docs.select(key, train.alias("train"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("row", F.xxhash64(key, "text"))
     base, n, v = base_scores(rows, F.col("train"), "row")
-    model, _ = build_filter(rows.where("train"), n)
-    scored = score_texts(rows.select(key, "train", "row", "text"), model, n, v)
+    segments, bucket_bits = build_segments(rows.where("train"))
+    scored = score_texts(rows.select(key, "train", "row", "text"), segments, bucket_bits, n, v)
     return scored.join(base, "row").select(
         key, (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"),
         "base_score", "score")

@@ -79,6 +79,16 @@ def test_filter_never_counts_too_low():
     assert (filt.counts(rng.integers(0, 2**48, 5000).astype(np.uint64)) > 0).mean() < 0.1
 
 
+def test_scores_do_not_depend_on_the_filter_bound(docs, none, monkeypatch):
+    """A filter above the broadcast bound holds the same n-grams and gives the same scores."""
+    train = language_id.remainder(F.col("doc_id"), 7) != 2
+    rows = lambda: sorted(map(tuple, bloom_lm.score_documents(docs, train).collect()), key=str)
+    want = rows()
+    monkeypatch.setattr(bloom_lm, "FILTER_BYTES", 1 << 10)
+    assert rows() == want
+    assert not bloom_lm.score_documents(none, train).collect()
+
+
 def test_language_id(spark, docs, none):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     held = language_id.remainder(F.col("doc_id"), 3) == 1
