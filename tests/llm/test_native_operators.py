@@ -97,6 +97,30 @@ def test_license_scan_against_all_pairs(spark, none):
     assert not license_scan.scan(none).collect()
 
 
+def test_licence_notices_inside_longer_texts(spark):
+    """Notices wrapped over lines, inside a line, edited, cut by the end, side by side; none where a line matches."""
+    import random
+    import textwrap
+    r = random.Random(3)
+    other = lambda n: " ".join(f"w{r.randrange(900)}" for _ in range(n))
+    mit, bsd, cc = (license_scan.TEMPLATES[k][1] for k in (2, 16, 15))
+    wrapped = lambda t: textwrap.fill(t, 40)
+    edited = mit.replace("free of charge", "gratis").replace("deal in", "deal freely in")
+    texts = [other(200) + "\n" + wrapped(mit) + "\n" + other(200), other(30) + ". " + cc + " " + other(30),
+             other(50) + "\n\n" + wrapped(edited) + "\n" + other(50), wrapped(bsd + "\n" + mit) + "\n" + other(300),
+             other(90) + "\n" + wrapped(mit + " " + mit), other(90) + "\n" + wrapped(mit)[:-30],
+             other(80) + "\n" + cc + "\n" + cc + "\n" + other(80), other(300), " ".join(mit.split()[:30]) + other(90)]
+    rows = license_scan.scan(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()
+    got = sorted((x["doc_id"], x["line"], x["template"]) for x in rows)
+    second = wrapped(mit + " " + mit).split("\n")
+    at = 2 + next(i for i, x in enumerate(second) if "Permission" in x and i)
+    assert got == [(0, 2, 2), (1, 1, 15), (2, 3, 2), (3, 1, 16), (3, 1 + next(
+        i for i, x in enumerate(texts[3].split("\n")) if "Permission" in x), 2), (4, 2, 2), (4, at, 2), (5, 2, 2),
+        (6, 2, 15), (6, 3, 15)]
+    best = {(x["doc_id"], x["line"]): x["dice"] for x in rows}
+    assert best[0, 2] == best[1, 1] == best[4, at] == 1 and 0.8 <= best[2, 3] < 1 and 0.8 <= best[5, 2] < 1
+
+
 def test_url_rules_and_mined_rules(spark):
     urls = ([(i, f"http://a{i}.example.com/de/{i}") for i in range(8)]
             + [(10 + i, f"http://www.b.example.net/de/{i}?x=1") for i in range(3)]
