@@ -19,6 +19,9 @@ look at tokens that still meet different components (with other pivots). The las
 pair across components, so no link between different texts is lost; inside a component further pairs cannot change
 the result.
 
+``links`` and ``link_counts`` take every pair of different nodes through the same filters instead, for callers that
+need the links themselves or their number.
+
 The result is the whole self-join's components; a node is identified by 64 bits of its set (two different sets
 share an identity with probability n^2 / 2^65).
 
@@ -296,13 +299,26 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(100 * common >= 80 * (F.size("of_a") + F.size("of_b") - common)).select("a", "b")
 
 
-def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(node, component) of every node with a link."""
+def _candidates(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nodes that the filters leave, their tokens under the first order, and their whole sets."""
     whole = hopeful_sets(docs, text)
     found = prefixes(whole)
     postings = found.select("node", "n", "s", F.posexplode("order0").alias("rank", "token"))
-    sets = whole.join(found.select("node"), "node", "left_semi")
-    links, labels = None, None
+    return found, postings, whole.join(found.select("node"), "node", "left_semi")
+
+
+def links(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(a, b) of every two different nodes that link, once each, inside components too. The result of a group of g
+    near copies that all link has g (g - 1) / 2 rows; exact copies are one node and add none."""
+    found, postings, sets = _candidates(docs, text)
+    pairs = written(_filtered(_crossing(postings, F.col("node")), found), "join-pairs")
+    return written(_verified(pairs, sets), "join-links")
+
+
+def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(node, component) of every node with a link."""
+    found, postings, sets = _candidates(docs, text)
+    joined, labels = None, None
     for turn in range(PIVOT_ROUNDS + 1):
         open_ = postings if labels is None else postings.join(labels, "node", "left") \
             .withColumn("component", F.coalesce("component", "node"))
@@ -327,8 +343,8 @@ def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
         new = written(_verified(written(_filtered(pairs, found), "join-pairs"), sets), "join-links")
         if labels is not None and new.isEmpty():
             continue
-        links = new if links is None else links.unionByName(new)
-        labels = written(connected(links), "join-labels")
+        joined = new if joined is None else joined.unionByName(new)
+        labels = written(connected(joined), "join-labels")
     return labels
 
 
@@ -348,6 +364,20 @@ def component_ids(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("smallest", "key").alias("component_id"))
 
 
+def link_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: key, n_shingles, n_links (all other rows that link with it, copies included)."""
+    rows = written(nodes_of(docs, [F.col(key).alias("key")], text), "join-rows")
+    copies = written(rows.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("copies")), "join-copies")
+    found = links(docs, text)
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")) \
+        .agg(F.sum("copies").alias("others"))
+    counted = copies.join(others, "node", "left").select(
+        "node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return rows.join(counted, "node", "left").select(
+        F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def one_per_component(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with the smallest key of their component, with all their columns. Of rows that repeat key and
     text one stays; documents without words link with nothing and stay."""

@@ -162,3 +162,28 @@ def test_ngram_join_against_all_pairs(spark, docs, none):
     kept = ngram_join.one_per_component(docs)
     assert kept.columns == docs.columns
     assert Counter(x["doc_id"] for x in kept.collect()) == Counter([1, 2, 3, 4, 5, 6, 9, 10, None, 12, 13, 14])
+
+
+def test_every_link_is_counted(spark, none):
+    """Groups of near copies and of exact copies, against all pairs."""
+    import random
+    r = random.Random(8)
+    word = lambda: f"w{r.randrange(300)}"
+    rows = [(i, t) for i, t, _ in ROWS]
+    for g in range(5):
+        base = [word() for _ in range(r.choice([120, 200]))]
+        for _ in range(8):
+            if r.random() < 0.6:
+                base = list(base)
+                base[r.randrange(len(base))] = word()
+            rows.append((100 + len(rows), " ".join(base)))
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    want = Counter((i, len(s), sum(k != m and bool(s & q) and 100 * len(s & q) >= 80 * len(s | q)
+                                   for m, q in enumerate(sets))) for k, ((i, _), s) in enumerate(zip(rows, sets)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert Counter(map(tuple, ngram_join.link_counts(df).collect())) == want
+    assert sum(n * k for (_, _, n), k in want.items()) > 2 * len(rows)
+    assert not ngram_join.link_counts(none).collect()
