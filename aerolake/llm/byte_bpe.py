@@ -4,8 +4,9 @@ Texts are cut by the vocabulary's pattern, each match is mapped byte by byte to
 the byte-level alphabet, and the library's BPE model merges those characters by rank. Because matches are
 encoded separately, equal matches have equal ids: each task keeps a bounded table of matches it has seen and
 asks the library only for new ones. Offsets come from the pieces' byte lengths, so they are exact even where a
-token holds part of a character. Decoding turns ids into pieces, pieces back into bytes by the reversed byte
-table, and joins bytes before they become text, so characters split over tokens come back whole.
+token holds part of a character; only ``encode`` gives them, the round trip digest does not compute any. Decoding
+does not reverse the byte table: it takes the raw bytes of each id from the rank file, which are the same bytes, and
+joins them before they become text, so characters split over tokens come back whole.
 
 Edge cases: null and empty texts have no ids and decode to the empty byte string; rows are independent, so
 repeated rows repeat; an empty table gives an empty result. Only named columns are kept.
