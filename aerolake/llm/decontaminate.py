@@ -73,9 +73,10 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
 
 
 def benchmark_items(bench: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """Items with a shingle: item, its words, length, shingles, weight and fingerprint."""
+    """Items with a shingle: item, its words, length, shingles, weight and fingerprint; ``item_row`` tells items apart,
+    also those without a key."""
     words = bench.select(F.col(key).alias("item"), normal_words(F.col(text)).alias("item_words")).distinct() \
-        .where(F.size("item_words") >= SHINGLE)
+        .where(F.size("item_words") >= SHINGLE).withColumn("item_row", F.xxhash64("item", "item_words"))
     return words.withColumn("length", F.size("item_words")).withColumn("item_grams", shingles(F.col("item_words"))) \
         .withColumn("item_weight", weight(F.col("item_grams"))) \
         .withColumn("item_print", simhash(F.col("item_grams")))
@@ -112,7 +113,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOLD
     near = [v for v in range(1 << BLOCK_BITS) if bin(v).count("1") <= BLOCK_RADIUS]
     flips = F.array(*[F.lit(v) for v in near])
     blocks = lambda p: F.posexplode(F.array(*[_block(F.col(p), b) for b in range(BLOCKS)]))
-    index = items.select("item", "length", "item_print",
+    index = items.select("item_row", "length", "item_print",
                          blocks("item_print").alias("block", "own")) \
         .withColumn("flip", F.explode(flips)) \
         .withColumn("value", F.col("own").bitwiseXOR(F.col("flip").cast("bigint"))).drop("own", "flip")
@@ -124,7 +125,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOLD
         earlier = earlier | ((F.col("block") > b) & (F.bit_count(_block(apart, b)) <= BLOCK_RADIUS))
     pairs = probes.join(_bounded(index, n_items * BLOCKS * len(near)), ["length", "block", "value"]) \
         .where(~earlier & (F.bit_count(apart) <= RADIUS)) \
-        .join(_bounded(items.select("item", "item_print", "item_grams", "item_weight"), n_items), ["item", "item_print"])
+        .join(_bounded(items.select("item_row", "item", "item_grams", "item_weight"), n_items), "item_row")
     common = weight(F.array_intersect("grams", "item_grams"))
     return pairs.select("row", "key", "item", (common / (weight(F.col("grams")) + F.col("item_weight") - common))
                         .alias("similarity")).where(F.col("similarity") >= threshold) \

@@ -173,6 +173,17 @@ def test_decontamination_against_all_aligned_windows(spark, docs, none):
     assert decontaminate.remove_leaks(docs, b.where("false")).count() == len(ROWS)
 
 
+def test_benchmark_items_without_a_key_are_found(spark):
+    passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    docs = spark.createDataFrame([(1, "before it " + passage + " after it"), (2, "other words only, and none of those"),
+                                  (None, passage)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, passage), (7, passage + " lambda mu nu xi omicron pi rho"), (None, None),
+                                   (None, "one two three four five six")], "item_id long, text string")
+    got = sorted(map(tuple, decontaminate.find_leaks(docs, bench).collect()), key=str)
+    assert got == [(1, None, 1.0), (None, None, 1.0)]
+    assert [r["doc_id"] for r in decontaminate.remove_leaks(docs, bench).collect()] == [2]
+
+
 def test_simhash_index_reaches_the_radius():
     """Any two bytes-wise prints within the radius share a block within the block radius."""
     import random
