@@ -14,7 +14,7 @@ from aerolake.operators.transform import batch_stats, daily_peaks, level_counts,
 from aerolake.plans import benchmark as B
 from aerolake.sources.parquet import load_raw
 
-from conftest import make_raw
+from raw_rows import make_raw
 
 
 def test_all_null_station_month_stays_null(spark):

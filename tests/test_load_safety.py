@@ -7,7 +7,7 @@ from aerolake.operators import star
 from aerolake.session import scale_conf
 from aerolake.sources.partitioned import partition_dataset
 from aerolake.sources.sinks import read_if_exists
-from conftest import make_raw
+from raw_rows import make_raw
 
 
 def test_scan_order_ids_without_broadcast(spark, tmp_out, monkeypatch):

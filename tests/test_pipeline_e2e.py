@@ -6,7 +6,7 @@ from aerolake.plans.catalog import list_tables
 from aerolake.plans.pipeline import run_pipeline
 from aerolake.sources.fixture import load_fixture_raw
 
-from conftest import SF_SMALL
+from raw_rows import SF_SMALL
 
 
 def test_run_pipeline(spark, tmp_out):

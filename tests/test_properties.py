@@ -11,7 +11,7 @@ from aerolake.operators.transform import level_counts
 from aerolake.sources.fixture import load_fixture_raw
 from aerolake.sources.partitioned import partition_dataset
 
-from conftest import SF_SMALL
+from raw_rows import SF_SMALL
 
 
 def test_fixture_shape(spark):

@@ -8,7 +8,7 @@ from aerolake.sources.fixture import load_fixture_raw
 from aerolake.sources.partitioned import partition_dataset
 from aerolake.streaming import run_incremental
 
-from conftest import SF_SMALL
+from raw_rows import SF_SMALL
 
 
 def _canon(df):
