@@ -5,7 +5,7 @@ import zlib
 from collections import Counter
 
 import pytest
-from conftest import ROWS, TEXT  # the one beside this file
+from corpus_rows import ROWS, TEXT
 
 from aerolake.llm import decontaminate, license_scan, quality_rules, sharding, url_filter
 

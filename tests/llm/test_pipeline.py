@@ -3,7 +3,7 @@
 import re
 
 import corpus_pipeline
-from conftest import SF
+from corpus_rows import SF
 
 import __spark_entry__
 

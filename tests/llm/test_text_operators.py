@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import public_tokenizers as P
-from conftest import ROWS, SF, TEXT
+from corpus_rows import ROWS, SF, TEXT
 from pyspark.sql import functions as F
 
 from aerolake.llm import bloom_lm, byte_bpe, language_id, ngram_join, token_counts
