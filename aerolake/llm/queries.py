@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bloom_lm, byte_bpe, decontaminate, language_id, license_scan, ngram_join, piece_bpe, quality_rules, sharding, sql, token_alignment, token_counts, url_filter
+from aerolake.llm import bloom_lm, byte_bpe, decontaminate, language_id, license_scan, ngram_join, piece_bpe, quality_rules, sharding, spelling_variants, sql, token_alignment, token_counts, url_filter
 from aerolake.llm.common import read_table
 
 
@@ -74,6 +74,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            vocabulary("piece_bpe_32k.model"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trip_digest(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -81,7 +85,7 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_ngram_join, op2_decontamination, op3_quality_rules, quality_rule_ablation, op4_license_scan, op5_lm_scoring, op6_url_filter, op7_sharding, op8_token_counts, op9_byte_bpe, op10_language_id,
-        op11_token_alignment, op13_sentencepiece)}
+        op11_token_alignment, op12_spelling_variants, op13_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -82,6 +82,9 @@ def test_random_texts(spark, plain, monkeypatch):
     texts = ["".join(rng.choice(atoms) for _ in range(rng.randint(0, 60))) for _ in range(300)] + ["a ▁ b c d", "▁"]
     aligner = token_alignment.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
     assert any(len(aligner.units(t)) > 1 for t in texts)
+    for text in texts:  # short units here; the tasks below use the standard ones
+        ids = [[i for _, al in token_alignment._aligned(aligner, [text]) for i in al.ids[s].tolist()] for s in (0, 1)]
+        assert "▁" in text or ids == [[i for i, _ in side] for side in plain(text)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = {r.doc_id: tuple(r[f] for f in FIELDS) for r in token_alignment.link_statistics(frame, A, B).collect()}
     assert [got[k] for k in range(len(texts))] == brute(plain, texts)
