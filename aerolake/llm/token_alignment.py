@@ -12,7 +12,7 @@ into B's. Each step compares the two ends of all units at once, emits a cut and
 the pointer of the smaller end (both when equal), and drops units that have reached their end.
 
 *Counts of id pairs.* Two linked tokens end at the same byte of the same bytes, so the bytes of one are a suffix of
-the bytes of the other. That bounds the id pairs by the two vocabularies alone (``pair_bound``, about 180,000 for the
+the bytes of the other. That bounds the id pairs by the two vocabularies alone (324,300 for the
 vocabularies used here), whatever the corpus: tasks count into an array of that length, one aggregation adds them
 up, and the result is small enough to be broadcast for the second pass. That pass reads the links of each text from
 a written table, so no text is encoded twice.
