@@ -3,11 +3,12 @@
 Both tokenizations cover the bytes of a blank and the text. Byte offsets where a token of A and a token of B both end
 are cuts; they part the tokens into groups, and the two tokens that end at a cut are linked.
 
-*Units.* A text is cut at single blanks between two ASCII letters (every ``UNIT_CHARS`` characters or more), where both
-tokenizers surely begin a new token: A's pattern starts a match at such a blank, and no piece of B holds a blank
-after something else (checked on the vocabulary). So units are encoded alone and long texts need little memory.
+*Units.* A text is cut at every single blank between two visible characters of ASCII or Latin-1, where both tokenizers
+surely begin a new token: A's pattern starts a match at such a blank, and no piece of B holds a blank after
+something else (checked on the vocabulary). So units are encoded and aligned alone, a seam is always a cut, equal
+units have equal tokens and links, and each task keeps a bounded table of the units it has aligned.
 
-*Lockstep merging.* One NumPy state vector holds, for every unit of a batch, a pointer into A's token ends and one
+*Lockstep merging.* One NumPy state vector holds, for every new unit of a batch of texts, a pointer into A's token ends and one
 into B's. Each step compares the two ends of all units at once, emits a cut and its link where they are equal, advances
 the pointer of the smaller end (both when equal), and drops units that have reached their end.
 
@@ -40,10 +41,11 @@ from aerolake.llm.byte_bpe import byte_characters
 from aerolake.llm.common import written
 
 MARK = "▁"
-UNIT_CHARS = 2_000
 # Text characters whose units are encoded and aligned at a time.
 BATCH_CHARS = 1 << 20
-SEAM = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
+# Characters of units that a task remembers; the table starts anew beyond it, which costs time, never results.
+REMEMBERED = 4 << 20
+SEAM = re.compile("(?<=[!-~À-ÿ]) (?=[!-~À-ÿ])")
 
 
 class Aligner:
@@ -78,6 +80,7 @@ class Aligner:
         self.keys = self._linkable(a_spelled, b_spelled)
         self.names = [[f"{i}{mark}" for i in range(max(len(a_spelled), self.n_b))] for mark in ",|;"]
         self.name_size = np.array([len(x) for x in self.names[0]], np.int64)
+        self.forget()
 
     @staticmethod
     def _flat(spelled: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -97,16 +100,51 @@ class Aligner:
                  for b in ids}
         return np.array(sorted(keys), np.int64)
 
-    def units(self, text: str) -> list[str]:
-        out, start = [], 0
-        while self.splits and len(text) - start > UNIT_CHARS:
-            seam = SEAM.search(text, start + UNIT_CHARS)
+    def forget(self) -> None:
+        """An empty table of units: number by unit; digest text and arrays by number."""
+        self.known: dict[str, int] = {}
+        self.held, self.text, self.bad = 0, [], np.zeros(0, bool)
+        self.flat = {c: np.zeros(0, np.int32) for c in ("a", "b", "cut_a", "cut_b", "pair")}
+        self.at = {c: np.zeros(1, np.int64) for c in self.flat}
+
+    def parts(self, text: str) -> Iterator[list[str]]:
+        """Units of a text, about ``BATCH_CHARS`` characters at a time."""
+        start = 0
+        while self.splits and len(text) - start > BATCH_CHARS:
+            seam = SEAM.search(text, start + BATCH_CHARS)
             if not seam:
                 break
-            out.append(text[start:seam.start()])
+            yield SEAM.split(text[start:seam.start()])
             start = seam.end()
-        out.append(text[start:] if start else text)
-        return out
+        rest = text[start:] if start else text
+        yield SEAM.split(rest) if self.splits else [rest]
+
+    def numbers(self, parts: list[list[str]]) -> list[list[int]]:
+        """Numbers of all units; those not in the table are aligned together and added."""
+        if self.held > REMEMBERED:
+            self.forget()
+        known = self.known
+        new = list({u for part in parts for u in part if u not in known})
+        if new:
+            al = self.align(new)
+            known.update(zip(new, range(len(self.text), len(self.text) + len(new))))
+            self.held += sum(map(len, new))
+            self.text += [t[:-1] for t in self.spelled(al)]
+            self.bad = np.concatenate([self.bad, al.bad])
+            for c, values, count in (("a", al.ids[0], al.count[0]), ("b", al.ids[1], al.count[1]), ("cut_a", al.cut_a, al.cuts),
+                                     ("cut_b", al.cut_b, al.cuts), ("pair", self.pairs(al), al.cuts)):
+                if c in ("cut_a", "cut_b"):  # tokens of the unit up to the cut
+                    tokens = al.count[c == "cut_b"]
+                    values = values + 1 - np.repeat(np.cumsum(tokens) - tokens, count)
+                self.flat[c] = np.concatenate([self.flat[c], values.astype(np.int32)])
+                self.at[c] = np.concatenate([self.at[c], self.at[c][-1] + np.cumsum(count)])
+        return [[known[u] for u in part] for part in parts]
+
+    def gather(self, column: str, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The column of the units one after another, and its length per unit."""
+        at = self.at[column]
+        n = at[units + 1] - at[units]
+        return self.flat[column][np.repeat(at[units] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
 
     @staticmethod
     def _raw(ids: np.ndarray, size: np.ndarray, at: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -222,19 +260,20 @@ def _loaded(key: tuple, a_file: str, b_model: bytes) -> Aligner:
     return _LOADED[key]
 
 
-def _aligned(aligner: Aligner, texts: list[str]) -> Iterator[tuple[list[int], Aligned]]:
-    """(row number of each unit, aligned units) of the texts in order; a long text's units may fill several batches."""
-    rows, units, held = [], [], 0
+def _aligned(aligner: Aligner, texts: list[str]) -> Iterator[tuple[list[int], list[list[int]]]]:
+    """(row numbers, unit numbers of each) of parts of the texts in order; a long text may fill several parts. Unit
+    numbers hold until the next turn."""
+    rows, parts, held = [], [], 0
     for k, text in enumerate(texts):
-        for unit in aligner.units(text) if text else ():
+        for part in aligner.parts(text) if text else ():
             rows.append(k)
-            units.append(unit)
-            held += len(unit)
+            parts.append(part)
+            held += min(len(text), BATCH_CHARS)
             if held >= BATCH_CHARS:
-                yield rows, aligner.align(units)
-                rows, units, held = [], [], 0
+                yield rows, aligner.numbers(parts)
+                rows, parts, held = [], [], 0
     if rows:
-        yield rows, aligner.align(units)
+        yield rows, aligner.numbers(parts)
 
 
 def _vocabularies(df: DataFrame, a_path: str, b_path: str):
@@ -260,17 +299,17 @@ def align(df: DataFrame, a_path: str, b_path: str, keep: tuple[str, ...] = ("doc
         aligner = _loaded((a_path, b_path), a_file.value, b_model.value)
         for part, texts in slices(batches, "__text", BATCH_CHARS):
             got, total, bad = [[[] for _ in texts] for _ in range(4)], np.zeros((2, len(texts)), np.int64), set()
-            for rows, al in _aligned(aligner, texts):
-                first = [np.cumsum(c) - c for c in al.count]
-                at = np.cumsum(al.cuts) - al.cuts
-                for u, k in enumerate(rows):
-                    if al.bad[u]:
+            for rows, numbers in _aligned(aligner, texts):
+                for k, own in zip(rows, numbers):
+                    units = np.array(own)
+                    if aligner.bad[units].any():
                         bad.add(k)
-                    for side, cut in ((0, al.cut_a), (1, al.cut_b)):
-                        lo, n = first[side][u], al.count[side][u]
-                        got[side][k].append(al.ids[side][lo:lo + n])
-                        got[2 + side][k].append(cut[at[u]:at[u] + al.cuts[u]] - lo + 1 + total[side][k])
-                        total[side][k] += n
+                    for side, (ids, cut) in enumerate((("a", "cut_a"), ("b", "cut_b"))):
+                        tokens, n = aligner.gather(ids, units)
+                        cuts, m = aligner.gather(cut, units)
+                        got[side][k].append(tokens)
+                        got[2 + side][k].append(cuts + np.repeat(np.cumsum(n) - n, m) + total[side][k])
+                        total[side][k] += len(tokens)
             made = [_lists([np.concatenate(r) if r and k not in bad else np.zeros(0, np.int32) for k, r in enumerate(g)])
                     for g in got]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made],
@@ -291,14 +330,17 @@ def _linked(df: DataFrame, a_path: str, b_path: str, a_file, b_model, keep, text
         for part, texts in slices(batches, "__text", BATCH_CHARS):
             n, bad = np.zeros((3, len(texts)), np.int64), set()
             links, sums, open_end = [[] for _ in texts], [hashlib.sha256() for _ in texts], [""] * len(texts)
-            for rows, al in _aligned(aligner, texts):
-                pairs, names, at = aligner.pairs(al), aligner.spelled(al), np.concatenate([[0], np.cumsum(al.cuts)])
-                for u, k in enumerate(rows):
-                    if al.bad[u]:
+            for rows, numbers in _aligned(aligner, texts):
+                spelled = aligner.text
+                for k, own in zip(rows, numbers):
+                    units = np.array(own)
+                    if aligner.bad[units].any():
                         bad.add(k)
-                    n[:, k] += al.count[0][u], al.count[1][u], al.cuts[u]
-                    links[k].append(pairs[at[u]:at[u + 1]])
-                    sums[k].update((open_end[k] + names[u][:-1]).encode())
+                        continue
+                    pairs, _ = aligner.gather("pair", units)
+                    n[:, k] += [int((aligner.at[c][units + 1] - aligner.at[c][units]).sum()) for c in ("a", "b")] + [len(pairs)]
+                    links[k].append(pairs)
+                    sums[k].update((open_end[k] + ";".join([spelled[u] for u in own])).encode())
                     open_end[k] = ";"
             n[:, list(bad)] = 0
             counted = [np.unique(np.concatenate(x), return_counts=True) if x and k not in bad else

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 from corpus_rows import ROWS, SF
@@ -74,31 +75,33 @@ def brute(plain, texts):
 FIELDS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
-def test_random_texts(spark, plain, monkeypatch):
-    monkeypatch.setattr(token_alignment, "UNIT_CHARS", 30)
+def test_random_texts(spark, plain):
     rng = random.Random(3)
     atoms = ["the", " word", " a", "ing", "日本", "é", "é", "😀", "<|endoftext|>", "<s>", "<0x41>", "  ", "\n", "\t", "'s", "12", "\x00",
              "\x1c", "\x85", " ", "ﬁ", " Zeit", "ñ", "xx", "."]
     texts = ["".join(rng.choice(atoms) for _ in range(rng.randint(0, 60))) for _ in range(300)] + ["a ▁ b c d", "▁"]
     aligner = token_alignment.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
-    assert any(len(aligner.units(t)) > 1 for t in texts)
-    for text in texts:  # short units here; the tasks below use the standard ones
-        ids = [[i for _, al in token_alignment._aligned(aligner, [text]) for i in al.ids[s].tolist()] for s in (0, 1)]
-        assert "▁" in text or ids == [[i for i, _ in side] for side in plain(text)]
+    assert any(len(part) > 3 for t in texts for part in aligner.parts(t))
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = {r.doc_id: tuple(r[f] for f in FIELDS) for r in token_alignment.link_statistics(frame, A, B).collect()}
     assert [got[k] for k in range(len(texts))] == brute(plain, texts)
 
 
-def test_units_and_batches_change_nothing(plain, monkeypatch):
+def test_parts_and_forgetting_change_nothing(plain, monkeypatch):
+    """Long texts in parts, and a table of units that starts anew, give the tokens of the whole text."""
     monkeypatch.setattr(token_alignment, "BATCH_CHARS", 50)
+    monkeypatch.setattr(token_alignment, "REMEMBERED", 100)
     aligner = token_alignment.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
-    text = " ".join(f"word{i % 17} and more of it" for i in range(400))
-    whole = aligner.align([text])
-    parts = list(token_alignment._aligned(aligner, ["", text, "x"]))
-    assert len(parts) > 1
-    assert [i for rows, al in parts for i in al.ids[0].tolist()][:len(whole.ids[0])] == whole.ids[0].tolist()
-    assert sum(int(al.cuts.sum()) for _, al in parts) == int(whole.cuts.sum()) + 1
+    texts = ["", " ".join(f"word{i % 17}, más of it\u0085 (x) y  z" for i in range(300)), "x"]
+    got = [[[], []] for _ in texts]
+    turns = 0
+    for rows, parts in token_alignment._aligned(aligner, texts):
+        for k, part in zip(rows, parts):
+            turns += 1
+            for side, column in enumerate("ab"):
+                got[k][side] += aligner.gather(column, np.array(part))[0].tolist()
+    assert turns > 100
+    assert got == [[[i for i, _ in side] for side in plain(t)] for t in texts]
 
 
 def test_edge_rows(spark, docs, none, plain):
