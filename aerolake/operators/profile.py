@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolake.functions import exact_avg, pct, period_label, round2_half_even
+from aerolake.functions import exact_avg, exact_std, pct, period_label, round2_half_even
 from aerolake.operators.quantiles import exact_quantiles
 from aerolake.operators.util import expand_counts, non_null_keys
 from aerolake.schema import WHO_PM25_LIMIT
@@ -135,15 +135,16 @@ def value_describe(df: DataFrame, column: str = "value", exact: bool = True) ->
     rows.
 
     ``exact=True`` computes the quartiles with ``exact_quantiles`` (distributed histogram ranks, no task
-    holds all distinct values) and uses them as literals; ``exact=False`` uses ``percentile_approx``."""
+    holds all distinct values) and uses them as literals, and the deviation about the exact mean; ``exact=False`` uses ``percentile_approx``."""
     x = F.col(column)
     if exact:
         p25, p50, p75 = exact_quantiles(df, column, [0.25, 0.5, 0.75])
         q = F.array(*[F.lit(v).cast("double") for v in (p25, p50, p75)])
     else:
         q = F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).cast("array<double>")
-    one = df.agg(F.count(x).cast("double").alias("count"), exact_avg(x, exact).alias("mean"),
-                 F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    mean = exact_avg(f"`{column}`", exact)
+    std = exact_std(column, df.agg(mean).first()[0]) if exact else F.stddev_samp(x)
+    one = df.agg(F.count(x).cast("double").alias("count"), mean.alias("mean"), std.alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
     one = one.select("count", "mean", "std", "min", q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), "max")
     stack = ("stack(8, 'count', count, 'mean', mean, 'std', std, 'min', min, '25%', p25, '50%', p50, "
              "'75%', p75, 'max', max) AS (stat, value)")

@@ -14,16 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aerolake.functions.rounding import exact_avg_sql
 from aerolake.sources.parquet import load_raw
 
 
-def exact_avg_sql(c: str) -> str:
-    """``functions.exact_avg`` as SQL text."""
-    d = f"TRY_CAST({c} AS DECIMAL(38,18))"
-    return (f"COALESCE(CASE WHEN COUNT_IF(COALESCE(CAST({d} AS DOUBLE) = {c}, FALSE)) = COUNT({c}) "
-            f"THEN CAST(TRY_SUM({d}) AS DOUBLE) / NULLIF(COUNT({c}), 0) END, AVG({c}))")
-
-
 def round2_away_sql(x: str) -> str:
     return (f"CASE WHEN ({x}) >= 0 THEN CAST(FLOOR(({x}) * 100 + 0.5) AS DOUBLE) / 100 "
             f"ELSE -CAST(FLOOR(-({x}) * 100 + 0.5) AS DOUBLE) / 100 END")

@@ -11,9 +11,17 @@ from aerolake.schema import CLEAN_COLUMNS, DISPLAY_LEVELS, FACT_VALUE_COLUMNS, R
 from aerolake.sources.fixture import fixture_ctes
 
 
+_GRID = f"{2.0**80!r}"  # readings, hourly means and their differences are whole multiples of 2^-80
+
+
+def ESUM(c: str) -> str:
+    """The double nearest to the true sum: whole numbers on a binary grid, rounded once (through their digits)."""
+    return f"CAST(CAST(SUM(CAST(({c}) * {_GRID} AS HUGEINT)) AS VARCHAR) AS DOUBLE) / {_GRID}"
+
+
 def EA(c: str) -> str:
-    """Exact average: the fixture's readings have at most 6 decimals, so this decimal sum holds them as they are."""
-    return f"CAST(SUM(CAST({c} AS DECIMAL(18,6))) AS DOUBLE) / NULLIF(COUNT({c}), 0)"
+    """Exact average: the nearest double to the true sum, divided by the count."""
+    return f"{ESUM(c)} / COUNT({c})"
 
 
 def R2E(x: str) -> str:
@@ -183,7 +191,8 @@ def build() -> dict[str, str]:
         "SELECT stat, round_even(v, 2) AS value FROM ("
         "SELECT 'count' AS stat, CAST(count(value) AS DOUBLE) AS v FROM r UNION ALL "
         f"SELECT 'mean', {EA('value')} FROM r UNION ALL "
-        "SELECT 'std', stddev_samp(value) FROM r UNION ALL "
+        f"SELECT 'std', sqrt({ESUM('(value - m_) * (value - m_)')} / NULLIF(count(value) - 1, 0)) "
+        f"FROM (SELECT value, (SELECT {EA('value')} FROM r) AS m_ FROM r) UNION ALL "
         "SELECT 'min', min(value) FROM r UNION ALL "
         "SELECT '25%', quantile_cont(value, 0.25) FROM r UNION ALL "
         "SELECT '50%', quantile_cont(value, 0.5) FROM r UNION ALL "
@@ -222,7 +231,7 @@ def build() -> dict[str, str]:
     q["dow_pattern"] = (f"SELECT dow, ['Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun'][dow + 1] AS day, pm25 FROM ("
                         f"SELECT CAST(isodow(datetime) - 1 AS INTEGER) AS dow, {EA('value')} AS pm25 FROM clean "
                         "WHERE pollutant = 'pm25' AND datetime IS NOT NULL GROUP BY 1)")
-    q["station_means"] = f"SELECT station_id, {R2E('avg(pm25)')} AS pm25 FROM sh GROUP BY station_id"
+    q["station_means"] = f"SELECT station_id, {R2E(EA('pm25'))} AS pm25 FROM sh GROUP BY station_id"
     meds = ", ".join(f"median({c}) AS {c}" for c in WEATHER_COLUMNS)
     q["station_month_medians"] = f"SELECT station_id, month, {meds} FROM c0 GROUP BY station_id, month"
     q["station_slice"] = f"SELECT station_id, hour, pm25 FROM sh WHERE station_id = (SELECT min(station_id) FROM sh)"
@@ -235,7 +244,7 @@ def build() -> dict[str, str]:
         "CAST(count(*) OVER () AS INTEGER) AS n_ FROM ("
         "WITH cand AS ("
         f"SELECT station_id, pm25, 0 AS src FROM sh WHERE hour = {STATION_RANK_HOUR} UNION ALL "
-        f"SELECT station_id, {R2E('avg(pm25)')} AS pm25, 1 AS src FROM sh GROUP BY station_id) "
+        f"SELECT station_id, {R2E(EA('pm25'))} AS pm25, 1 AS src FROM sh GROUP BY station_id) "
         "SELECT * FROM cand WHERE src = (SELECT min(src) FROM cand)))")
     bw = ("SELECT station_id, hour, pm25, row_number() OVER (PARTITION BY station_id ORDER BY pm25, hour) AS rb, "
           "row_number() OVER (PARTITION BY station_id ORDER BY pm25 DESC, hour) AS rw FROM sh WHERE pm25 IS NOT NULL")
@@ -270,7 +279,7 @@ def build() -> dict[str, str]:
           "CASE WHEN b.pm25 IS NULL THEN NULL ELSE greatest(b.pm25, 0.0) END AS predicted "
           "FROM hs a JOIN hs b ON a.station_id = b.station_id AND a.hour_ts = b.hour_ts + INTERVAL 24 HOUR")
     q["seasonal_forecast"] = sf
-    q["forecast_mae"] = (f"SELECT station_id, {R2E('avg(abs(actual - predicted))')} AS mae, count(*) AS n_hours "
+    q["forecast_mae"] = (f"SELECT station_id, {R2E(EA('abs(actual - predicted)'))} AS mae, count(*) AS n_hours "
                          f"FROM ({sf}) GROUP BY station_id")
     fc = ("SELECT h.station_id, CAST(date_diff('hour', l.t - INTERVAL 23 HOUR, h.hour_ts) AS INTEGER) AS step, "
           "greatest(h.pm25, 0.0) AS predicted FROM hs h JOIN (SELECT station_id, max(hour_ts) AS t FROM hs GROUP BY station_id) l "

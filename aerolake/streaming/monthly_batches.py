@@ -8,8 +8,8 @@ written as a snapshot after every micro-batch. The checkpoint location records w
 and the aggregation state, so a restarted job (or a lost executor) resumes without double counting;
 ``availableNow`` processes everything present and stops, which is the "scheduled batch" behaviour.
 
-Because the builders use order-independent aggregates (exact DECIMAL sums, counts, min/max, sample
-deviation), the streamed result equals the one-shot batch result no matter how files are split into
+Because the builders use order-independent aggregates (exact sums, counts, min/max; the sample deviation
+differs in its last bits at most, which its two decimals do not show), the streamed result equals the one-shot batch result no matter how files are split into
 micro-batches.
 """
 
