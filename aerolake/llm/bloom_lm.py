@@ -2,9 +2,10 @@
 
 Every training n-gram (unigrams and bigrams) is counted over the whole corpus. The filter stores an n-gram of
 count ``c`` as the events (n-gram, 1) ... (n-gram, 1 + floor(log2 c)); probing level after level until one is absent
-gives back the quantised count, too high only by false positives, never too low. Texts are scored whole: ``P(w | v) = (min(c(v w), c(v)) + MU * P(w)) / (c(v) + MU)`` over
-``P(w) = (c(w) + 1) / (N + V + 1)`` (Dirichlet smoothing), summed as log10, where ``v`` is the token before ``w``
-and a text begins after an end token.
+gives back the range [2^(l-1), 2^l - 1] of the count, too high only by false positives, never too low. Texts are scored
+whole: ``P(w | v) = (min(low(v w), low(w), high(v)) + MU * P(w)) / (high(v) + MU)`` over ``P(w) = (low(w) + 1) / (N + V + 1)``
+(Dirichlet smoothing), summed as log10, where ``v`` is the token before ``w`` and a text begins after an end token. The
+lower ends above and the upper end below keep the mass of all words after ``v`` at 1 or less, but for false positives.
 
 Counting is distributed: tasks count their own n-grams, send packed (n-gram, count) runs to the n-gram's bucket,
 and each bucket becomes one segment of the filter, ``BITS_PER_EVENT`` bits for each of its events, so nothing is merged
@@ -12,8 +13,9 @@ on the driver. Every n-gram is held at every size. Segments of ``FILTER_BYTES``
 task scores with the whole filter. Larger filters stay distributed: each slice of texts sends its distinct n-grams to
 their buckets, gets their levels back, and is scored with them, with the same result.
 
-The base score is exact: word counts come from one aggregation by word; the ``HEAD_WORDS`` most frequent words
-are broadcast, all others are joined by word, so no frequent word reaches a join.
+The base score is exact: tasks count the training words themselves before one aggregation by word; the ``HEAD_WORDS``
+most frequent words are broadcast and summed where a text is scored, its other words are counted per text and joined
+by word, so no frequent word and no single occurrence reaches a shuffle.
 
 Edge cases: null and empty texts are the end token alone; a null key counts as the empty text for the split;
 repeated rows repeat; without training rows every count is 0. Only key and text are read.
@@ -23,25 +25,27 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StringType, StructField, StructType
 
 from aerolake.llm.arrow import extended, slices
 from aerolake.llm.hashing import BASE, MIX1, U, WordHasher, mix
-from aerolake.llm.common import ascii_lower, words_of, written
+from aerolake.llm.common import written
 
 FILTER_BYTES = 256 << 20
-BITS_PER_EVENT = 8
-PROBES = 5  # bits of one event
+BITS_PER_EVENT = 12
+PROBES = 6  # bits of one event
 LEVELS = 40  # most levels of a count
 MU = 4.0
 HEAD_WORDS = 100_000  # words whose counts are broadcast (some megabytes)
+COUNTED = 200_000  # different words that a task counts before it hands its counts on
 HELD_ENTRIES = 3_000_000  # n-grams a task holds before it merges or sends them
-END = "\n"  # the end token; no word holds a line feed
 
 _END_HASH = U(0x2545F4914F6CDD1D)
 
@@ -93,10 +97,14 @@ def segment(keys: np.ndarray, counts: np.ndarray) -> tuple[int, np.ndarray]:
     return size, np.packbits(bits, bitorder="little")
 
 
-def _middle(level: np.ndarray) -> np.ndarray:
-    """The middle of the counts of a level, 0 for level 0."""
-    low = np.exp2(level - 1.0)
-    return np.where(level > 0, (low + 2 * low - 1) / 2, 0.0)
+def _low(level: np.ndarray) -> np.ndarray:
+    """The least count of a level, 0 for level 0."""
+    return np.floor(np.exp2(level - 1.0))
+
+
+def _high(level: np.ndarray) -> np.ndarray:
+    """The largest count of a level, 0 for level 0."""
+    return np.exp2(level.astype(np.float64)) - 1
 
 
 def _carried(keys: np.ndarray, shift: np.uint64) -> np.ndarray:
@@ -111,13 +119,9 @@ class LogFrequencyFilter:
         self.shift = U(64 - bucket_bits)
         self.sizes, self.starts, self.data = sizes, starts, data
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Quantised count of each key."""
-        return _middle(self.levels(keys))
-
     def levels(self, keys: np.ndarray) -> np.ndarray:
-        """Levels found of each key, 0 where level 1 is absent."""
-        keys = _carried(keys, self.shift)
+        """Levels found of each key, 0 where level 1 is absent; each different key is probed once."""
+        keys, place = np.unique(_carried(keys, self.shift), return_inverse=True)
         level = np.zeros(len(keys), np.int64)
         alive = np.arange(len(keys))
         for j in range(1, LEVELS + 1):
@@ -130,7 +134,7 @@ class LogFrequencyFilter:
             if not len(alive):
                 break
             level[alive] = j
-        return level
+        return level[place]
 
 
 def _by_bucket(key: np.ndarray, bucket_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -190,28 +194,32 @@ def build_segments(train: DataFrame, text: str = "text") -> tuple[DataFrame, int
     runs = count_ngrams(train.select(F.col(text).alias("text")), bucket_bits)
 
     def build(batches):
-        held: dict[int, tuple[list, list]] = {}
-        pending = 0
-        for batch in batches:
-            for bucket, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                key, n = held.setdefault(bucket, ([], []))
-                key.append(unpack(bucket, keys, bucket_bits))
-                n.append(np.frombuffer(counts, np.int32).astype(np.int64))
-                pending += len(n[-1])
-                if pending > HELD_ENTRIES:
-                    for k, c in held.values():
-                        if len(k) > 1:
-                            a, b = _merged(k, c)
-                            k[:], c[:] = [a], [b]
-                    pending = 0
-        for bucket, (keys, counts) in sorted(held.items()):
+        at, keys, counts, pending = None, [], [], 0
+
+        def done():
             key, n = _merged(keys, counts)
             size, bits = segment(key, n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int32()), pa.array([size], pa.int64()), pa.array([bits.tobytes()], pa.binary())],
+            return pa.RecordBatch.from_arrays(
+                [pa.array([at], pa.int32()), pa.array([size], pa.int64()), pa.array([bits.tobytes()], pa.binary())],
                 names=["bucket", "size", "bits"])
 
-    segments = runs.repartition(parts, "bucket").mapInArrow(build, "bucket int, size bigint, bits binary")
+        for batch in batches:  # runs come bucket by bucket: one bucket is held at a time
+            for bucket, key, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if bucket != at:
+                    if at is not None:
+                        yield done()
+                    at, keys, counts, pending = bucket, [], [], 0
+                keys.append(unpack(bucket, key, bucket_bits))
+                counts.append(np.frombuffer(n, np.int32).astype(np.int64))
+                pending += len(counts[-1])
+                if pending > HELD_ENTRIES:
+                    one, two = _merged(keys, counts)
+                    keys, counts, pending = [one], [two], 0
+        if at is not None:
+            yield done()
+
+    segments = runs.repartition(parts, "bucket").sortWithinPartitions("bucket") \
+        .mapInArrow(build, "bucket int, size bigint, bits binary")
     return written(segments, "lm-segments"), bucket_bits
 
 
@@ -226,15 +234,16 @@ def load_filter(segments: DataFrame, bucket_bits: int) -> LogFrequencyFilter:
     return LogFrequencyFilter(bucket_bits, sizes, starts, np.frombuffer(b"".join(data), np.uint8))
 
 
-def _scores(counts, tokens: np.ndarray, n: np.ndarray, total: float) -> np.ndarray:
-    """log10 probability of each text; ``counts`` gives the quantised counts of keys."""
+def _scores(levels, tokens: np.ndarray, n: np.ndarray, total: float) -> np.ndarray:
+    """log10 probability of each text; ``levels`` gives the levels of keys."""
     one, two = ngram_keys(tokens)
-    single = counts(one)
-    history = np.concatenate([counts(ngram_keys(np.array([_END_HASH]))[0]), single[:-1]])
+    single = levels(one)
+    before = np.concatenate([levels(ngram_keys(np.array([_END_HASH]))[0]), single[:-1]])
     first = np.cumsum(n) - n
-    history[first] = history[0]
-    pair = np.minimum(counts(two), history)
-    return np.add.reduceat(np.log10((pair + MU * (single + 1) / total) / (history + MU)), first)
+    before[first] = before[0]
+    history, own = _high(before), _low(single)
+    pair = np.minimum(np.minimum(_low(levels(two)), own), history)
+    return np.add.reduceat(np.log10((pair + MU * (own + 1) / total) / (history + MU)), first)
 
 
 _LOADED: dict[str, tuple[LogFrequencyFilter, WordHasher]] = {}
@@ -259,7 +268,7 @@ def score_texts(df: DataFrame, segments: DataFrame, bucket_bits: int, n_tokens:
         filt, hasher = _LOADED[token]
         for part, texts in slices(batches, "__text", max_bytes=2 << 20):
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:-1], pa.array(_scores(filt.counts, *_closed(hasher, texts), total), pa.float64())],
+                [*part.columns[:-1], pa.array(_scores(filt.levels, *_closed(hasher, texts), total), pa.float64())],
                 names=[*part.schema.names[:-1], "score"])
 
     return source.mapInArrow(run, extended(source, "score double"))
@@ -307,8 +316,8 @@ def _score_by_bucket(source: DataFrame, segments: DataFrame, bucket_bits: int, t
     def score(texts, answers):
         tokens, n = _closed(WordHasher(), [t or "" for t in texts.column("__text").to_pylist()])
         keys, found = asked(tokens), sorted(zip(*(answers.column(c).to_pylist() for c in ("bucket", "levels"))))
-        middle = _middle(np.frombuffer(b"".join(x for _, x in found), np.uint8))
-        scores = _scores(lambda k: middle[np.searchsorted(keys, _carried(k, shift))], tokens, n, total)
+        level = np.frombuffer(b"".join(x for _, x in found), np.uint8).astype(np.int64)
+        scores = _scores(lambda k: level[np.searchsorted(keys, _carried(k, shift))], tokens, n, total)
         return pa.table([*[texts.column(c) for c in keep], pa.array(scores, pa.float64())], names=[*keep, "score"])
 
     nullable = StructType([StructField(f.name, f.dataType) for f in extended(
@@ -324,37 +333,79 @@ def _score_by_bucket(source: DataFrame, segments: DataFrame, bucket_bits: int, t
         .applyInArrow(score, extended(source, "score double"))
 
 
-def _tokens(text: Column) -> Column:
-    return F.concat(words_of(ascii_lower(text)), F.array(F.lit(END)))
+def count_words(train: DataFrame, text: str = "text") -> DataFrame:
+    """(word, c): how often each word of the training texts occurs; words as UTF-8 with A-Z lowered."""
+    def run(batches):
+        total = Counter()
 
+        def out():
+            batch = pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())],
+                                               names=["word", "c"])
+            total.clear()
+            return batch
 
-def base_scores(docs: DataFrame, train: Column, row: str, text: str = "text") -> tuple[DataFrame, int, int]:
-    """Exact add-one unigram scores by the row key: (row, n_tokens, n_known, base_score), N and V. Rows with one
-    key hold the same text; each end token counts one such row, so sums are divided by their number."""
-    words = docs.select(row, train.alias("train"), F.explode(_tokens(F.col(text))).alias("word"))
-    vocab = written(words.where("train").groupBy("word").agg(F.count(F.lit(1)).alias("c")), "lm-words")
-    n, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    head = F.broadcast(vocab.orderBy(F.desc("c"), "word").limit(HEAD_WORDS))
-    ends = F.sum((F.col("word") == END).cast("bigint")).alias("rows")
-    sums = [F.sum(F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("s"), F.count(F.lit(1)).alias("n"),
-            F.count("c").alias("known"), ends]
-    frequent = words.join(head, "word").groupBy(row).agg(*sums)
-    rare = words.join(head.select("word"), "word", "left_anti").join(vocab, "word", "left").groupBy(row).agg(*sums)
-    both = frequent.unionByName(rare).groupBy(row).agg(*[F.sum(c).alias(c) for c in ("s", "n", "known", "rows")])
-    d = math.log10(n + v + 1)
-    each = lambda c: (F.col(c) / F.col("rows")).cast("bigint")
-    return both.select(row, each("n").alias("n_tokens"), each("known").alias("n_known"),
-                       ((F.col("s") - F.col("n") * d) / F.col("rows")).alias("base_score")), n, v
+        for _, texts in slices(batches, "__text"):
+            for t in texts:
+                total.update(t.encode().lower().split())  # bytes: A-Z only, split at the blanks of the contract
+                if len(total) >= COUNTED:
+                    yield out()
+        yield out()
+
+    return train.select(F.col(text).alias("__text")).mapInArrow(run, "word binary, c bigint") \
+        .groupBy("word").agg(F.sum("c").alias("c"))
+
+
+def base_sums(df: DataFrame, head: dict[bytes, int], ends: int, text: str = "text") -> DataFrame:
+    """``df`` and, of every text: a row number, n_tokens, how many tokens are among ``head`` (word to count; the end
+    token occurs ``ends`` times), the sum of log10(c + 1) over those, and its other words with their numbers."""
+    shared = df.sparkSession.sparkContext.broadcast({w: math.log10(c + 1) for w, c in head.items()})
+    source = df.select(*[c for c in df.columns if c != text], F.col(text).alias("__text"))
+    fields = "__row bigint, n_tokens bigint, __known bigint, __sum double, __other array<struct<word: binary, k: bigint>>"
+    schema = extended(source, fields)
+    target = to_arrow_schema(schema)
+    end = math.log10(ends + 1)
+
+    def run(batches):
+        logs = shared.value.get
+        for part, texts in slices(batches, "__text"):
+            made, own = [], uuid.uuid4().int >> 65 & ~0xFFFFFF  # kept by the table that this is written to
+            for k, t in enumerate(texts):
+                words = t.encode().lower().split()
+                known, total, other = int(ends > 0), end, []
+                for w, n in Counter(words).items():
+                    log = logs(w)
+                    if log is None:
+                        other.append({"word": w, "k": n})
+                    else:
+                        known, total = known + n, total + n * log
+                made.append((own + k, len(words) + 1, known, total, other))
+            columns = [pa.array(c, target.field(len(part.columns) - 1 + i).type) for i, c in enumerate(zip(*made))]
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns, part.columns[-1]], schema=full)
+
+    full = pa.schema([*target, pa.field("__text", pa.string())])
+    both = StructType([*schema.fields, StructField("__text", StringType())])
+    return source.mapInArrow(run, both).withColumnRenamed("__text", text)
 
 
 def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, held_out, n_tokens, n_known, train_tokens, base_score, score. ``train`` tells the
     rows to learn from."""
-    rows = docs.select(key, train.alias("train"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("row", F.xxhash64(key, "text"))
-    base, n, v = base_scores(rows, F.col("train"), "row")
-    segments, bucket_bits = build_segments(rows.where("train"))
-    scored = score_texts(rows.select(key, "train", "row", "text"), segments, bucket_bits, n, v)
-    return scored.join(base, "row").select(
-        key, (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"),
-        "base_score", "score")
+    rows = docs.select(F.col(key).alias("__key"), F.coalesce(train, F.lit(False)).alias("__train"),
+                       F.coalesce(F.col(text), F.lit("")).alias("text"))
+    learnt = rows.where("__train")
+    vocab = written(count_words(learnt), "lm-words")
+    n, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    ends = learnt.count()
+    n, v = n + ends, v + (ends > 0)
+    head = {bytes(r.word): r.c for r in vocab.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).collect()}
+    segments, bucket_bits = build_segments(learnt)
+    scored = written(score_texts(base_sums(rows, head, ends), segments, bucket_bits, n, v), "lm-scores")
+    other = scored.select("__row", F.inline("__other")).join(vocab, "word", "left").groupBy("__row").agg(
+        F.sum(F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("__s"),
+        F.sum(F.when(F.col("c").isNotNull(), F.col("k"))).alias("__k"))
+    d = math.log10(n + v + 1)
+    return scored.join(other, "__row", "left").select(
+        F.col("__key").alias(key), (~F.col("__train")).alias("held_out"), "n_tokens",
+        (F.col("__known") + F.coalesce("__k", F.lit(0))).cast("bigint").alias("n_known"),
+        F.lit(n).cast("bigint").alias("train_tokens"),
+        (F.col("__sum") + F.coalesce("__s", F.lit(0.0)) - F.col("n_tokens") * d).alias("base_score"), "score")

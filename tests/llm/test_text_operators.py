@@ -52,12 +52,13 @@ def test_base_scores_are_exact_and_model_scores_close(docs, none):
     one = Counter(w for ws, held, _ in toks if not held for w in ws)
     two = Counter(p for ws, held, _ in toks if not held for p in zip([b"\n"] + ws[:-1], ws))
     n, v = sum(one.values()), len(one)
-    mid = lambda c: (2 ** (c.bit_length() - 1) + 2 ** c.bit_length() - 1) / 2 if c else 0
+    low = lambda c: 2 ** (c.bit_length() - 1) if c else 0
+    high = lambda c: 2 ** c.bit_length() - 1
     want = defaultdict(list)
     for ws, held, i in toks:
         base = sum(math.log10((one[w] + 1) / (n + v + 1)) for w in ws)
-        score = sum(math.log10((min(mid(two[p]), mid(one[p[0]])) + bloom_lm.MU * (mid(one[p[1]]) + 1) / (n + v + 1))
-                               / (mid(one[p[0]]) + bloom_lm.MU)) for p in zip([b"\n"] + ws[:-1], ws))
+        score = sum(math.log10((min(low(two[a, b]), low(one[b])) + bloom_lm.MU * (low(one[b]) + 1) / (n + v + 1))
+                               / (high(one[a]) + bloom_lm.MU)) for a, b in zip([b"\n"] + ws[:-1], ws))
         want[i].append((held, len(ws), sum(one[w] > 0 for w in ws), base, score))
     rows = bloom_lm.score_documents(docs, train).collect()
     assert len(rows) == len(ROWS)
@@ -75,8 +76,31 @@ def test_filter_never_counts_too_low():
     counts = rng.integers(1, 1000, 5000)
     size, bits = bloom_lm.segment(keys, counts)
     filt = bloom_lm.LogFrequencyFilter(8, np.full(256, size, np.uint64), np.zeros(256, np.int64), bits)
-    assert (filt.counts(keys) >= 2.0 ** np.floor(np.log2(counts))).all()
-    assert (filt.counts(rng.integers(0, 2**48, 5000).astype(np.uint64)) > 0).mean() < 0.1
+    assert (filt.levels(keys) >= 1 + np.floor(np.log2(counts))).all()
+    assert (filt.levels(rng.integers(0, 2**48, 5000).astype(np.uint64)) > 0).mean() < 0.02
+
+
+def test_model_is_a_distribution(spark):
+    """The probabilities of all words after a frequent, a rare and an unknown word add up to 1 or less: counts just
+    below a power of two (held exactly or low) over histories that are held high."""
+    texts = ["v a"] * 7 + [f"v w{i}" for i in range(7)] + ["r x", "v a b", "x y z"] + ["f " + f"u{i % 31}" for i in range(900)]
+    train = spark.createDataFrame([(t,) for t in texts], "text string")
+    segments, bits = bloom_lm.build_segments(train)
+    filt, hasher = bloom_lm.load_filter(segments, bits), bloom_lm.WordHasher()
+    counts = Counter(w for t in texts for w in t.split())
+    total = float(sum(counts.values()) + len(texts) + len(counts) + 2)
+    vocabulary = sorted(counts)
+    one = {w: 10.0 ** bloom_lm._scores(filt.levels, *bloom_lm._closed(hasher, [w]), total)[0] for w in vocabulary}
+    for before in ("v", "r", "f", "unknown", "a"):
+        # P(w | before) from texts that differ by w alone: P(before w end) / P(end | w) / P(before)
+        mass = 0.0
+        for w in vocabulary:
+            tokens, _ = bloom_lm._closed(hasher, [f"{before} {w}"])
+            whole = 10.0 ** bloom_lm._scores(filt.levels, tokens, np.array([3]), total)[0]
+            first = 10.0 ** bloom_lm._scores(filt.levels, tokens[:1], np.array([1]), total)[0]
+            start = 10.0 ** bloom_lm._scores(filt.levels, hasher.words([w])[0], np.array([1]), total)[0]
+            mass += whole / first / (one[w] / start)
+        assert 0.0 < mass <= 1 + 1e-9, (before, mass)
 
 
 def test_scores_do_not_depend_on_the_filter_bound(docs, none, monkeypatch):
