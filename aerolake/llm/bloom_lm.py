@@ -29,10 +29,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from aerolake.llm.arrow import extended, slices
 from aerolake.llm.hashing import BASE, MIX1, U, WordHasher, mix
@@ -250,13 +250,15 @@ _LOADED: dict[str, tuple[LogFrequencyFilter, WordHasher]] = {}
 
 
 def score_texts(df: DataFrame, segments: DataFrame, bucket_bits: int, n_tokens: int, n_distinct: int,
-                text: str = "text") -> DataFrame:
-    """All other columns of ``df`` and the log10 probability ``score`` of the text."""
+                text: str = "text", more: tuple | None = None) -> DataFrame:
+    """All other columns of ``df`` and the log10 probability ``score`` of the text. ``more``: DDL of further columns and
+    the function that makes them from the texts of a slice, in the worker that reads them anyway."""
     source = df.select(*[c for c in df.columns if c != text], F.col(text).alias("__text"))
     total = float(n_tokens + n_distinct + 1)
     bits = segments.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    fields, made = more or ("", lambda texts: [])
     if bits > 8 * FILTER_BYTES:
-        return _score_by_bucket(source, segments, bucket_bits, total)
+        return _score_by_bucket(source, segments, bucket_bits, total, fields, made)
     model = load_filter(segments, bucket_bits)
     shared = df.sparkSession.sparkContext.broadcast((bucket_bits, model.sizes, model.starts, model.data))
     token = uuid.uuid4().hex
@@ -266,19 +268,23 @@ def score_texts(df: DataFrame, segments: DataFrame, bucket_bits: int, n_tokens:
             _LOADED.clear()
             _LOADED[token] = (LogFrequencyFilter(*shared.value), WordHasher())
         filt, hasher = _LOADED[token]
-        for part, texts in slices(batches, "__text", max_bytes=2 << 20):
+        for part, texts in slices(batches, "__text", max_bytes=1 << 20):
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:-1], pa.array(_scores(filt.levels, *_closed(hasher, texts), total), pa.float64())],
-                names=[*part.schema.names[:-1], "score"])
+                [*part.columns[:-1], *made(texts), pa.array(_scores(filt.levels, *_closed(hasher, texts), total), pa.float64())],
+                schema=target)
 
-    return source.mapInArrow(run, extended(source, "score double"))
+    schema = extended(source, fields + "score double")
+    target = to_arrow_schema(schema)
+    return source.mapInArrow(run, schema)
 
 
-def _score_by_bucket(source: DataFrame, segments: DataFrame, bucket_bits: int, total: float) -> DataFrame:
+def _score_by_bucket(source: DataFrame, segments: DataFrame, bucket_bits: int, total: float, fields: str, made) -> DataFrame:
     """``score_texts`` by a filter of any size. A slice of texts asks each bucket once for its distinct n-grams, so a
     frequent n-gram costs a bucket one key a slice; a task holds one segment or one slice at a time."""
     parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shift, keep = U(64 - bucket_bits), source.columns[:-1]
+    shift = U(64 - bucket_bits)
+    wide = extended(source, fields + "__text string")
+    keep, target = wide.names[:-1], to_arrow_schema(wide)
 
     def asked(tokens):
         return np.unique(_carried(np.concatenate(ngram_keys(tokens)), shift))
@@ -287,13 +293,13 @@ def _score_by_bucket(source: DataFrame, segments: DataFrame, bucket_bits: int, t
         hasher = WordHasher()
         for part, texts in slices(batches, "__text"):
             own = uuid.uuid4().int >> 65
-            names = [*part.schema.names, "__slice", "__bucket", "__keys"]
+            names = [*target.names, "__slice", "__bucket", "__keys"]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array([own] * len(texts), pa.int64()), pa.nulls(len(texts), pa.int32()),
+                [*part.columns[:-1], *made(texts), part.columns[-1], pa.array([own] * len(texts), pa.int64()), pa.nulls(len(texts), pa.int32()),
                  pa.nulls(len(texts), pa.binary())], names=names)
             some, edges, low = _by_bucket(asked(_closed(hasher, texts)[0]), bucket_bits)
             yield pa.RecordBatch.from_arrays(
-                [*[pa.nulls(len(some), f.type) for f in part.schema], pa.array([own] * len(some), pa.int64()),
+                [*[pa.nulls(len(some), f.type) for f in target], pa.array([own] * len(some), pa.int64()),
                  pa.array(some, pa.int32()), pa.array([low[edges[b]:edges[b + 1]].tobytes() for b in some], pa.binary())],
                 names=names)
 
@@ -320,8 +326,10 @@ def _score_by_bucket(source: DataFrame, segments: DataFrame, bucket_bits: int, t
         scores = _scores(lambda k: level[np.searchsorted(keys, _carried(k, shift))], tokens, n, total)
         return pa.table([*[texts.column(c) for c in keep], pa.array(scores, pa.float64())], names=[*keep, "score"])
 
-    nullable = StructType([StructField(f.name, f.dataType) for f in extended(
-        source, "__slice bigint, __bucket int, __keys binary", dropped=0).fields])
+    scored = StructType([*wide.fields[:-1], StructField("score", DoubleType())])
+
+    nullable = StructType([StructField(f.name, f.dataType) for f in [
+        *wide.fields, *StructType.fromDDL("__slice bigint, __bucket int, __keys binary").fields]])
     table = written(source.mapInArrow(ask, nullable), "lm-slices")
     questions = table.where("__bucket is not null").select(
         F.col("__bucket").alias("bucket"), F.col("__slice").alias("slice"), F.lit(None).cast("bigint").alias("size"),
@@ -330,7 +338,7 @@ def _score_by_bucket(source: DataFrame, segments: DataFrame, bucket_bits: int, t
         .unionByName(questions).repartition(parts, "bucket").sortWithinPartitions("bucket", F.asc_nulls_first("slice")) \
         .mapInArrow(answer, "slice bigint, bucket int, levels binary")
     return table.where("__bucket is null").groupBy("__slice").cogroup(answers.groupBy("slice")) \
-        .applyInArrow(score, extended(source, "score double"))
+        .applyInArrow(score, scored)
 
 
 def count_words(train: DataFrame, text: str = "text") -> DataFrame:
@@ -355,36 +363,32 @@ def count_words(train: DataFrame, text: str = "text") -> DataFrame:
         .groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def base_sums(df: DataFrame, head: dict[bytes, int], ends: int, text: str = "text") -> DataFrame:
-    """``df`` and, of every text: a row number, n_tokens, how many tokens are among ``head`` (word to count; the end
-    token occurs ``ends`` times), the sum of log10(c + 1) over those, and its other words with their numbers."""
-    shared = df.sparkSession.sparkContext.broadcast({w: math.log10(c + 1) for w, c in head.items()})
-    source = df.select(*[c for c in df.columns if c != text], F.col(text).alias("__text"))
-    fields = "__row bigint, n_tokens bigint, __known bigint, __sum double, __other array<struct<word: binary, k: bigint>>"
-    schema = extended(source, fields)
-    target = to_arrow_schema(schema)
+BASE_COLUMNS = "__row bigint, n_tokens bigint, __known bigint, __sum double, __other array<struct<word: binary, k: bigint>>, "
+
+
+def base_sums(spark: SparkSession, head: dict[bytes, int], ends: int):
+    """The function that gives, for every text: a row number, n_tokens, how many tokens are among ``head`` (word to
+    count; the end token occurs ``ends`` times), the sum of log10(c + 1) over those, and its other words with their
+    numbers. Row numbers are random, and kept by the table that the rows are written to."""
+    shared = spark.sparkContext.broadcast({w: math.log10(c + 1) for w, c in head.items()})
+    types = [f.type for f in to_arrow_schema(StructType.fromDDL(BASE_COLUMNS.rstrip(", ")))]
     end = math.log10(ends + 1)
 
-    def run(batches):
-        logs = shared.value.get
-        for part, texts in slices(batches, "__text"):
-            made, own = [], uuid.uuid4().int >> 65 & ~0xFFFFFF  # kept by the table that this is written to
-            for k, t in enumerate(texts):
-                words = t.encode().lower().split()
-                known, total, other = int(ends > 0), end, []
-                for w, n in Counter(words).items():
-                    log = logs(w)
-                    if log is None:
-                        other.append({"word": w, "k": n})
-                    else:
-                        known, total = known + n, total + n * log
-                made.append((own + k, len(words) + 1, known, total, other))
-            columns = [pa.array(c, target.field(len(part.columns) - 1 + i).type) for i, c in enumerate(zip(*made))]
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns, part.columns[-1]], schema=full)
-
-    full = pa.schema([*target, pa.field("__text", pa.string())])
-    both = StructType([*schema.fields, StructField("__text", StringType())])
-    return source.mapInArrow(run, both).withColumnRenamed("__text", text)
+    def made(texts):
+        logs, own, rows = shared.value.get, uuid.uuid4().int >> 65 & ~0xFFFFFF, []
+        for k, t in enumerate(texts):
+            words = t.encode().lower().split()
+            known, total, other = int(ends > 0), end, []
+            for w, n in Counter(words).items():
+                log = logs(w)
+                if log is None:
+                    other.append({"word": w, "k": n})
+                else:
+                    known, total = known + n, total + n * log
+            rows.append((own + k, len(words) + 1, known, total, other))
+        return [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+
+    return made
 
 
 def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -399,7 +403,8 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
     n, v = n + ends, v + (ends > 0)
     head = {bytes(r.word): r.c for r in vocab.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).collect()}
     segments, bucket_bits = build_segments(learnt)
-    scored = written(score_texts(base_sums(rows, head, ends), segments, bucket_bits, n, v), "lm-scores")
+    base = BASE_COLUMNS, base_sums(docs.sparkSession, head, ends)
+    scored = written(score_texts(rows, segments, bucket_bits, n, v, more=base), "lm-scores")
     other = scored.select("__row", F.inline("__other")).join(vocab, "word", "left").groupBy("__row").agg(
         F.sum(F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("__s"),
         F.sum(F.when(F.col("c").isNotNull(), F.col("k"))).alias("__k"))
