@@ -40,6 +40,44 @@ def remove_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def _fingerprint(df: DataFrame):
+    """64-bit hash of a row under which rows that grouping takes as equal are equal (one NaN, no negative zero)."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if f.dataType.typeName() in ("double", "float"):
+            c = F.when(F.isnan(c), F.lit(float("nan"))).otherwise(c + F.lit(0.0))
+        parts.append(c)
+    return F.xxhash64(*parts)
+
+
+def remove_duplicates_by_fingerprint(df: DataFrame, max_held: int = 2_000_000) -> DataFrame:
+    """D3 for inputs too large to shuffle whole: the same rows as ``remove_duplicates``, but only rows that may have a
+    copy are shuffled.
+
+    A first pass counts the rows' 64-bit fingerprints (9 bytes a row in the shuffle instead of the whole row; copies
+    collapse map-side) and writes those that occur twice or more to the shared folder. Up to ``max_held`` of them (a
+    counted bound of some tens of megabytes) are broadcast, and the second pass keeps all other rows where they are and
+    de-duplicates the rest. Two different rows of one fingerprint are merely shuffled too. With more fingerprints than
+    that, most of the input would be shuffled anyway: then the plain form is used. ``df`` must be a stable scan,
+    because it is read twice."""
+    from aerolake.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "fingerprints")
+    df.select(_fingerprint(df).alias("__fp")).groupBy("__fp").agg(F.count(F.lit(1)).alias("__n")) \
+        .where(F.col("__n") > 1).select("__fp").write.parquet(path)
+    held = spark.read.schema("__fp bigint").parquet(path)
+    n = held.limit(max_held + 1).count()
+    if n == 0:
+        return df
+    if n > max_held:
+        return remove_duplicates(df)
+    small, marked = F.broadcast(held), df.withColumn("__fp", _fingerprint(df))
+    alone = marked.join(small, "__fp", "left_anti").drop("__fp")
+    return alone.unionByName(remove_duplicates(marked.join(small, "__fp", "left_semi").drop("__fp")))
+
+
 def histogram_medians(df: DataFrame, columns, keys=IMPUTE_KEYS) -> DataFrame:
     """Exact interpolated medians per group from a value histogram (A27 for hot groups).
 
@@ -173,21 +211,24 @@ def impute_with_medians(df: DataFrame, medians: DataFrame, columns=None, keys=IM
     return joined.select(*out)
 
 
-def deduplicated_readings(df: DataFrame) -> DataFrame:
+def deduplicated_readings(df: DataFrame, by_fingerprint: bool = False) -> DataFrame:
     """C1 up to D3: what cleaning keeps, before weather readings are filled. Imputation changes weather columns only,
     so a mart that reads none of them takes this frame: one dedup shuffle, no medians, and its own filters on the
     grouping columns go below the dedup."""
-    return remove_duplicates(remove_negative(drop_redundant(df)))
+    kept = remove_negative(drop_redundant(df))
+    return remove_duplicates_by_fingerprint(kept) if by_fingerprint else remove_duplicates(kept)
 
 
 def clean_data(df: DataFrame, median_broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-               median_rows_bound: int | None = None, median_method: str = "histogram") -> DataFrame:
+               median_rows_bound: int | None = None, median_method: str = "histogram",
+               by_fingerprint: bool = False) -> DataFrame:
     """The full cleaning, lazily planned (one dedup shuffle, the median histogram, one join).
 
     ``median_rows_bound``: a known upper bound of the (station_id, month) keys, e.g. stations x 12 from the
     stations dimension; under ``median_broadcast_max_rows`` the medians are hinted as broadcast. Without it the
-    adaptive planner decides from the size the medians turn out to have."""
-    base = deduplicated_readings(df)
+    adaptive planner decides from the size the medians turn out to have. ``by_fingerprint``: see
+    ``remove_duplicates_by_fingerprint`` (one job runs at once)."""
+    base = deduplicated_readings(df, by_fingerprint)
     if not all(k in base.columns for k in IMPUTE_KEYS):
         return base
     medians = group_medians(base, method=median_method)

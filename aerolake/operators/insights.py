@@ -122,6 +122,27 @@ def scaler_params(series: DataFrame) -> DataFrame:
     return series.agg(F.min("pm25").alias("scaler_min"), F.max("pm25").alias("scaler_max"))
 
 
+def gap_filled(series: DataFrame, max_gap: int) -> DataFrame:
+    """The hourly series on a grid without gaps: station_id, hour_ts, pm25, is_gap, one row for each hour from a
+    station's first to its last reading. An hour without a reading is marked and carries the last reading of at most
+    ``max_gap`` hours before, else NULL.
+
+    The grid is made from one row per station (its first and last hour) in two steps, days and then hours, dealt by
+    station and day in between, so a station with a long history is not expanded by one task. The window holds the hours of
+    one station (8,760 a year), however many raw rows they came from."""
+    ends = series.groupBy("station_id").agg(F.min("hour_ts").alias("__lo"), F.max("hour_ts").alias("__hi"))
+    day = F.sequence(F.date_trunc("DAY", "__lo"), F.date_trunc("DAY", "__hi"), F.expr("INTERVAL 1 DAY"))
+    days = ends.select("station_id", "__lo", "__hi", F.explode(day).alias("__day")).repartition("station_id", "__day")
+    grid = days.select("station_id", "__lo", "__hi", F.explode(F.transform(
+        F.sequence(F.lit(0), F.lit(23)), lambda h: F.col("__day") + F.make_dt_interval(F.lit(0), h))).alias("__ts"))
+    grid = grid.select("station_id", F.col("__ts").cast("timestamp_ntz").alias("hour_ts"), "__lo", "__hi") \
+        .where((F.col("hour_ts") >= F.col("__lo")) & (F.col("hour_ts") <= F.col("__hi"))).select("station_id", "hour_ts")
+    last = Window.partitionBy("station_id").orderBy("hour_ts").rowsBetween(-max_gap, 0)
+    return grid.join(series, ["station_id", "hour_ts"], "left").select(
+        "station_id", "hour_ts", F.last("pm25", ignorenulls=True).over(last).alias("pm25"),
+        F.col("pm25").isNull().alias("is_gap"))
+
+
 def lookback_sequences(series: DataFrame, lookback: int, require_contiguous: bool = True) -> DataFrame:
     """For each station-hour, the scaled values of the last ``lookback`` hours ending there.
 

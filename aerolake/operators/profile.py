@@ -20,14 +20,19 @@ from aerolake.schema import WHO_PM25_LIMIT
 def summary_counts(df: DataFrame) -> DataFrame:
     """A1/A2/A4: one row — records, columns, cells, datetime range, sorted distinct years, distinct stations
     and pollutants (exact distinct counts, NULL excluded)."""
+    # One scan: rows collapse to their (year, station, pollutant) combinations before any distinct count, so no row
+    # is expanded per counted column; the distinct counts see the combinations only.
+    kinds = df.groupBy("year", "station_id", "pollutant").agg(
+        F.count(F.lit(1)).alias("n"), F.min("datetime").alias("lo"), F.max("datetime").alias("hi"))
     years = F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_set("year")).cast("array<string>"), ", "),
                      F.lit("]"))
-    return df.agg(
-        F.count(F.lit(1)).alias("total_records"),
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    return kinds.agg(
+        total.alias("total_records"),
         F.lit(len(df.columns)).cast("int").alias("n_columns"),
-        (F.count(F.lit(1)) * F.lit(len(df.columns))).cast("long").alias("total_cells"),
-        F.min("datetime").alias("date_min"),
-        F.max("datetime").alias("date_max"),
+        (total * F.lit(len(df.columns))).cast("long").alias("total_cells"),
+        F.min("lo").alias("date_min"),
+        F.max("hi").alias("date_max"),
         years.alias("years"),
         F.countDistinct("station_id").alias("stations"),
         F.countDistinct("pollutant").alias("pollutant_species"),
@@ -54,24 +59,30 @@ def rows_per_pollutant(df: DataFrame) -> DataFrame:
 DISTINCT_VALUE_COLUMNS = ["year", "month", "state", "city", "station_id", "pollutant"]
 
 
+def distinct_counts(df: DataFrame, columns=None) -> DataFrame:
+    """A3: distinct non-NULL values of low-cardinality columns with their rank in the column's own order and their
+    number of rows, as (column_name, value, position, n_rows).
+
+    One scan: the rows collapse, map-side first, to the combinations of the columns that occur; one grouping-sets pass
+    over those gives every column's values and exact counts. The ranking window sees the values of one column."""
+    cols = [c for c in (columns or DISTINCT_VALUE_COLUMNS) if c in df.columns]
+    kinds = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    quoted = [f"`{c}`" for c in cols]
+    sets = df.sparkSession.sql(
+        f"SELECT {', '.join(quoted)}, grouping_id({', '.join(quoted)}) AS __gid, sum(__n) AS __n "
+        f"FROM {{kinds}} GROUP BY GROUPING SETS ({', '.join(f'({q})' for q in quoted)})", kinds=kinds)
+    # grouping_id has one bit per column, the first the highest; the grouped column's bit is 0.
+    own = {c: (1 << len(cols)) - 1 - (1 << (len(cols) - 1 - k)) for k, c in enumerate(cols)}
+    pick = lambda f: F.coalesce(*[F.when(F.col("__gid") == g, f(c)) for c, g in own.items()])
+    w = Window.partitionBy("__gid").orderBy(*[F.col(c) for c in cols])
+    found = sets.withColumn("value", pick(lambda c: F.col(c).cast("string"))).where(F.col("value").isNotNull())
+    return found.select(pick(F.lit).alias("column_name"), "value", F.dense_rank().over(w).cast("int").alias("position"),
+                        F.col("__n").cast("long").alias("n_rows"))
+
+
 def distinct_values(df: DataFrame, columns=None) -> DataFrame:
-    """A3: sorted distinct non-NULL values of low-cardinality columns, as (column_name, value, position).
-
-    Each column is de-duplicated by its own aggregate over a one-column scan (column pruning makes the six
-    scans read the same bytes as one six-column scan); the ranking window then only sees the distinct
-    values of one column, in its native type (so months sort numerically)."""
-    parts = []
-    for c in (columns or DISTINCT_VALUE_COLUMNS):
-        if c not in df.columns:
-            continue
-        d = df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).distinct()
-        w = Window.partitionBy(F.lit(c)).orderBy("v")
-        parts.append(d.select(F.lit(c).alias("column_name"), F.col("v").cast("string").alias("value"),
-                              F.dense_rank().over(w).cast("int").alias("position")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """A3: sorted distinct non-NULL values of low-cardinality columns, as (column_name, value, position)."""
+    return distinct_counts(df, columns).select("column_name", "value", "position")
 
 
 # ----------------------------------------------------------------------------------------- A7-A9

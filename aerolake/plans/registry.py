@@ -18,7 +18,7 @@ from aerolake.operators import profile as P
 from aerolake.operators import star as S
 from aerolake.operators import transform as T
 from aerolake.plans import benchmark as B
-from aerolake.plans.oracle import LOOKBACK, STATION_RANK_HOUR
+from aerolake.plans.oracle import LOOKBACK, MAX_GAP, ONE_PARTITION, STATION_RANK_HOUR
 from aerolake.session import checkpoint_root, scratch_path
 from aerolake.sources.fixture import load_fixture_raw
 from aerolake.sources.partitioned import partition_dataset
@@ -96,7 +96,9 @@ def _q_quality(spark, sf):
 
 
 def _q_lookback(spark, sf):
-    seqs = I.lookback_sequences(I.hourly_series(reading_rows(spark, sf)), LOOKBACK, require_contiguous=True)
+    """Sequences of consecutive hours over the gap-free grid, where every hour has a reading of at most a day ago."""
+    grid = I.gap_filled(I.hourly_series(reading_rows(spark, sf)), MAX_GAP)
+    seqs = I.lookback_sequences(grid, LOOKBACK, require_contiguous=True).where(F.forall("seq", lambda x: x.isNotNull()))
     return seqs.select("station_id", "hour_ts", F.posexplode("seq").alias("step", "value_scaled")) \
                .select("station_id", "hour_ts", F.col("step").cast("int").alias("step"), "value_scaled")
 
@@ -133,6 +135,104 @@ def _q_streaming_batch_stats(spark, sf):
     return spark.read.parquet(out)
 
 
+# Keys that run the load path: files are written to the shared scratch folder and read back by the library's own readers.
+def _raw_file(spark, sf):
+    """The raw rows as a Parquet file whose missing values are NaN, as pandas writes them."""
+    raw, path = raw_rows(spark, sf), scratch_path(spark, "raw")
+    doubles = [f.name for f in raw.schema.fields if f.dataType.typeName() == "double"]
+    raw.withColumns({c: F.coalesce(c, F.lit(float("nan"))) for c in doubles}).write.parquet(path)
+    return path
+
+
+def _database(spark, kind):
+    from aerolake.plans.catalog import create_database
+    path = scratch_path(spark, kind)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    create_database(spark, name, path)
+    return name
+
+
+def _loaded_raw_db(spark, sf):
+    from aerolake.plans.catalog import create_raw_schema, load_raw_data
+    db = _database(spark, "loaded-raw")
+    create_raw_schema(spark, db)
+    load_raw_data(spark, db, _raw_file(spark, sf), id_order="columns")
+    return db
+
+
+def _q_loaded_raw_star(spark, sf):
+    table = spark.table(f"{_loaded_raw_db(spark, sf)}.measurements")
+    return table.select("measurement_id", *[c for c in table.columns if c != "measurement_id"])
+
+
+def _q_loaded_table_counts(spark, sf):
+    from aerolake.plans.catalog import list_tables
+    db, out = _loaded_raw_db(spark, sf), None
+    for t in list_tables(spark, db):
+        n = spark.table(f"{db}.{t}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+def _served_db(spark, sf):
+    from aerolake.plans.catalog import setup_served_database
+    from aerolake.sources.sinks import read_clean, write_clean, write_outputs
+    clean = read_clean(spark, write_clean(clean_rows(spark, sf), scratch_path(spark, "clean")))
+    paths = write_outputs({"monthly_avg": T.monthly_avg(clean)}, scratch_path(spark, "etl"))
+    db = _database(spark, "loaded-served")
+    setup_served_database(spark, db, clean, paths["monthly_avg"], f"{paths['monthly_avg']}.absent", id_order="columns",
+                          stable_input=True)
+    return db
+
+
+def _q_report(spark, sf):
+    """The report's numbers as it prints them, one row per line of its three parts."""
+    from aerolake.sources.report import ingestion_profile
+    prof = ingestion_profile(raw_rows(spark, sf))
+    rows = [("summary", k, str(v)) for k, v in prof["summary"].items()]
+    rows += [("per_month", f"{y}-{m:02d}", str(n)) for y, m, n in prof["per_month"]]
+    rows += [("per_pollutant", p, str(n)) for p, n in prof["per_pollutant"]]
+    return spark.createDataFrame(rows, "part string, item string, shown string")
+
+
+def _q_sql_on_path(spark, sf):
+    from aerolake.sources.parquet import sql_on_parquet
+    return sql_on_parquet(spark, "SELECT pollutant, count(*) AS n, count(value) AS n_values, max(value) AS highest, "
+                                 "count(vws_m_s) AS n_wind FROM {t} WHERE month < 7 GROUP BY pollutant", t=_raw_file(spark, sf))
+
+
+def _q_one_partition(spark, sf):
+    from aerolake.sources.parquet import read_partition
+    root = scratch_path(spark, "partitioned")
+    partition_dataset(raw_rows(spark, sf), root)
+    return read_partition(spark, root, *ONE_PARTITION).groupBy("year", "month", "pollutant").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _q_written_clean(spark, sf):
+    from aerolake.sources.sinks import read_clean, write_clean
+    return read_clean(spark, write_clean(clean_rows(spark, sf), scratch_path(spark, "clean")))
+
+
+def _q_bundle_mae(spark, sf):
+    from aerolake.sources.sinks import write_feature_bundle
+    paths = write_feature_bundle(I.feature_bundle(reading_rows(spark, sf), STATION_RANK_HOUR), scratch_path(spark, "bundle"))
+    return spark.read.parquet(paths["mae"])
+
+
+def _q_ordered_levels(spark, sf):
+    """The sorted report table with the place of each row in its order (stations times levels, a small report)."""
+    rows = T.sorted_level_counts(reading_rows(spark, sf)).collect()
+    return spark.createDataFrame([(k + 1, *r) for k, r in enumerate(rows)],
+                                 "place int, station string, pollution_level string, count long")
+
+
+def _q_parsed_timestamps(spark, sf):
+    from aerolake.functions import parse_timestamp
+    raw = raw_rows(spark, sf).select("datetime", parse_timestamp("timestamp").alias("parsed"))
+    return raw.groupBy(F.to_date("parsed").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("parsed") == F.col("datetime")).alias("n_equal"))
+
+
 def _series(spark, sf):
     return I.hourly_series(reading_rows(spark, sf))
 
@@ -180,6 +280,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "distinct_values": lambda s, d: P.distinct_values(raw_rows(s, d)),
         "month_extremes_who": lambda s, d: P.month_extremes_who(raw_rows(s, d)),
         "batch_size_extremes": lambda s, d: P.batch_size_extremes(reading_rows(s, d)),
+        "distinct_counts": lambda s, d: P.distinct_counts(raw_rows(s, d)),
+        "ordered_level_counts": _q_ordered_levels,
+        # the load path (S1, S3a, S4-S13, O5-O7) and D3 by fingerprints
+        "loaded_raw_star": _q_loaded_raw_star,
+        "loaded_table_counts": _q_loaded_table_counts,
+        "loaded_serving_star": lambda s, d: s.table(f"{_served_db(s, d)}.measurements_clean"),
+        "loaded_monthly_aggregates": lambda s, d: s.table(f"{_served_db(s, d)}.monthly_aggregates"),
+        "ingestion_report": _q_report,
+        "sql_on_path": _q_sql_on_path,
+        "one_partition": _q_one_partition,
+        "written_clean": _q_written_clean,
+        "feature_bundle_mae": _q_bundle_mae,
+        "parsed_timestamps": _q_parsed_timestamps,
+        "clean_by_fingerprint": lambda s, d: C.clean_data(raw_rows(s, d), by_fingerprint=True),
         # sources (S2, S3)
         "partition_roundtrip": _q_partition_roundtrip,
         # dashboard marts and forecasting

@@ -77,6 +77,7 @@ def read_partition(spark: SparkSession, root: str, year: int, month: int) -> Dat
 
 
 def sql_on_parquet(spark: SparkSession, query: str, **paths: str) -> DataFrame:
-    """Run SQL straight on Parquet files: each ``{name}`` placeholder becomes ``parquet.`path```."""
-    subst = {k: f"parquet.`{v}`" for k, v in paths.items()}
-    return spark.sql(query.format(**subst))
+    """Run any SQL straight on Parquet files: each ``{name}`` placeholder stands for the rows of its path as
+    ``load_raw`` gives them (NaN as NULL, nanosecond ``datetime`` converted), below the query, so its filters and columns
+    still reach the scan."""
+    return spark.sql(query, **{name: load_raw(spark, path) for name, path in paths.items()})
