@@ -22,8 +22,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; the model learns from two thirds of the labelled documents."""
+    """Documents whose language can be told; the model learns from two thirds of the labelled documents. Where no
+    document has a label, nothing is learned and all stay."""
     model = language_id.fit(docs.where(language_id.remainder(F.col("doc_id"), 3) != 1))
+    if not model:
+        return docs
     whole = docs.select(F.struct("*").alias("__row"), F.col("text").alias("__body"))
     return language_id.identify(whole, model, keep=("__row",), text="__body") \
         .where(F.col("lang_pred") != language_id.UNDETERMINED).select("__row.*")

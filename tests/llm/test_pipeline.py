@@ -10,7 +10,7 @@ import __spark_entry__
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and {f"op{n}_" for n in range(1, 11)} == {
+    assert "pipeline" in names and {f"op{n}_" for n in range(1, 14)} == {
         m[0] for x in names if (m := re.match(r"op\d+_", x))}
 
 

@@ -124,11 +124,14 @@ def test_language_id(spark, docs, none):
     assert all(0 <= r["score"] <= 1 for r in edge.values())
     nothing = language_id.identify(docs, language_id.fit(none)).collect()
     assert {r["lang_pred"] for r in nothing} == {"und"} and not language_id.identify(none, model).collect()
-    parser = language_id.CrossParser(model)
-    sample = language_id._symbols(language_id.sample_texts(table.where(~held), "doc_id", "text", "lang")["en"],
-                                  parser.classes)[0][:language_id.SAMPLE_SYMBOLS].tobytes()
-    for t in ["The erthe of and", "été x", TEXT]:
-        q = language_id._symbols([t], parser.classes)[0].tobytes()
+    assert len(model) == 1
+    parser = language_id.CrossParser(model[0])
+    own = parser.own[parser.langs.index("en")]
+    n = table.where(~held).where("lang = 'en' and text is not null").count()
+    texts = language_id.sample_texts(table.where(~held), "text", "lang", "doc_id", [("en", n)])["en"]
+    sample = own[language_id._symbols(texts, parser.numbers)[0][:language_id.SAMPLE_SYMBOLS]].tobytes()
+    for t in ["The erthe of and", "été x", "жук и the", TEXT]:
+        q = own[language_id._symbols([t], parser.numbers)[0]].tobytes()
         i = phrases = 0
         while i < len(q):
             j = i + 1
@@ -138,6 +141,47 @@ def test_language_id(spark, docs, none):
         assert parser.phrases([t])[0][0, parser.langs.index("en")] == phrases
 
 
+# One letter range each: three languages of Latin, two of Cyrillic and of Arabic, and five other scripts.
+RANGES = {"la": (97, 122), "lb": (97, 122), "lc": (97, 122), "ca": (0x430, 0x44F), "cb": (0x430, 0x44F), "el": (0x3B1, 0x3C9),
+          "aa": (0x627, 0x64A), "ab": (0x627, 0x64A), "th": (0xE01, 0xE2E), "zh": (0x4E00, 0x4F00), "ja": (0x3042, 0x3093),
+          "ko": (0xAC00, 0xAD00)}
+
+
+def invented(lang, rng, n):
+    """A text of a language: words from its own list of 150."""
+    own = np.random.default_rng(zlib.crc32(lang.encode()))
+    low, high = RANGES.get(lang, (97, 122))
+    words = ["".join(chr(own.integers(low, high + 1)) for _ in range(own.integers(2, 7))) for _ in range(150)]
+    return " ".join(words[k] for k in rng.integers(0, 150, n))
+
+
+def test_twelve_languages_in_eight_scripts(spark):
+    rng = np.random.default_rng(7)
+    rows = [(lang, invented(lang, rng, 80)) for lang in RANGES for _ in range(20)]
+    # No key at all, and a third of the rows one text: both are learned from like any others.
+    train = spark.createDataFrame([(None, t, lang) for lang, t in rows] + [(None, rows[0][1], "la")] * 120,
+                                  "doc_id long, text string, lang string")
+    model = language_id.fit(train)
+    assert sorted(x for g in model for x in g["langs"]) == sorted(RANGES)
+    tests = spark.createDataFrame([(lang, invented(lang, rng, 25)) for lang in RANGES for _ in range(15)], "lang string, text string")
+    got = language_id.identify(tests, model, keep=("lang",)).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in got) >= 0.95 * len(got)
+
+
+def test_every_label_is_learned_in_groups(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    names = [f"x{k:03d}" for k in range(600)]
+    train = spark.createDataFrame([(k, invented(n, rng, 60), n) for k, n in enumerate(names)], "doc_id long, text string, lang string")
+    tests = spark.createDataFrame([(n, invented(n, rng, 30)) for n in names[::7]], "lang string, text string")
+    monkeypatch.setattr(language_id, "MODEL_BYTES", 16 << 20)
+    model = language_id.fit(train)
+    assert len(model) > 1 and sorted(x for g in model for x in g["langs"]) == names
+    got = language_id.identify(tests, model, keep=("lang",)).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in got) >= 0.95 * len(got)
+    whole = language_id.identify(tests, [language_id.train({n: [t] for _, t, n in train.collect()})], keep=("lang",)).collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, got))
+
+
 def components(rows):
     sets, root = [], list(range(len(rows)))
     for _, t in rows:
