@@ -44,8 +44,8 @@ PROBES = 6  # bits of one event
 LEVELS = 40  # most levels of a count
 MU = 4.0
 HEAD_WORDS = 100_000  # words whose counts are broadcast (some megabytes)
-COUNTED = 200_000  # different words that a task counts before it hands its counts on
-HELD_ENTRIES = 3_000_000  # n-grams a task holds before it merges or sends them
+COUNTED = 100_000  # different words that a task counts before it hands its counts on
+HELD_ENTRIES = 1_500_000  # n-grams a task holds before it merges or sends them
 
 _END_HASH = U(0x2545F4914F6CDD1D)
 
@@ -158,7 +158,7 @@ def count_ngrams(texts: DataFrame, bucket_bits: int) -> DataFrame:
                     pa.array([n[edges[b]:edges[b + 1]].astype(np.int32).tobytes() for b in part], pa.binary())],
                     names=["bucket", "keys", "counts"])
 
-        for _, texts_ in slices(batches, "text"):
+        for _, texts_ in slices(batches, "text", max_bytes=2 << 20):
             one, two = ngram_keys(_closed(hasher, texts_)[0])
             key, n = _merged([one, two], [np.ones(len(one) + len(two), np.int64)])
             keys.append(key)
