@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -63,3 +64,15 @@ def run_incremental(spark: SparkSession, partitioned_root: str, builder: Callabl
     if available_now:
         query.awaitTermination(timeout_s)
     return query
+
+
+def refresh_months(spark: SparkSession, partitioned_root: str, builder: Callable[[DataFrame], DataFrame], mart_root: str,
+                   months: DataFrame) -> None:
+    """Bring a mart up to date after some months were loaded or replaced: ``builder``'s groups of those months are made
+    anew from their month directories alone and replace the mart's directories of the same months. Every group belongs to
+    one (year, month), so all of its rows are in the directory that is read, and all other groups, with their files, stay
+    as they are. ``months``: (year, month) of the months touched, as ``replace_months`` returns them."""
+    touched = F.broadcast(months.select("year", "month").distinct())  # one row a month; prunes the directories
+    rows = spark.read.parquet(partitioned_root).join(touched, ["year", "month"], "left_semi")
+    builder(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("year", "month").parquet(mart_root)

@@ -16,7 +16,10 @@ from aerolake.operators.star import KeyViolation
 from aerolake.plans import catalog
 from aerolake.session import scratch_path
 from aerolake.sources.fixture import load_fixture_raw
+from aerolake.operators.transform import batch_stats
 from aerolake.sources.parquet import sql_on_parquet
+from aerolake.sources.partitioned import replace_months
+from aerolake.streaming import refresh_months
 
 
 def _file(spark, rows):
@@ -142,3 +145,24 @@ def test_sql_on_a_path_has_the_null_model_and_prunes(spark, tmp_out):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "unused" not in plan.split("ReadSchema")[1] and "PushedFilters: [IsNotNull(pollutant)" in plan
     assert glob.glob(f"{tmp_out}/ns.parquet")
+
+
+def test_a_month_loaded_twice_equals_once(spark, tmp_out):
+    rows = [{"month": m, "value": float(v), "pollutant": p} for m in (1, 2) for v in range(3) for p in ("pm25", "no2")]
+    path = _file(spark, [*rows, {"month": None}])
+    raw = spark.read.parquet(path)
+    root, mart = f"{tmp_out}/months", f"{tmp_out}/mart"
+    refresh_months(spark, root, batch_stats, mart, replace_months(raw, root))
+    files = set(glob.glob(f"{root}/*/month=01/*.parquet") + glob.glob(f"{mart}/*/month=1/*.parquet"))
+    february = raw.where("month = 2")
+    for _ in range(2):
+        proof = replace_months(february, root)
+        assert [tuple(r) for r in proof.collect()] == [(2024, 2, 6)]
+        refresh_months(spark, root, batch_stats, mart, proof)
+    assert files == set(glob.glob(f"{root}/*/month=01/*.parquet") + glob.glob(f"{mart}/*/month=1/*.parquet"))
+    assert spark.read.parquet(root).count() == 12
+    assert _as_set(spark.read.parquet(mart)) == _as_set(batch_stats(raw))
+    # A corrected month replaces the old one, groups that are gone included.
+    replace = replace_months(february.where("pollutant = 'no2'"), root)
+    refresh_months(spark, root, batch_stats, mart, replace)
+    assert {(r.month, r.pollutant) for r in spark.read.parquet(mart).collect()} == {(1, "pm25"), (1, "no2"), (2, "no2")}
