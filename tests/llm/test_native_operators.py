@@ -1,5 +1,7 @@
 """Sharding, quality rules, licence scan, URL filter and decontamination against brute force on edge rows."""
 
+import itertools
+import math
 import re
 import zlib
 from collections import Counter
@@ -143,6 +145,65 @@ def test_url_rules_and_mined_rules(spark):
     assert not url_filter.judge_urls(pages.where("false")).collect()
 
 
+def all_rules(sets, share, count, confidence):
+    """Every combination of tokens that is a rule, without those that hold a smaller rule of at least its confidence."""
+    n = len(sets)
+    least = math.ceil(max(share, count / n) * n)
+    held, bad = Counter(), Counter()
+    for items, is_bad in sets:
+        for k in range(1, len(items) + 1):
+            for c in itertools.combinations(sorted(items), k):
+                held[c] += 1
+                bad[c] += is_bad
+    rules = {c: (bad[c] / held[c], bad[c] / n) for c in held if bad[c] >= least and bad[c] / held[c] >= confidence}
+    return {c: v for c, v in rules.items()
+            if not any(set(q) < set(c) and rules[q][0] >= v[0] for q in rules)}
+
+
+def test_mined_rules_against_all_combinations(spark):
+    """Tokens that always go together, tokens of blocked URLs only, and mixed ones; the best rule of every set."""
+    import random
+    r = random.Random(11)
+    sets = []
+    for _ in range(400):
+        items = {x for x in "abcdef" if r.random() < 0.4}
+        if "a" in items:
+            items |= {"aa", "a-a"}
+        odds = 0.93 if {"b", "c"} <= items else 0.86 if "a" in items and "d" in items else 0.2
+        is_bad = r.random() < odds
+        if is_bad and r.random() < 0.2:
+            items.add("sure")
+        sets.append((sorted(items), is_bad))
+    known = spark.createDataFrame(sets, "tokens array<string>, bad boolean")
+    want = all_rules([(set(x), b) for x, b in sets], 0.01, 5, 0.8)
+    rules = url_filter.mine_rules(known, min_support=0.01, min_count=5, min_confidence=0.8)
+    got = {}
+    for row in rules.collect():
+        for c in itertools.product(*row["needs"]):
+            got[tuple(sorted(c))] = (pytest.approx(row["confidence"]), pytest.approx(row["support"]))
+    assert got == want and ("sure",) in want and len(want) > 5
+    more = sets + [(["a-a", "d"], False), (["aa", "a-a", "d"], False), ([], False), (["zz"], False)]
+    hits = {tuple(x["tokens"]): (x["hit"]["rule"], x["hit"]["confidence"]) for x in
+            url_filter.match_rules(spark.createDataFrame(more, "tokens array<string>, bad boolean"), rules).collect()}
+    for items, _ in more:
+        fit = [(-v[0], -v[1], len(c), " & ".join(c)) for c, v in want.items() if set(c) <= set(items)]
+        assert hits.get(tuple(items)) == ((min(fit)[3], pytest.approx(-min(fit)[0])) if fit else None)
+    assert not url_filter.mine_rules(known.where("false")).collect()
+
+
+def test_long_url_shapes_do_not_explode_the_miner(spark):
+    """25 query names that always occur together, in blocked and in allowed URLs."""
+    query = "&".join(f"k{i}=1" for i in range(25))
+    urls = [(i, f"http://a{i}.example.com/de/x?{query}") for i in range(30)] \
+        + [(50 + i, f"http://b{i}.example.com/fr/x?{query}") for i in range(3)] \
+        + [(100 + i, f"http://c{i}.example.com/fr/y") for i in range(40)] + [(200, f"http://t.net/?{query}"),
+                                                                             (201, "http://t.net/?k3=2&k24=")]
+    by = {r["page_id"]: r for r in url_filter.judge_urls(
+        spark.createDataFrame(urls, "page_id long, url string")).collect()}
+    assert len(by) == len(urls) and by[200]["mined_rule"] == "q=k0" and by[201]["mined_rule"] == "q=k24"
+    assert by[200]["verdict"] == "block" and by[200]["mined_confidence"] == pytest.approx(30 / 33)
+
+
 def grams(words):
     return {" ".join(words[i:i + 5]) for i in range(len(words) - 4)}
 
