@@ -5,8 +5,9 @@ the byte-level alphabet, and the library's BPE model merges those characters by
 encoded separately, equal matches have equal ids: each task keeps a bounded table of matches it has seen and
 asks the library only for new ones. Offsets come from the pieces' byte lengths, so they are exact even where a
 token holds part of a character; only ``encode`` gives them, the round trip digest does not compute any. Decoding
-does not reverse the byte table: it takes the raw bytes of each id from the rank file, which are the same bytes, and
-joins them before they become text, so characters split over tokens come back whole.
+reverses the byte table: the characters of each id's vocabulary entry go back to their bytes, which are joined before
+they become text, so characters split over tokens come back whole. The entries are turned back once per task, not once
+per token.
 
 Edge cases: null and empty texts have no ids and decode to the empty byte string; rows are independent, so
 repeated rows repeat; an empty table gives an empty result. Only named columns are kept.
@@ -64,10 +65,11 @@ class ByteBPE:
         from tokenizers import Tokenizer, models
 
         self.chars = byte_characters()
-        self.pieces = {i: t for t, i in ranks.items()}
+        vocab = {self._spelled(t): i for t, i in ranks.items()}
+        byte_of = {c: b for b, c in enumerate(self.chars)}
+        self.pieces = {i: bytes([byte_of[c] for c in spelled]) for spelled, i in vocab.items()}
         self.names = {i: str(i) for i in self.pieces}
         self.find = regex.compile(pattern).findall
-        vocab = {self._spelled(t): i for t, i in ranks.items()}
         self.model = Tokenizer(models.BPE(vocab=vocab, merges=self._merges(ranks), ignore_merges=True))
         self.known: dict[str, tuple[int, ...]] = {}
 
