@@ -10,6 +10,8 @@ text has size 1 and the CRC of the empty text. Only the named columns are read,
 
 from __future__ import annotations
 
+import json
+import math
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,26 +51,41 @@ def jump_hash(key: Column, shards: int) -> Column:
         F.raise_error(F.lit("jump hash did not finish")).cast("bigint")).cast("int")
 
 
+def slot_ranges(df: DataFrame, key: str, ties: list[str], buckets: int) -> Column:
+    """A number for each row that grows with (``key`` nulls first, ``ties``) and deals the rows over about ``buckets``
+    ranges of like size, wherever the keys lie.
+
+    Bounds are approximate quantiles of the key. The rows that equal a bound are a range of their own: a key that holds
+    more than its share is always one of the bounds. Those ranges and the null keys are cut again by ``ties[0]``, which
+    must be a CRC-32: it spreads them evenly, except for copies that are equal in key and text."""
+    cuts = [i / buckets for i in range(1, buckets)]
+    bounds = sorted(set(df.agg(F.percentile_approx(key, cuts, 10 * buckets)).first()[0] or [])) if cuts else []
+    # Two short searches instead of one over all bounds.
+    step = max(1, math.isqrt(len(bounds)))
+    literal = lambda xs: F.from_json(F.lit(json.dumps(xs)), "array<bigint>")
+    below = lambda xs: F.size(F.filter(xs, lambda x: x < F.col(key)))
+    block = F.greatest(below(literal(bounds[::step])) - 1, F.lit(0)) * step
+    at = block + below(F.slice(literal(bounds), block + 1, F.lit(step)))
+    level = F.when(F.col(key).isNull(), F.lit(1)).otherwise(
+        (at + 1) * 2 + F.coalesce((F.get(literal(bounds), at) == F.col(key)).cast("int"), F.lit(0)))
+    part = F.when(level % 2 == 1, F.floor(F.col(ties[0]) * F.lit(buckets) / F.lit(float(1 << 32)))).otherwise(F.lit(0))
+    return level.cast("bigint") * F.lit(buckets) + part.cast("bigint")
+
+
 def gapless_slots(df: DataFrame, shard: str, key: str, ties: list[str]) -> DataFrame:
     """Add ``slot``: 0, 1, 2, ... within each shard in the order of ``key`` (nulls first), then ``ties``.
 
-    No task numbers a whole shard. Rows are cut into equal-width key ranges, each (shard, range) is numbered
+    No task numbers a whole shard. Rows are cut into ranges (``slot_ranges``), each (shard, range) is numbered
     by itself, and running counts over the small table of ranges give the offsets. Slots do not depend on how
     many ranges there are.
     """
-    low, high, n = df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
-    shards = max(1, df.select(shard).distinct().count()) if n else 1
-    buckets = max(1, -(-n // (ROWS_PER_SLOT_BUCKET * shards)))
-    if low is None or high == low or buckets == 1:
-        bucket = F.lit(0).cast("bigint")
-    else:
-        bucket = F.coalesce(F.width_bucket(F.col(key).cast("double"), F.lit(float(low)), F.lit(float(high) + 1),
-                                           F.lit(buckets)).cast("bigint"), F.lit(0).cast("bigint"))
-    cut = df.withColumn("__range", bucket)
+    n, shards = df.agg(F.count(F.lit(1)), F.count_distinct(shard)).first()
+    buckets = max(1, -(-n // (ROWS_PER_SLOT_BUCKET * max(1, shards))))
+    cut = df.withColumn("__range", slot_ranges(df, key, ties, buckets) if buckets > 1 else F.lit(0).cast("bigint"))
     sizes = cut.groupBy(shard, "__range").count()
     before = Window.partitionBy(shard).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(shard, "__range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
-    if shards * (buckets + 1) <= OFFSET_BROADCAST_ROWS:
+    if shards * (buckets + 1) * (buckets + 2) <= OFFSET_BROADCAST_ROWS:  # ranges between bounds, and parts of bounds
         offsets = F.broadcast(offsets)
     within = Window.partitionBy(shard, "__range").orderBy(F.col(key).asc_nulls_first(), *ties)
     return cut.withColumn("__row", F.row_number().over(within)).join(offsets, [shard, "__range"]) \
