@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import BLANKS, words_of
+from aerolake.llm.common import BLANKS, words_of, written
 
 WINDOW = 5
 
@@ -112,14 +112,26 @@ def verdict(policy: int = CURRENT, bits: str = "fail_bits") -> Column:
     return F.col(bits).bitwiseAND(F.lit(mask_of(POLICIES[policy])).cast("bigint")) == 0
 
 
-def judge(docs: DataFrame, policy: int = CURRENT, text: str = "text",
-          keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ledger with ``base_failed`` and ``kept`` (never true where the base fails)."""
+def apply_policy(led: DataFrame, policy: int = CURRENT) -> DataFrame:
+    """A ledger with ``policy`` (the version that judged), ``base_failed`` and ``kept`` (never true where the base
+    fails)."""
     base = F.col("fail_bits").bitwiseAND(F.lit(mask_of(BASE)).cast("bigint")) != 0
-    return ledger(docs, text, keep).withColumn("base_failed", base) \
+    return led.withColumn("policy", F.lit(policy)).withColumn("base_failed", base) \
         .withColumn("kept", ~base & verdict(policy))
 
 
+def stored_ledger(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The ledger, written once to the shared folder and read from there: every policy and every ablation applied to it
+    reads measurements and bits, never a text."""
+    return written(ledger(docs, text, keep), "quality-ledger")
+
+
+def judge(docs: DataFrame, policy: int = CURRENT, text: str = "text",
+          keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``apply_policy`` in the same pass as the measurements, where one verdict is all that is asked."""
+    return apply_policy(ledger(docs, text, keep), policy)
+
+
 def ablation(led: DataFrame, policies: dict[int, tuple[str, ...]] | None = None) -> DataFrame:
     """What each rule of each policy does: documents it fails, documents only it rejects, and documents the
     policy keeps with and without it. One aggregation by failure pattern (at most 2^rules rows), then bitwise

@@ -20,13 +20,14 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(read_table(spark, sf_dir, "documents")).select(
+    led = quality_rules.stored_ledger(read_table(spark, sf_dir, "documents"))
+    return quality_rules.apply_policy(led).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "fail_bits")
+        "fail_bits", "policy")
 
 
 def quality_rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.ablation(quality_rules.ledger(read_table(spark, sf_dir, "documents")))
+    return quality_rules.ablation(quality_rules.stored_ledger(read_table(spark, sf_dir, "documents")))
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
