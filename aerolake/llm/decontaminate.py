@@ -14,7 +14,8 @@ more than four standard deviations beyond, and tests hold the result against exa
 The benchmark is small against the corpus: its shingles and its index are broadcast where their counted rows stay
 below ``BROADCAST_ROWS``, and joined by shuffle beyond. Documents are never shuffled, only their found windows.
 
-Edge cases: null and empty texts match nothing; items of fewer than five words have no shingle and match nothing;
+Edge cases: null and empty texts match nothing; items of one to four words have no shingle and are found where they are
+a document's whole word sequence (inside longer texts so few words prove nothing); items without words match nothing;
 a window that reaches over an end of the text is cut there; repeated rows (same key and text) give one result;
 a null key is kept as a null; empty tables give no rows. Only key and text of either table are read.
 """
@@ -82,6 +83,18 @@ def benchmark_items(bench: DataFrame, key: str = "item_id", text: str = "text")
         .withColumn("item_print", simhash(F.col("item_grams")))
 
 
+def short_copies(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text",
+                 item_key: str = "item_id") -> DataFrame:
+    """(row, key, item, similarity 1) of documents whose word sequence is an item of one to four words."""
+    few = lambda df, c: df.where(F.size(F.split(F.coalesce(F.col(c), F.lit("")), r"[^\p{L}\p{N}]+", SHINGLE + 2))
+                                 < SHINGLE + 2)
+    items = few(bench, "text").select(F.col(item_key).alias("item"), normal_words(F.col("text")).alias("words")) \
+        .where(F.size("words").between(1, SHINGLE - 1)).distinct()
+    return few(docs, text).select(F.xxhash64(key, text).alias("row"), F.col(key).alias("key"),
+                                  normal_words(F.col(text)).alias("words")) \
+        .join(bounded(items), "words").select("row", "key", "item", F.lit(1.0).alias("similarity"))
+
+
 def windows(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Distinct item-sized windows that share a shingle with an item of that length, aligned on it:
     (row, key, length, first, words); ``row`` tells apart texts of one key."""
@@ -129,6 +142,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOLD
     common = weight(F.array_intersect("grams", "item_grams"))
     return pairs.select("row", "key", "item", (common / (weight(F.col("grams")) + F.col("item_weight") - common))
                         .alias("similarity")).where(F.col("similarity") >= threshold) \
+        .unionByName(short_copies(docs, bench, key, text, item_key)) \
         .groupBy("row", "key", "item").agg(F.max("similarity").alias("similarity"))
 
 

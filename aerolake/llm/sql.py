@@ -40,22 +40,28 @@ def _failed(names) -> str:
 def _op2() -> str:
     """The exact definition: aligned windows by weighted shingle similarity, without fingerprints."""
     return r"""WITH
-d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM documents),
-b AS (SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM benchmark),
-ds AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS s
+d AS (SELECT row_number() OVER () AS r, * FROM (
+        SELECT DISTINCT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM documents)),
+b AS (SELECT row_number() OVER () AS q, * FROM (
+        SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM benchmark)),
+ds AS (SELECT r, i, array_to_string(ws[i:i + 4], ' ') AS s
        FROM (SELECT *, unnest(range(1, len(ws) - 3)) AS i FROM d WHERE len(ws) >= 5)),
-bs AS (SELECT item_id, j, n, array_to_string(ws[j:j + 4], ' ') AS s
+bs AS (SELECT q, j, n, array_to_string(ws[j:j + 4], ' ') AS s
        FROM (SELECT *, len(ws) AS n, unnest(range(1, len(ws) - 3)) AS j FROM b WHERE len(ws) >= 5)),
-bw AS (SELECT item_id, sum(length(s)) AS w FROM (SELECT DISTINCT item_id, s FROM bs) GROUP BY item_id),
-win AS (SELECT DISTINCT doc_id, n, i - j AS first FROM ds JOIN bs USING (s)),
-ws AS (SELECT DISTINCT doc_id, n, first, s FROM win JOIN ds USING (doc_id)
+bw AS (SELECT q, sum(length(s)) AS w FROM (SELECT DISTINCT q, s FROM bs) GROUP BY q),
+win AS (SELECT DISTINCT r, n, i - j AS first FROM ds JOIN bs USING (s)),
+ws AS (SELECT DISTINCT r, n, first, s FROM win JOIN ds USING (r)
        WHERE i > first AND i + 4 <= first + n),
-ww AS (SELECT doc_id, n, first, sum(length(s)) AS w FROM ws GROUP BY ALL),
-common AS (SELECT doc_id, n, first, item_id, sum(length(s)) AS c
-           FROM ws JOIN (SELECT DISTINCT item_id, n, s FROM bs) USING (n, s) GROUP BY ALL)
-SELECT doc_id, item_id, max(c::DOUBLE / (ww.w + bw.w - c)) AS similarity
-FROM common JOIN ww USING (doc_id, n, first) JOIN bw USING (item_id)
-WHERE c::DOUBLE / (ww.w + bw.w - c) >= 0.8 GROUP BY ALL"""
+ww AS (SELECT r, n, first, sum(length(s)) AS w FROM ws GROUP BY ALL),
+common AS (SELECT r, n, first, q, sum(length(s)) AS c
+           FROM ws JOIN (SELECT DISTINCT q, n, s FROM bs) USING (n, s) GROUP BY ALL),
+hits AS (SELECT r, q, c::DOUBLE / (ww.w + bw.w - c) AS similarity
+         FROM common JOIN ww USING (r, n, first) JOIN bw USING (q)
+         WHERE c::DOUBLE / (ww.w + bw.w - c) >= 0.8
+         UNION ALL
+         SELECT r, q, 1::DOUBLE FROM d JOIN b USING (ws) WHERE len(ws) BETWEEN 1 AND 4)
+SELECT doc_id, item_id, max(similarity) AS similarity
+FROM hits JOIN d USING (r) JOIN b USING (q) GROUP BY doc_id, item_id"""
 
 
 def _op3() -> str:
@@ -63,7 +69,7 @@ def _op3() -> str:
     return f"""WITH {_MEASURED}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        {_failed(BASE)} AS base_failed, NOT {_failed(BASE)} AND NOT {_failed(POLICIES[CURRENT])} AS kept,
-       ({bits})::BIGINT AS fail_bits
+       ({bits})::BIGINT AS fail_bits, {CURRENT}::INTEGER AS policy
 FROM m"""
 
 

@@ -48,6 +48,23 @@ def test_slots_do_not_depend_on_buckets(docs, monkeypatch):
     assert rows() == one
 
 
+def test_slots_of_outliers_null_and_repeated_keys(spark):
+    """Ranges follow the rows, wherever the keys lie; a hot key and null keys are parted by their texts."""
+    import random
+    r = random.Random(5)
+    rows = [(i, f"t{i}") for i in range(2000)] + [(1 << 62, "far"), (-(1 << 62), "far")] \
+        + [(77, f"hot {r.random()}") for _ in range(1500)] + [(None, f"none {r.random()}") for _ in range(500)] \
+        + [(5, "same")] * 3
+    df = spark.createDataFrame(rows, "key long, text string").selectExpr(
+        "key", "crc32(cast(text AS binary)) AS crc", "0 AS shard")
+    ranged = df.withColumn("part", sharding.slot_ranges(df, "key", ["crc"], 40))
+    assert max(x["count"] for x in ranged.groupBy("part").count().collect()) <= 3 * len(rows) // 40
+    order = lambda x: (x["key"] is not None, x["key"] or 0, x["crc"])
+    assert [order(x) for x in ranged.orderBy("part").collect()][0][0] is False
+    by_part = sorted(ranged.collect(), key=lambda x: (x["part"], order(x)))
+    assert [order(x) for x in by_part] == sorted(map(order, by_part))
+
+
 def quality(text):
     t = text or ""
     w = WORD.findall(t)
@@ -67,7 +84,10 @@ def test_quality_measures_and_policies(docs, none):
         assert r["kept"] == (not r["base_failed"] and r["fail_bits"] & quality_rules.mask_of(
             quality_rules.POLICIES[quality_rules.CURRENT]) == 0)
     assert not quality_rules.judge(none).collect()
-    led = quality_rules.ledger(docs)
+    led = quality_rules.stored_ledger(docs)
+    for v in quality_rules.POLICIES:  # one stored ledger serves every version
+        assert sorted(map(str, quality_rules.apply_policy(led, v).collect())) == sorted(
+            map(str, quality_rules.judge(docs, v).collect()))
     bits = [r["fail_bits"] for r in led.collect()]
     for r in quality_rules.ablation(led).collect():
         mask, bit = quality_rules.mask_of(quality_rules.POLICIES[r["policy"]]), quality_rules.mask_of([r["rule"]])
@@ -245,6 +265,17 @@ def test_benchmark_items_without_a_key_are_found(spark):
     assert [r["doc_id"] for r in decontaminate.remove_leaks(docs, bench).collect()] == [2]
 
 
+def test_short_benchmark_items_are_found_whole(spark):
+    docs = spark.createDataFrame([(1, " The secret, answer: 42!\n"), (2, "the secret answer 42 and more"), (3, "the secret"),
+                                  (4, None), (5, "..."), (6, "ANSWER"), (6, "ANSWER"), (None, "answer")],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "the secret answer 42"), (None, "Answer"), (3, ""), (4, None), (5, "--")],
+                                  "item_id long, text string")
+    got = sorted(map(tuple, decontaminate.find_leaks(docs, bench).collect()), key=str)
+    assert got == [(1, 1, 1.0), (6, None, 1.0), (None, None, 1.0)]
+    assert [r["doc_id"] for r in decontaminate.remove_leaks(docs, bench).orderBy("doc_id").collect()] == [2, 3, 4, 5]
+
+
 def test_simhash_index_reaches_the_radius():
     """Any two bytes-wise prints within the radius share a block within the block radius."""
     import random
