@@ -143,7 +143,7 @@ def build() -> dict[str, str]:
                         f"{R2E('min(value)')} AS min_value, count(value) AS reading_count, "
                         f"{R2E('stddev_samp(value)')} AS std_value, year, month FROM clean "
                         "WHERE year IS NOT NULL AND month IS NOT NULL AND pollutant IS NOT NULL GROUP BY year, month, pollutant")
-    q["streaming_batch_stats"] = q["monthly_reload"] = q["batch_stats"]
+    q["streaming_batch_stats"] = q["monthly_reload"] = q["streamed_months"] = q["batch_stats"]
     q["level_counts"] = (f"SELECT station_id AS station, {LEVEL_CASE} AS pollution_level, count(*) AS \"count\" "
                          "FROM clean WHERE pollutant = 'pm25' GROUP BY 1, 2")
     q["monthly_avg"] = (f"SELECT year, month, pollutant, {R2E(EA('value'))} AS value FROM clean "

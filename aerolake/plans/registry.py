@@ -221,6 +221,19 @@ def _q_monthly_reload(spark, sf):
     return spark.read.parquet(mart)
 
 
+def _q_streamed_months(spark, sf):
+    """The batch mart kept by a stream over the month files: one year's months, then the others, then some months again."""
+    from aerolake.sources.partitioned import replace_months
+    from aerolake.streaming import run_monthly
+    rows = spark.read.parquet(_written(spark, reading_rows(spark, sf)))
+    root, mart, ckpt = (scratch_path(spark, n) for n in ("months", "mart", "months-ckpt"))
+    first = F.col("year") == ONE_PARTITION[0]
+    for load in (rows.where(first), rows.where(~first), rows.where(F.col("month") == ONE_PARTITION[1])):
+        replace_months(load, root)
+        run_monthly(spark, root, T.batch_stats, mart, ckpt)
+    return spark.read.parquet(mart)
+
+
 def _written(spark, df):
     path = scratch_path(spark, "rows")
     df.write.parquet(path)
@@ -311,6 +324,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "one_partition": _q_one_partition,
         "written_clean": _q_written_clean,
         "monthly_reload": _q_monthly_reload,
+        "streamed_months": _q_streamed_months,
         "feature_bundle_mae": _q_bundle_mae,
         "parsed_timestamps": _q_parsed_timestamps,
         "clean_by_fingerprint": lambda s, d: C.clean_data(raw_rows(s, d), by_fingerprint=True),

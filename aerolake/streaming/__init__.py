@@ -1,5 +1,5 @@
 """Incremental (streaming) form of the month-by-month batch processing."""
 
-from aerolake.streaming.monthly_batches import incremental_aggregate, refresh_months, run_incremental
+from aerolake.streaming.monthly_batches import incremental_aggregate, refresh_months, run_incremental, run_monthly
 
-__all__ = ["incremental_aggregate", "refresh_months", "run_incremental"]
+__all__ = ["incremental_aggregate", "refresh_months", "run_incremental", "run_monthly"]

@@ -11,6 +11,8 @@ and the aggregation state, so a restarted job (or a lost executor) resumes witho
 Because the builders use order-independent aggregates (exact sums, counts, min/max; the sample deviation
 differs in its last bits at most, which its two decimals do not show), the streamed result equals the one-shot batch result no matter how files are split into
 micro-batches.
+
+``run_monthly`` is the form for marts that are large themselves: it rewrites the directories of the months that arrived.
 """
 
 from __future__ import annotations
@@ -76,3 +78,27 @@ def refresh_months(spark: SparkSession, partitioned_root: str, builder: Callable
     rows = spark.read.parquet(partitioned_root).join(touched, ["year", "month"], "left_semi")
     builder(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("year", "month").parquet(mart_root)
+
+
+def run_monthly(spark: SparkSession, partitioned_root: str, builder: Callable[[DataFrame], DataFrame], mart_root: str,
+                checkpoint_location: str, schema: StructType | None = None, files_per_trigger: int = 1000,
+                timeout_s: float | None = None):
+    """Process every month file that arrived since the last run, and write only the months it belongs to.
+
+    Each micro-batch takes from its files nothing but their (year, month), and ``refresh_months`` makes those months'
+    groups anew from the month directories. So no state is kept, a retried micro-batch writes the same again, a replaced
+    month (``replace_months``) counts once, and all other months' files in the mart stay as they are, where
+    ``run_incremental`` rewrites the whole snapshot. ``builder``'s groups must hold ``year`` and ``month``, and
+    ``partitioned_root`` must be complete for a month once its files are there. Files that a later load replaced before they
+    were read are passed over: the files in their place are arrivals of their own. Returns the finished query."""
+    stream = (spark.readStream.schema(schema or spark.read.parquet(partitioned_root).schema)
+              .option("maxFilesPerTrigger", files_per_trigger).option("ignoreMissingFiles", "true")
+              .parquet(partitioned_root).select("year", "month"))
+
+    def refresh(batch: DataFrame, epoch_id: int) -> None:
+        refresh_months(batch.sparkSession, partitioned_root, builder, mart_root, batch)
+
+    query = (stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint_location)
+             .trigger(availableNow=True).start())
+    query.awaitTermination(timeout_s)
+    return query

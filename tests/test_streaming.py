@@ -1,14 +1,15 @@
 """Incremental month-by-month aggregation equals the one-shot batch result."""
 
+import glob
 import os
 
 from aerolake.operators.clean import clean_data
 from aerolake.operators.transform import batch_stats, level_counts
 from aerolake.sources.fixture import load_fixture_raw
-from aerolake.sources.partitioned import partition_dataset
-from aerolake.streaming import run_incremental
+from aerolake.sources.partitioned import partition_dataset, replace_months
+from aerolake.streaming import run_incremental, run_monthly
 
-from raw_rows import SF_SMALL
+from raw_rows import SF_SMALL, make_raw
 
 
 def _canon(df):
@@ -35,3 +36,27 @@ def test_streamed_level_counts(spark, tmp_out, mock):
     out, ckpt = os.path.join(tmp_out, "lc"), os.path.join(tmp_out, "ck")
     run_incremental(spark, root, level_counts, out, ckpt)
     assert _canon(spark.read.parquet(out)) == _canon(level_counts(clean))
+
+
+def test_arriving_months_leave_the_others_alone(spark, tmp_out):
+    """Months arrive, nothing arrives, one month is replaced: the mart equals the batch, other months keep their files."""
+    raw = make_raw(spark, [{"month": 1 + k % 3, "value": float(k), "pollutant": p} for k in range(12) for p in ("pm25", "no2")])
+    rows = [raw.where("month = 1"), raw.where("month <> 1")]
+    root, mart, ckpt = (os.path.join(tmp_out, n) for n in ("months", "mart", "ckpt"))
+
+    def load(df):
+        replace_months(df, root)
+        run_monthly(spark, root, batch_stats, mart, ckpt)
+
+    files = lambda: set(glob.glob(f"{mart}/*/*/*.parquet"))
+    load(rows[0])
+    january = files()
+    load(rows[1])
+    both = files()
+    assert january < both
+    assert _canon(spark.read.parquet(mart)) == _canon(batch_stats(raw))
+    run_monthly(spark, root, batch_stats, mart, ckpt)
+    assert files() == both
+    load(rows[0])  # the same month once more: counted once
+    assert both - files() == january
+    assert _canon(spark.read.parquet(mart)) == _canon(batch_stats(raw))
