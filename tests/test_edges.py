@@ -197,3 +197,29 @@ def test_bucketed_medians_hot_continuous_group(spark):
     got = {(r.station_id, r.month): r["__med_at_c"] for r in group_medians(df, method="bucketed").collect()}
     ref = {(r.station_id, r.month): r["__med_at_c"] for r in group_medians(df, method="exact").collect()}
     assert got == ref and len(got) == 5
+
+
+def test_large_groups_are_narrowed_before_ranking(spark):
+    """A group of many distinct readings among small ones and one without a key: same medians as the built-in, with ties
+    and repeated rows, and only a few of its values are ranked."""
+    import numpy as np
+    from aerolake.operators.clean import RANGES, SALTS, _histogram, middle_ranges, narrowed_medians
+    rng = np.random.RandomState(5)
+    rows = [dict(station_id="site_hot", month=1, at_c=float(v), rh_percent=float(i % 3), value=1.0, hour=i % 24)
+            for i, v in enumerate(rng.normal(20, 5, 6000))]
+    rows += [dict(station_id=None, month=1, at_c=float(v), value=1.0, hour=1) for v in rng.exponential(3, 601)]
+    rows += [dict(station_id="site_tie", month=2, at_c=v, value=1.0, hour=2) for v in [7.0] * 400 + [8.0] * 400]
+    rows += [dict(station_id=f"site_{i % 4}", month=2, at_c=float(i % 9) * 1.5 if i % 3 else None, value=2.0,
+                  hour=i % 24) for i in range(200)]
+    df = make_raw(spark, rows)
+    keys, columns = ["station_id", "month"], ["at_c", "rh_percent"]
+    reference = df.groupBy(*keys).agg(*[F.median(c).alias(f"__med_{c}") for c in columns])
+    expected = {r[:2]: r[2:] for r in reference.collect()}
+    for limit in (1, 50, 100_000):
+        got = narrowed_medians(df, columns, keys, ranked_at_most=limit).collect()
+        assert {tuple(r[:2]): tuple(r[2:]) for r in got} == expected and len(got) == len(expected) == 7, limit
+
+    hist = _histogram(df, ["at_c"], keys).where("station_id = 'site_hot'") \
+        .withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    ranked = middle_ranges(hist, [*keys, "col"]).groupBy("range").count().collect()
+    assert 1 <= len(ranked) <= 2 and max(r["count"] for r in ranked) <= 1.2 * 6000 / RANGES + 2
