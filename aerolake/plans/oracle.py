@@ -264,6 +264,7 @@ def build() -> dict[str, str]:
     q["station_means"] = f"SELECT station_id, {R2E(EA('pm25'))} AS pm25 FROM sh GROUP BY station_id"
     meds = ", ".join(f"median({c}) AS {c}" for c in WEATHER_COLUMNS)
     q["station_month_medians"] = f"SELECT station_id, month, {meds} FROM c0 GROUP BY station_id, month"
+    q["station_month_medians_narrowed"] = q["station_month_medians"]
     q["station_slice"] = f"SELECT station_id, hour, pm25 FROM sh WHERE station_id = (SELECT min(station_id) FROM sh)"
     level = _display_case("pm25", 1)
     q["station_rank"] = (

@@ -124,6 +124,12 @@ def _q_medians(spark, sf):
     return med.select("station_id", "month", *[F.col(f"__med_{c}").alias(c) for c in C.WEATHER_COLUMNS])
 
 
+def _q_medians_narrowed(spark, sf):
+    """A27 with the split per group; the limit is low, so that groups of the given tables are really narrowed."""
+    med = C.narrowed_medians(C.deduplicated_readings(raw_rows(spark, sf)), C.WEATHER_COLUMNS, ranked_at_most=100)
+    return med.select("station_id", "month", *[F.col(f"__med_{c}").alias(c) for c in C.WEATHER_COLUMNS])
+
+
 def _q_streaming_batch_stats(spark, sf):
     """A10 computed incrementally: partition the clean rows by month, stream the month files one per
     micro-batch through the stateful aggregation, read the final snapshot."""
@@ -338,6 +344,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "station_means": lambda s, d: I.station_means(_profile(s, d)),
         "station_slice": _q_station_slice,
         "station_month_medians": _q_medians,
+        "station_month_medians_narrowed": _q_medians_narrowed,
         "station_best_worst_hour": lambda s, d: I.station_best_worst_hour(_profile(s, d)),
         "display_levels": lambda s, d: I.display_levels(_profile(s, d)),
         "scaler_params": lambda s, d: I.scaler_params(_series(s, d)),
