@@ -3,11 +3,12 @@
 Texts are cut by the vocabulary's pattern, each match is mapped byte by byte to the 256 printable characters of
 the byte-level alphabet, and the library's BPE model merges those characters by rank. Because matches are
 encoded separately, equal matches have equal ids: each task keeps a bounded table of matches it has seen and
-asks the library only for new ones. Offsets come from the pieces' byte lengths, so they are exact even where a
-token holds part of a character; only ``encode`` gives them, the round trip digest does not compute any. Decoding
-reverses the byte table: the characters of each id's vocabulary entry go back to their bytes, which are joined before
-they become text, so characters split over tokens come back whole. The entries are turned back once per task, not once
-per token.
+asks the library's model only for new ones, by its tokens and without the encoding object (offsets, masks, words)
+that its tokenizer builds for each. The ids kept are the vocabulary's own int objects, one each, which makes look-ups
+by them cheap. Offsets come from the pieces' byte lengths, so they are exact even where a token holds part of a
+character; only ``encode`` gives them, the round trip digest does not compute any. Decoding reverses the byte table:
+the characters of each id's vocabulary entry go back to their bytes, which are joined before they become text, so
+characters split over tokens come back whole. The entries are turned back once per task, not once per token.
 
 Edge cases: null and empty texts have no ids and decode to the empty byte string; rows are independent, so
 repeated rows repeat; an empty table gives an empty result. Only named columns are kept.
@@ -17,7 +18,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
 from itertools import chain
 
 import pyarrow as pa
@@ -30,8 +30,6 @@ from aerolake.llm.arrow import extended, slices
 
 # Matches that a task remembers; the table starts anew beyond it, which costs time, never results.
 REMEMBERED = 100_000
-# Matches that the library encodes in one call: its result objects are far larger than the ids kept of them.
-CALL = 1_000
 # Text bytes whose matches are held at a time, unless one text alone is longer.
 HELD_BYTES = 1 << 19
 
@@ -60,9 +58,7 @@ class ByteBPE:
     """Encoder and decoder over one vocabulary of ranks. Built once per task from the plain rank table."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        # A task has one core: the library's thread pool would only add memory.
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, models
+        from tokenizers import models
 
         self.chars = byte_characters()
         vocab = {self._spelled(t): i for t, i in ranks.items()}
@@ -70,7 +66,8 @@ class ByteBPE:
         self.pieces = {i: bytes([byte_of[c] for c in spelled]) for spelled, i in vocab.items()}
         self.names = {i: str(i) for i in self.pieces}
         self.find = regex.compile(pattern).findall
-        self.model = Tokenizer(models.BPE(vocab=vocab, merges=self._merges(ranks), ignore_merges=True))
+        self.own = {i: i for i in self.names}
+        self.model = models.BPE(vocab=vocab, merges=self._merges(ranks), ignore_merges=True)
         self.known: dict[str, tuple[int, ...]] = {}
 
     def _spelled(self, token: bytes) -> str:
@@ -96,17 +93,13 @@ class ByteBPE:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
-        known, matches = self.known, [self.find(t) for t in texts]
-        new = list({m for row in matches for m in row if m not in known})
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list({m for row in matches for m in row})
-            for k in range(0, len(new), CALL):
-                some = new[k:k + CALL]
-                spelled = [self._spelled(m.encode()) for m in some]
-                for m, e in zip(some, self.model.encode_batch(spelled, add_special_tokens=False)):
-                    known[m] = tuple(e.ids)
+        known, own, tokenize, matches = self.known, self.own, self.model.tokenize, [self.find(t) for t in texts]
+        new = set().union(*matches).difference(known)
+        if new and len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = set().union(*matches)
+        for m in new:
+            known[m] = tuple([own[t.id] for t in tokenize(self._spelled(m.encode()))])
         return [list(chain.from_iterable([known[m] for m in row])) for row in matches]
 
     def offsets(self, text: str, ids: list[int]) -> list[tuple[int, int]]:

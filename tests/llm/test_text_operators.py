@@ -35,6 +35,21 @@ def test_byte_bpe_equals_tiktoken(spark, docs, none):
     assert Counter((r["doc_id"], r["text"]) for r in back.collect()) == Counter((i, t or "") for i, t, _ in ROWS)
 
 
+def test_byte_bpe_keeps_one_object_per_id(monkeypatch):
+    """However many matches hold an id, it is one object; a table that starts anew changes no id."""
+    import tiktoken
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    want = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    bpe = byte_bpe.ByteBPE(ranks, P.PATTERN)
+    texts = [t or "" for _, t, _ in ROWS]
+    ids = [i for row in bpe.encode(texts) for i in row]
+    assert len({id(i) for i in ids}) == len(set(ids))
+    for remembered in (1, 40):
+        monkeypatch.setattr(byte_bpe, "REMEMBERED", remembered)
+        assert [bpe.encode([t])[0] for t in texts] == bpe.encode(texts) == [want.encode_ordinary(t) for t in texts]
+    assert bpe.encode([]) == [] and bpe.encode([""]) == [[]]
+
+
 @pytest.mark.parametrize("chunk,overlap", [(32_768, 512), (300, 8)])
 def test_token_counts_equal_the_library(spark, docs, none, chunk, overlap):
     import sentencepiece
