@@ -24,6 +24,9 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*exprs)
 
 
+NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+
+
 def _is_missing_path(err: AnalysisException) -> bool:
     cond = getattr(err, "getCondition", None) or getattr(err, "getErrorClass", None)
     name = cond() if callable(cond) else None
@@ -34,6 +37,19 @@ def _is_nanos(err: Exception) -> bool:
     return "PARQUET_TYPE_ILLEGAL" in str(err) and "NANOS" in str(err)
 
 
+def _scan(spark: SparkSession, path: str, nanos_as_long: bool) -> DataFrame:
+    """The file with its schema read under the wished setting, whatever an earlier load left in the session."""
+    before = spark.conf.get(NANOS_AS_LONG, "false")
+    spark.conf.set(NANOS_AS_LONG, str(nanos_as_long).lower())
+    try:
+        df = spark.read.parquet(path)
+        df.schema  # resolve the footer now so errors surface here
+        return df
+    finally:
+        if not nanos_as_long:
+            spark.conf.set(NANOS_AS_LONG, before)
+
+
 def load_raw(spark: SparkSession, path: str, nanos_as_long: bool = False) -> DataFrame:
     """Scan raw Parquet; NaN -> NULL on doubles.
 
@@ -42,11 +58,8 @@ def load_raw(spark: SparkSession, path: str, nanos_as_long: bool = False) -> Dat
     converted to microseconds; ``nanos_as_long`` says so without the first try. Spark looks the setting up when a
     query runs, not when it is planned, so it stays on in the session; it concerns nanosecond columns only.
     """
-    if nanos_as_long:
-        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     try:
-        df = spark.read.parquet(path)
-        df.schema  # resolve the footer now so errors surface here
+        df = _scan(spark, path, nanos_as_long)
     except AnalysisException as err:
         if _is_missing_path(err):
             raise FileNotFoundError(f"Source file {path} not found.") from err
